@@ -18,8 +18,19 @@ BATCHES = {"chicago_us": "chicago_us_b1", "nyc_us": "nyc_us_b1", "uk_stats19": "
 INGESTED_AT = "2026-01-05 06:00:00"
 
 
+# A Parquet file with one row group is one task however large it is. Above this
+# size it pays to spread its rows; a table with enough splits for every core is
+# never shuffled.
+_SPREAD_ABOVE = 2 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    cores = spark.sparkContext.defaultParallelism
+    if _SPREAD_ABOVE < size < cores * (128 << 20):
+        df = df.repartition(cores)
+    return df
 
 
 def _pad(n: Column, width: int) -> Column:

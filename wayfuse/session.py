@@ -26,6 +26,7 @@ def build_session(app: str = "wayfuse", cores: int | str | None = None, **conf:
     if cores is not None:
         builder = builder.master(f"local[{cores}]")
         builder = builder.config("spark.sql.shuffle.partitions", str(cores))
+        builder = builder.config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
     for key, value in {**_RUNTIME, **conf}.items():
         builder = builder.config(key, value)
     return prepare(builder.getOrCreate())
