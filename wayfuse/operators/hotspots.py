@@ -305,6 +305,17 @@ def cluster_hotspots(points: DataFrame, order: str, group: list[str] | None = No
             .select(*points.columns, "cluster_id"))
 
 
+def neighbour_counts(points: DataFrame, group: list[str], at_least: int,
+                     eps_meters: float = EPS_METERS) -> DataFrame:
+    """``points`` plus whether at least so many points, itself included, lie within eps."""
+    keyed = points.withColumns({"g": F.struct(*group), "lat": F.radians("latitude"),
+                                "lon": F.radians("longitude")})
+    sites = keyed.groupBy(*SITE).agg(F.count("*").alias("weight"), F.lit(at_least).alias("min_samples"))
+    sites = _with_tiles(_with_cells(sites, eps_meters), eps_meters)
+    core = _core_sites(sites, eps_meters).select(*SITE, F.col("core").alias("has_neighbours"))
+    return keyed.join(core, SITE).select(*points.columns, "has_neighbours")
+
+
 # -- thresholds, frames, summaries --------------------------------------------
 
 def min_samples_column(n_points: Column, area_km2: Column, eps_meters: float = EPS_METERS,

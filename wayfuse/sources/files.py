@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfuse.sources.datasets import file_key
 from wayfuse.sources.text import latest_per_key
 
 MANIFEST_COLUMNS = ["source_id", "batch_id", "file_name", "type", "raw_path", "size_bytes",
@@ -13,15 +12,28 @@ MANIFEST_COLUMNS = ["source_id", "batch_id", "file_name", "type", "raw_path", "s
 
 
 def file_name(path: Column) -> Column:
-    return F.element_at(F.split(path, "/"), -1)
+    """Name of the file, or of the ``file=NAME`` or ``NAME/part-*`` folder that holds its parts."""
+    folder = F.nullif(F.regexp_extract(path, "/file=([^/]+)/", 1), F.lit(""))
+    last, above = F.element_at(F.split(path, "/"), -1), F.element_at(F.split(path, "/"), -2)
+    return F.coalesce(F.url_decode(folder), F.when(last.startswith("part-"), above).otherwise(last))
 
 
-def incoming(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """name, path, size, time and content of each file; content is pruned when unused."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(root)
+def incoming(spark: SparkSession, root: str) -> DataFrame:
+    """name, path, length, modificationTime and content of each file part below ``root``.
+
+    The content is read only where it is used.
+    """
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
             .withColumn("name", file_name(F.col("path"))))
 
 
+def listed(spark: SparkSession, root: str) -> DataFrame:
+    """One row per named file: a path, size and time of its newest part."""
+    return (incoming(spark, root).groupBy("name")
+            .agg(F.min("path").alias("path"), F.sum("length").alias("size_bytes"),
+                 F.max("modificationTime").alias("modificationTime")))
+
+
 def glob_to_regex(pattern: str) -> str:
     """Anchored regular expression of a shell pattern with * and ?."""
     special = {"*": ".*", "?": "."}
@@ -29,27 +41,34 @@ def glob_to_regex(pattern: str) -> str:
                          for ch in pattern) + "$"
 
 
-def fingerprints(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """SHA-256 and size per file, keyed by file name."""
-    return incoming(spark, root, glob).select(
-        "name", "path", F.col("length").alias("size_bytes"),
-        F.sha2("content", 256).alias("sha256"))
-
+def fingerprints(spark: SparkSession, root: str) -> DataFrame:
+    """SHA-256 and size per named file.
 
-def csv_sanity(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
-    """Per file: valid UTF-8, at least two header columns, number of data rows, status."""
+    A file of one part has the hash of its content. A file of several parts has
+    the hash of its parts' hashes, so no part is ever joined with another.
+    """
+    parts = incoming(spark, root).select("name", "path", "length",
+                                         F.sha2("content", 256).alias("part_sha"))
+    hashes = F.sort_array(F.collect_list("part_sha"))
+    return parts.groupBy("name").agg(
+        F.min("path").alias("path"), F.sum("length").alias("size_bytes"), hashes.alias("_h")).select(
+        "name", "path", "size_bytes",
+        F.when(F.size("_h") == 1, F.col("_h")[0])
+         .otherwise(F.sha2(F.array_join("_h", ""), 256)).alias("sha256"))
+
+
+def csv_sanity(spark: SparkSession, root: str) -> DataFrame:
+    """Per named CSV file: valid UTF-8, header columns, number of data rows, status."""
     text = F.col("content").cast("string")
-    header = F.regexp_replace(F.split(text, "\n", 2)[0], r"[\r﻿]", "")
-    head = incoming(spark, root, glob).select(
-        file_key(F.col("path")).alias("path"), "name",
-        F.is_valid_utf8(F.col("content").cast("string")).alias("utf8"),
-        F.size(F.split(header, ",")).alias("header_columns"))
+    header = F.regexp_replace(F.split(text, "\n", 2)[0], "[\r\ufeff]", "")
+    head = (incoming(spark, root)
+            .select("name", F.is_valid_utf8(text).alias("utf8"), F.size(F.split(header, ",")).alias("columns"))
+            .groupBy("name").agg(F.bool_and("utf8").alias("utf8"), F.min("columns").alias("header_columns")))
     rows = (spark.read.option("multiLine", True).option("quote", '"').option("escape", '"')
-            .option("header", True).option("pathGlobFilter", glob).schema("first string").csv(root)
-            .groupBy(file_key(F.col("_metadata.file_path")).alias("path"))
+            .option("header", True).option("recursiveFileLookup", "true").schema("first string").csv(root)
+            .groupBy(file_name(F.col("_metadata.file_path")).alias("name"))
             .agg(F.count("*").alias("row_count")))
-    return (head.join(rows, "path", "left")
-            .withColumn("row_count", F.coalesce("row_count", F.lit(0)))
+    return (head.join(rows, "name", "left").na.fill(0, ["row_count"])
             .withColumn("status", F.when(~F.col("utf8"), "not utf-8")
                         .when(F.col("header_columns") < 2, "no header").otherwise("ok")))
 
@@ -57,7 +76,8 @@ def csv_sanity(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame
 def newest_file(files: DataFrame, pattern: str) -> DataFrame:
     """The newest file matching a pattern: by name, then by modification time."""
     return (files.where(F.col("name").rlike(glob_to_regex(pattern)))
-            .agg(F.max_by("path", F.struct("name", "modificationTime")).alias("path"))
+            .agg(F.max_by("path", F.struct("name", "modificationTime")).alias("path"),
+                 F.max("name").alias("name"))
             .withColumn("status", F.when(F.col("path").isNull(), "missing").otherwise("ok")))
 
 
@@ -95,7 +115,7 @@ def manifest_entries(prints: DataFrame, counts: DataFrame | None, source_id: str
                      kind: str = "file_copy", retrieved_at: Column | None = None) -> DataFrame:
     """One manifest row per file of a batch."""
     out = prints if counts is None else prints.join(
-        counts.select("name", F.col("row_count").alias("record_count")), "name", "left")
+        F.broadcast(counts.select("name", F.col("row_count").alias("record_count"))), "name", "left")
     if counts is None:
         out = out.withColumn("record_count", F.lit(None).cast("long"))
     now = F.current_timestamp() if retrieved_at is None else retrieved_at
