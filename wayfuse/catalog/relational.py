@@ -206,7 +206,7 @@ SELECT year, count(*) FILTER (WHERE source_id = 'chicago_us') AS chicago_us, cou
   count(*) FILTER (WHERE source_id = 'uk_stats19') AS uk_stats19 FROM curated GROUP BY year""")
 def agg03(spark, sf):
     return (curated(spark, sf).groupBy("year").pivot("source_id", ["chicago_us", "nyc_us", "uk_stats19"])
-            .agg(F.count("*")).na.fill(0))
+            .agg(F.count(F.lit(1))).na.fill(0))
 
 
 @query("agg04_group_by_expression", """
@@ -270,7 +270,7 @@ def agg09(spark, sf):
     kinds = ["click", "error", "purchase", "signup", "view"]
     hour = F.hour(F.col("ts").cast("timestamp"))
     counted = (table(spark, sf, "events").groupBy(hour.alias("hour")).pivot("event_type", kinds)
-               .agg(F.count("*")).na.fill(0))
+               .agg(F.count(F.lit(1))).na.fill(0))
     totals = counted.agg(*[F.sum(k).alias(f"_t_{k}") for k in kinds])
     return counted.join(F.broadcast(totals)).select("hour", *[
         F.coalesce(percent(F.col(k), F.col(f"_t_{k}"), 4), F.lit(0.0)).alias(k) for k in kinds])
@@ -281,7 +281,7 @@ SELECT o_orderpriority, {', '.join(f"{pct(f'count(*) FILTER (WHERE o_orderstatus
 FROM orders GROUP BY o_orderpriority""")
 def agg10(spark, sf):
     counted = (table(spark, sf, "orders").groupBy("o_orderpriority").pivot("o_orderstatus", list("FOP"))
-               .agg(F.count("*")).na.fill(0))
+               .agg(F.count(F.lit(1))).na.fill(0))
     n = F.col("F") + F.col("O") + F.col("P")
     return counted.select("o_orderpriority", *[percent(F.col(s), n, 2).alias(s) for s in "FOP"])
 
@@ -369,7 +369,7 @@ def agg18(spark, sf):
 
 @query("agg19_full_row_duplicates", """
 SELECT coalesce(sum(n - 1), 0)::BIGINT AS extra_rows FROM (SELECT count(*) AS n FROM
-  (SELECT user_id, event_type, CAST(ts AS DATE) AS day FROM events) GROUP BY ALL)""")
+  (SELECT user_id, event_type, CAST(ts AS DATE) AS day FROM events) GROUP BY user_id, event_type, day)""")
 def agg19(spark, sf):
     rows = table(spark, sf, "events").select("user_id", "event_type", F.to_date(F.col("ts").cast("timestamp")).alias("day"))
     return P.extra_copies(rows, rows.columns)

@@ -16,7 +16,7 @@ DAY_NAMES = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
 def volume(curated: DataFrame, sources: list[str]) -> DataFrame:
     """Rows per local year and source, 0 where there are none."""
     return (add_local_time(curated).groupBy("local_year").pivot("source_id", sources)
-            .agg(F.count("*")).na.fill(0))
+            .agg(F.count(F.lit(1))).na.fill(0))
 
 
 def funnel(curated: DataFrame) -> DataFrame:
@@ -53,7 +53,7 @@ def weekend_share(spark, rows, frames) -> DataFrame:
 def severity_shares(spark, rows, frames) -> DataFrame:
     """One row per frame and city with the three severities side by side, 0 when absent."""
     counted = (in_frames(spark, rows, frames).groupBy("frame", "city_area")
-               .pivot("severity", INJURY_SEVERITIES).agg(F.count("*")).na.fill(0))
+               .pivot("severity", INJURY_SEVERITIES).agg(F.count(F.lit(1))).na.fill(0))
     n = F.col("fatal") + F.col("serious") + F.col("minor")
     return counted.select("frame", "city_area",
                           *[percent(F.col(s), n, 2).alias(s) for s in INJURY_SEVERITIES])

@@ -23,9 +23,9 @@ def read_csv_text(spark: SparkSession, paths: str | list[str], columns: list[str
               .option("nullValue", "").option("emptyValue", "")
               .option("multiLine", True).option("quote", '"').option("escape", '"')
               .option("enforceSchema", False))
-    if columns is not None:
-        reader = reader.schema(text_schema(columns))
-    return reader.csv(paths)
+    if columns is None:
+        return reader.csv(paths)
+    return reader.schema(text_schema(columns)).csv(paths).select(*columns)
 
 
 def read_csv_union(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -42,7 +42,7 @@ def read_csv_union(spark: SparkSession, paths: list[str]) -> DataFrame:
 def read_json_pages(spark: SparkSession, paths: str | list[str], columns: list[str]) -> DataFrame:
     """Pages that each hold an array of records; numbers read as text, absent keys null."""
     return (spark.read.option("multiLine", True).option("primitivesAsString", True)
-            .schema(text_schema(columns)).json(paths))
+            .schema(text_schema(columns)).json(paths).select(*columns))
 
 
 def drop_page_overlap(pages: DataFrame, key: str, *newest_first: str) -> DataFrame:
