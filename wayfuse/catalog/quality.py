@@ -8,8 +8,8 @@ from wayfuse.catalog.registry import query
 from wayfuse.operators import audit as AU
 from wayfuse.operators import checks as C
 from wayfuse.operators.publish import dim_date_rows, dim_source
-from wayfuse.plans.bindings import BATCHES, curated, staged
-from wayfuse.plans.landing import candidate, published
+from wayfuse.plans.bindings import BATCHES
+from wayfuse.plans.landing import candidate, fact, published, staged_rows
 from wayfuse.plans.samples import at, check_log, check_results, freshness_results, raw_totals
 from wayfuse.sources.datasets import data_files
 
@@ -24,14 +24,14 @@ def _check(spark, rows, name, totals=None, batches=None):
 @query("dq01_schema", """
 SELECT source_id, 'schema_check' AS check_name, 'fail' AS status, count(*) AS rows_checked, count(*) AS rows_failed FROM staged GROUP BY source_id""")
 def dq01(spark, sf):
-    return _check(spark, staged(spark, sf).drop("primary_cause"), "schema_check")
+    return _check(spark, staged_rows(spark, sf).drop("primary_cause"), "schema_check")
 
 
 @query("dq02_nullability", """
 SELECT source_id, 'nullability_check' AS check_name, CASE WHEN bad > 0 THEN 'fail' ELSE 'pass' END AS status, n AS rows_checked, bad AS rows_failed
 FROM (SELECT source_id, count(*) AS n, count(*) FILTER (WHERE severity = 'unknown') AS bad FROM staged GROUP BY source_id)""")
 def dq02(spark, sf):
-    return _check(spark, staged(spark, sf).withColumn("country", F.when(F.col("severity") != "unknown", F.col("country"))),
+    return _check(spark, staged_rows(spark, sf).withColumn("country", F.when(F.col("severity") != "unknown", F.col("country"))),
                   "nullability_check")
 
 
@@ -41,7 +41,7 @@ FROM (SELECT source_id, count(*) AS n, count(*) - count(DISTINCT regexp_replace(
       FROM staged GROUP BY source_id)""")
 def dq03(spark, sf):
     short = F.regexp_replace("source_record_id", "-.*-", "-")
-    return _check(spark, staged(spark, sf).withColumn("source_record_id", short), "uniqueness_check")
+    return _check(spark, staged_rows(spark, sf).withColumn("source_record_id", short), "uniqueness_check")
 
 
 @query("dq04_accepted_values", """
@@ -49,7 +49,7 @@ SELECT source_id, 'accepted_values_check' AS check_name, CASE WHEN bad > 0 THEN
 FROM (SELECT source_id, count(*) AS n, count(*) FILTER (WHERE severity = 'fatal') + count(*) FILTER (WHERE country = 'GB' AND severity = 'serious') AS bad
       FROM staged GROUP BY source_id)""")
 def dq04(spark, sf):
-    rows = staged(spark, sf)
+    rows = staged_rows(spark, sf)
     bad_country = F.when((F.col("country") == "GB") & (F.col("severity") == "serious"), "UK").otherwise(F.col("country"))
     bad_severity = F.when(F.col("severity") == "fatal", "FATAL").otherwise(F.col("severity"))
     return _check(spark, rows.withColumn("country", bad_country).withColumn("severity", bad_severity), "accepted_values_check")
@@ -62,12 +62,12 @@ FROM (SELECT source_id, count(*) AS n, count(*) FILTER (WHERE severity = 'fatal'
   count(*) FILTER (WHERE TRY_CAST(posted_speed_limit_mph AS DOUBLE) NOT BETWEEN 5 AND 70) AS soft FROM staged GROUP BY source_id)""")
 def dq05(spark, sf):
     moved = F.when((F.col("severity") == "fatal") & (F.col("source_id") == "uk_stats19"), "12.5").otherwise(F.col("latitude"))
-    return _check(spark, staged(spark, sf).withColumn("latitude", moved), "range_check")
+    return _check(spark, staged_rows(spark, sf).withColumn("latitude", moved), "range_check")
 
 
 @query("dq06_date_logic", "SELECT source_id, check_name, status, rows_checked, rows_failed FROM dq WHERE check_name = 'date_logic_check'")
 def dq06(spark, sf):
-    return _check(spark, staged(spark, sf), "date_logic_check")
+    return _check(spark, staged_rows(spark, sf), "date_logic_check")
 
 
 @query("dq07_referential", """
@@ -76,7 +76,7 @@ SELECT CASE source_id WHEN 'nyc_us' THEN 'paris_fr' ELSE source_id END AS source
   CASE source_id WHEN 'nyc_us' THEN count(*) ELSE 0 END AS rows_failed FROM staged GROUP BY source_id""")
 def dq07(spark, sf):
     other = F.when(F.col("source_id") == "nyc_us", "paris_fr").otherwise(F.col("source_id"))
-    return _check(spark, staged(spark, sf).withColumn("source_id", other), "referential_check")
+    return _check(spark, staged_rows(spark, sf).withColumn("source_id", other), "referential_check")
 
 
 @query("dq08_row_count", """
@@ -84,7 +84,7 @@ SELECT source_id, 'row_count_check' AS check_name, CASE source_id WHEN 'nyc_us'
   count(*) AS rows_checked, CAST(0 AS BIGINT) AS rows_failed FROM staged GROUP BY source_id
 UNION ALL SELECT 'empty_source', 'row_count_check', 'fail', 0, 0""")
 def dq08(spark, sf):
-    rows = staged(spark, sf)
+    rows = staged_rows(spark, sf)
     short = F.when(F.col("source_id") == "nyc_us", F.col("total_records_or_files") - 1).otherwise(F.col("total_records_or_files"))
     totals = raw_totals(rows).withColumn("total_records_or_files", short)
     announced = spark.createDataFrame([*BATCHES.items(), ("empty_source", "empty_b1")], "source_id string, batch_id string")
@@ -121,9 +121,9 @@ SELECT constraint_name, CASE WHEN bad > 0 THEN 'fail' ELSE 'pass' END AS status,
     f"SELECT '{k}' AS constraint_name, count(*) AS n, {v} AS bad FROM curated" for k, v in _CONSTRAINTS.items())
     + """ UNION ALL SELECT 'log_status_values', (SELECT count(*) FROM curated), count(*) FILTER (WHERE status NOT IN ('pass', 'warn', 'fail')) FROM dq_log)""")
 def dq11(spark, sf):
-    fact = curated(spark, sf)
-    calendar = dim_date_rows(fact).where("year >= 2019")  # an unfilled dimension
-    return C.table_constraints(fact, dim_source(spark), calendar, check_log(spark, sf))
+    rows = fact(spark, sf)
+    calendar = dim_date_rows(rows).where("year >= 2019")  # an unfilled dimension
+    return C.table_constraints(rows, dim_source(spark), calendar, check_log(spark, sf))
 
 
 # -- audit -----------------------------------------------------------------------
@@ -142,27 +142,27 @@ UNION ALL SELECT NULL, 'curated_partition_check', 'pass', count(*), 0 FROM curat
 
 
 def _expected(spark, sf):
-    return staged(spark, sf).groupBy("source_id", "batch_id").agg(F.count("*").alias("staged_rows"))
+    return staged_rows(spark, sf).groupBy("source_id", "batch_id").agg(F.count("*").alias("staged_rows"))
 
 
 @query("cdq01_schema_types", _SCHEMA)
 def cdq01(spark, sf):
-    return AU.schema_check(curated(spark, sf)).select(*SHOWN)
+    return AU.schema_check(fact(spark, sf)).select(*SHOWN)
 
 
 @query("cdq02_uniqueness", _UNIQUE)
 def cdq02(spark, sf):
-    return AU.uniqueness_check(curated(spark, sf)).select(*SHOWN)
+    return AU.uniqueness_check(fact(spark, sf)).select(*SHOWN)
 
 
 @query("cdq03_reconciliation", _RECONCILE)
 def cdq03(spark, sf):
-    return AU.reconciliation_check(curated(spark, sf), _expected(spark, sf)).select(*SHOWN)
+    return AU.reconciliation_check(fact(spark, sf), _expected(spark, sf)).select(*SHOWN)
 
 
 @query("cdq04_timestamps", _TIMES.format(run="2024-01-15 00:00:00"))
 def cdq04(spark, sf):
-    return AU.timestamp_check(curated(spark, sf), at("2024-01-15 00:00:00")).select(*SHOWN)
+    return AU.timestamp_check(fact(spark, sf), at("2024-01-15 00:00:00")).select(*SHOWN)
 
 
 @query("cdq05_partitions", _PARTS)

@@ -11,9 +11,12 @@ from wayfuse.functions.scalars import count_if, percent
 from wayfuse.operators import frames as FR
 from wayfuse.operators import profile as P
 from wayfuse.operators.checks import duplicate_counts
+from wayfuse.operators.curate import exclusion_counts
+from wayfuse.operators.hotspots import sampled
 from wayfuse.operators.publish import dim_date_rows, dim_source
 from wayfuse.plans import analytics as A
-from wayfuse.plans.bindings import curated, raw_events, raw_lineitem, raw_orders, table
+from wayfuse.plans.bindings import raw_events, raw_lineitem, raw_orders, staged, table
+from wayfuse.plans.landing import fact
 from wayfuse.sources.text import latest_per_key
 
 
@@ -26,7 +29,7 @@ def D(text):
 @query("flt01_equality_in", """
 SELECT crash_id, severity, city FROM curated WHERE source_id = 'chicago_us' AND severity IN ('fatal', 'serious')""")
 def flt01(spark, sf):
-    return curated(spark, sf).where((F.col("source_id") == "chicago_us")
+    return fact(spark, sf).where((F.col("source_id") == "chicago_us")
                                     & F.col("severity").isin("fatal", "serious")).select("crash_id", "severity", "city")
 
 
@@ -34,20 +37,20 @@ def flt01(spark, sf):
 SELECT crash_id, latitude, longitude FROM curated WHERE has_valid_coordinates
   AND latitude BETWEEN 41.870 AND 41.890 AND longitude BETWEEN -87.640 AND -87.620""")
 def flt02(spark, sf):
-    return curated(spark, sf).where(A.in_box(A.DOWNTOWN)).select("crash_id", "latitude", "longitude")
+    return fact(spark, sf).where(A.in_box(A.DOWNTOWN)).select("crash_id", "latitude", "longitude")
 
 
 @query("flt03_local_date_between", """
 SELECT crash_id, local_date FROM localised WHERE local_date BETWEEN DATE '2021-01-01' AND DATE '2021-03-31'""")
 def flt03(spark, sf):
-    return FR.add_local_time(curated(spark, sf)).where(
+    return FR.add_local_time(fact(spark, sf)).where(
         F.col("local_date").between(D("2021-01-01"), D("2021-03-31"))).select("crash_id", "local_date")
 
 
 @query("flt04_half_open_range", """
 SELECT crash_id, crash_date_key FROM curated WHERE crash_date_key >= DATE '2020-03-01' AND crash_date_key < DATE '2020-04-01'""")
 def flt04(spark, sf):
-    return curated(spark, sf).where((F.col("crash_date_key") >= D("2020-03-01"))
+    return fact(spark, sf).where((F.col("crash_date_key") >= D("2020-03-01"))
                                     & (F.col("crash_date_key") < D("2020-04-01"))).select("crash_id", "crash_date_key")
 
 
@@ -68,12 +71,12 @@ def flt06(spark, sf):
 
 @query("flt07_comparable_rows", "SELECT crash_id, city_area, severity, local_date FROM comparable")
 def flt07(spark, sf):
-    return FR.comparable(curated(spark, sf)).select("crash_id", "city_area", "severity", "local_date")
+    return FR.comparable(fact(spark, sf)).select("crash_id", "city_area", "severity", "local_date")
 
 
 @query("flt08_in_frame", "SELECT frame, crash_id, city_area, local_date FROM in_frames")
 def flt08(spark, sf):
-    rows = FR.comparable(curated(spark, sf))
+    rows = FR.comparable(fact(spark, sf))
     return FR.in_frames(spark, rows, FR.build_frames(spark, rows)).select("frame", "crash_id", "city_area", "local_date")
 
 
@@ -81,7 +84,7 @@ def flt08(spark, sf):
 SELECT source_id, count(*) FILTER (WHERE severity = 'fatal') AS fatal, count(*) FILTER (WHERE hit_and_run) AS hit_and_run,
   count(*) AS n FROM curated GROUP BY source_id""")
 def flt09(spark, sf):
-    return curated(spark, sf).groupBy("source_id").agg(
+    return fact(spark, sf).groupBy("source_id").agg(
         count_if(F.col("severity") == "fatal").alias("fatal"), count_if(F.col("hit_and_run")).alias("hit_and_run"),
         F.count("*").alias("n"))
 
@@ -100,9 +103,9 @@ def flt10(spark, sf):
 @query("joi01_fact_dim_date", """
 SELECT d.year, d.is_weekend, count(*) AS crashes FROM curated f JOIN dim_date d ON d.date_key = f.crash_date_key GROUP BY ALL""")
 def joi01(spark, sf):
-    fact = curated(spark, sf)
-    by_day = fact.groupBy(F.col("crash_date_key").alias("date_key")).agg(F.count("*").alias("n"))
-    return (by_day.join(dim_date_rows(fact), "date_key").groupBy("year", "is_weekend")
+    rows = fact(spark, sf)
+    by_day = rows.groupBy(F.col("crash_date_key").alias("date_key")).agg(F.count("*").alias("n"))
+    return (by_day.join(dim_date_rows(rows), "date_key").groupBy("year", "is_weekend")
             .agg(F.sum("n").alias("crashes")))
 
 
@@ -110,7 +113,7 @@ def joi01(spark, sf):
 SELECT f.crash_id, s.source_local_timezone, s.country FROM curated f JOIN dim_source s USING (source_id)""")
 def joi02(spark, sf):
     dim = dim_source(spark).select("source_id", "source_local_timezone", "country")
-    return (curated(spark, sf).select("crash_id", "source_id").join(F.broadcast(dim), "source_id")
+    return (fact(spark, sf).select("crash_id", "source_id").join(F.broadcast(dim), "source_id")
             .drop("source_id"))
 
 
@@ -119,7 +122,7 @@ SELECT f.city, p.residents, count(*) AS crashes FROM curated f
 JOIN (VALUES ('Chicago', 2746388), ('London', 8799800)) p(city, residents) USING (city) GROUP BY ALL""")
 def joi03(spark, sf):
     p = spark.createDataFrame([("Chicago", 2746388), ("London", 8799800)], "city string, residents int")
-    counted = curated(spark, sf).groupBy("city").agg(F.count("*").alias("crashes"))
+    counted = fact(spark, sf).groupBy("city").agg(F.count("*").alias("crashes"))
     return counted.join(F.broadcast(p), "city")
 
 
@@ -127,7 +130,7 @@ def joi03(spark, sf):
 SELECT source_id, n, {pct('n', 'total', 2)} AS pct FROM (SELECT source_id, count(*) AS n FROM curated GROUP BY ALL)
 CROSS JOIN (SELECT count(*) AS total FROM curated)""")
 def joi04(spark, sf):
-    counted = curated(spark, sf).groupBy("source_id").agg(F.count("*").alias("n"))
+    counted = fact(spark, sf).groupBy("source_id").agg(F.count("*").alias("n"))
     return A.share_of_all(counted, "n", "pct")
 
 
@@ -160,7 +163,7 @@ SELECT max(first) AS "start", min(last) AS "end" FROM
  (SELECT source_id, min(crash_date_key) AS first, max(crash_date_key) AS last FROM curated
   WHERE source_id IN ('chicago_us', 'uk_stats19') GROUP BY ALL) HAVING count(*) = 2 AND max(first) <= min(last)""")
 def joi08(spark, sf):
-    spans = curated(spark, sf, "chicago_us", "uk_stats19").groupBy("source_id").agg(
+    spans = fact(spark, sf, "chicago_us", "uk_stats19").groupBy("source_id").agg(
         F.min("crash_date_key").alias("first"), F.max("crash_date_key").alias("last"))
     return (spans.agg(F.max("first").alias("start"), F.min("last").alias("end"), F.count("*").alias("n"))
             .where((F.col("n") == 2) & (F.col("start") <= F.col("end"))).drop("n"))
@@ -169,7 +172,7 @@ def joi08(spark, sf):
 @query("joi09_range_join", """
 SELECT frame, city_area, count(*) AS n, min(local_date) AS first, max(local_date) AS last FROM in_frames GROUP BY ALL""")
 def joi09(spark, sf):
-    rows = FR.comparable(curated(spark, sf))
+    rows = FR.comparable(fact(spark, sf))
     return (FR.in_frames(spark, rows, FR.build_frames(spark, rows)).groupBy("frame", "city_area")
             .agg(F.count("*").alias("n"), F.min("local_date").alias("first"), F.max("local_date").alias("last")))
 
@@ -177,7 +180,7 @@ def joi09(spark, sf):
 @query("joi11_map_join", """
 SELECT c.crash_id, c.city_area, f.residents, f.area_km2 FROM comparable c JOIN city_facts f USING (city_area)""")
 def joi11(spark, sf):
-    rows = FR.comparable(curated(spark, sf)).select("crash_id", "city_area")
+    rows = FR.comparable(fact(spark, sf)).select("crash_id", "city_area")
     return rows.join(F.broadcast(FR.city_facts(spark)), "city_area")
 
 
@@ -198,14 +201,14 @@ def agg01(spark, sf):
 @query("agg02_duplicate_groups", """
 SELECT source_id, source_record_id, count(*) AS copies FROM curated GROUP BY ALL HAVING count(*) > 1""")
 def agg02(spark, sf):
-    return A.duplicate_keys(curated(spark, sf), ["source_id", "source_record_id"])
+    return A.duplicate_keys(fact(spark, sf), ["source_id", "source_record_id"])
 
 
 @query("agg03_pivot_counts", """
 SELECT year, count(*) FILTER (WHERE source_id = 'chicago_us') AS chicago_us, count(*) FILTER (WHERE source_id = 'nyc_us') AS nyc_us,
   count(*) FILTER (WHERE source_id = 'uk_stats19') AS uk_stats19 FROM curated GROUP BY year""")
 def agg03(spark, sf):
-    return (curated(spark, sf).groupBy("year").pivot("source_id", ["chicago_us", "nyc_us", "uk_stats19"])
+    return (fact(spark, sf).groupBy("year").pivot("source_id", ["chicago_us", "nyc_us", "uk_stats19"])
             .agg(F.count(F.lit(1))).na.fill(0))
 
 
@@ -229,7 +232,7 @@ def agg05(spark, sf):
 @query("agg06_boolean_mean", f"""
 SELECT source_id, {pct('count(*) FILTER (WHERE hit_and_run)', 'count(*)', 2)} AS pct FROM curated GROUP BY source_id""")
 def agg06(spark, sf):
-    return (curated(spark, sf).groupBy("source_id").agg(count_if(F.col("hit_and_run")).alias("_y"), F.count("*").alias("_n"))
+    return (fact(spark, sf).groupBy("source_id").agg(count_if(F.col("hit_and_run")).alias("_y"), F.count("*").alias("_n"))
             .select("source_id", percent(F.col("_y"), F.col("_n"), 2).alias("pct")))
 
 
@@ -255,7 +258,7 @@ FROM (SELECT f.frame, fc.city_area, f."start", f."end", f.days, cf.residents::BI
 
 @query("agg08_rates_per_100k", _RATES)
 def agg08(spark, sf):
-    rows = FR.comparable(curated(spark, sf))
+    rows = FR.comparable(fact(spark, sf))
     return FR.rates(spark, rows, FR.build_frames(spark, rows))
 
 
@@ -289,13 +292,13 @@ def agg10(spark, sf):
 @query("agg11_coverage", """
 SELECT city_area, min(local_date) AS first, max(local_date) AS last, count(*) AS injury_crashes FROM comparable GROUP BY city_area""")
 def agg11(spark, sf):
-    return FR.coverage(FR.comparable(curated(spark, sf)))
+    return FR.coverage(FR.comparable(fact(spark, sf)))
 
 
 @query("agg12_weekend_share", f"""
 SELECT city_area, {pct('count(*) FILTER (WHERE is_weekend)', 'count(*)', 1)} AS pct_weekend FROM comparable GROUP BY city_area""")
 def agg12(spark, sf):
-    return (FR.comparable(curated(spark, sf)).groupBy("city_area")
+    return (FR.comparable(fact(spark, sf)).groupBy("city_area")
             .agg(count_if(F.col("is_weekend")).alias("_w"), F.count("*").alias("_n"))
             .select("city_area", percent(F.col("_w"), F.col("_n"), 1).alias("pct_weekend")))
 
@@ -326,7 +329,7 @@ SELECT primary_cause, count(*) AS size, round(avg(latitude), 5) AS centroid_lat,
   {pct("count(*) FILTER (WHERE severity = 'fatal')", "count(*)", 2)} AS pct_fatal
 FROM curated WHERE source_id = 'chicago_us' AND has_valid_coordinates GROUP BY primary_cause""")
 def agg15(spark, sf):
-    return (curated(spark, sf, "chicago_us").where("has_valid_coordinates").groupBy("primary_cause")
+    return (fact(spark, sf, "chicago_us").where("has_valid_coordinates").groupBy("primary_cause")
             .agg(F.count("*").alias("size"), F.round(F.avg("latitude"), 5).alias("centroid_lat"),
                  F.round(F.avg("longitude"), 5).alias("centroid_lon"),
                  count_if(F.col("severity") == "fatal").alias("_f"))
@@ -413,8 +416,6 @@ def agg23(spark, sf):
 SELECT source_id, s.n AS staged_rows, c.n AS curated_rows FROM (SELECT source_id, count(*) AS n FROM staged GROUP BY ALL) s
 LEFT JOIN (SELECT source_id, count(*) AS n FROM curated GROUP BY ALL) c USING (source_id)""")
 def agg24(spark, sf):
-    from wayfuse.operators.curate import exclusion_counts
-    from wayfuse.plans.bindings import staged
     return exclusion_counts(staged(spark, sf)).drop("excluded_rows")
 
 
@@ -467,7 +468,7 @@ def win05(spark, sf):
 @query("srt01_order_nulls_last", """
 SELECT city, severity, count(*) AS n FROM curated GROUP BY ALL ORDER BY city NULLS LAST, n DESC""")
 def srt01(spark, sf):
-    return (curated(spark, sf).groupBy("city", "severity").agg(F.count("*").alias("n"))
+    return (fact(spark, sf).groupBy("city", "severity").agg(F.count("*").alias("n"))
             .orderBy(F.col("city").asc_nulls_last(), F.desc("n")))
 
 
@@ -475,7 +476,7 @@ def srt01(spark, sf):
 SELECT severity, list_position(['fatal', 'serious', 'minor', 'none', 'unknown'], severity)::BIGINT AS position, count(*) AS n
 FROM curated GROUP BY ALL ORDER BY position""")
 def srt02(spark, sf):
-    return (curated(spark, sf).groupBy("severity", A.severity_rank().cast("long").alias("position"))
+    return (fact(spark, sf).groupBy("severity", A.severity_rank().cast("long").alias("position"))
             .agg(F.count("*").alias("n")).orderBy("position"))
 
 
@@ -489,7 +490,7 @@ def top01(spark, sf):
 @query("top02_first_rows", """
 SELECT crash_id, crash_timestamp_utc FROM curated WHERE source_id = 'chicago_us' ORDER BY crash_timestamp_utc, crash_id LIMIT 100""")
 def top02(spark, sf):
-    return (curated(spark, sf, "chicago_us").select("crash_id", "crash_timestamp_utc")
+    return (fact(spark, sf, "chicago_us").select("crash_id", "crash_timestamp_utc")
             .orderBy("crash_timestamp_utc", "crash_id").limit(100))
 
 
@@ -501,8 +502,7 @@ def top03(spark, sf):
 
 @query("smp01_hash_sample")
 def smp01(spark, sf):
-    from wayfuse.operators.hotspots import sampled
-    return sampled(curated(spark, sf, "chicago_us"), "crash_id", 0).select("crash_id", "severity")
+    return sampled(fact(spark, sf, "chicago_us"), "crash_id", 0).select("crash_id", "severity")
 
 
 @query("set01_union_all", """
@@ -524,7 +524,7 @@ def set02(spark, sf):
 
 @query("set03_distinct", "SELECT DISTINCT crash_date_key FROM curated")
 def set03(spark, sf):
-    return curated(spark, sf).select("crash_date_key").distinct()
+    return fact(spark, sf).select("crash_date_key").distinct()
 
 
 @query("set04_set_equality", """
@@ -533,7 +533,7 @@ FROM (SELECT DISTINCT year * 100 + month AS m FROM curated WHERE source_id = 'ch
 FULL JOIN (SELECT DISTINCT year * 100 + month AS m FROM curated WHERE source_id = 'uk_stats19') b ON a.m = b.m""")
 def set04(spark, sf):
     def months(source):
-        return curated(spark, sf, source).select((F.col("year") * 100 + F.col("month")).alias("m")).distinct()
+        return fact(spark, sf, source).select((F.col("year") * 100 + F.col("month")).alias("m")).distinct()
     a = months("chicago_us").withColumn("l", F.lit(1))
     b = months("uk_stats19").withColumn("r", F.lit(1))
     return a.join(b, "m", "full").agg(count_if(F.col("l").isNull()).alias("only_right"),

@@ -10,11 +10,11 @@ from wayfuse.catalog.sql_base import US_LAYOUT, pct
 from wayfuse.operators import frames as FR
 from wayfuse.operators import hotspots as H
 from wayfuse.operators import profile as P
-from wayfuse.operators.curate import write_partitioned
 from wayfuse.operators.publish import dim_date_rows, dim_source
 from wayfuse.plans import analytics as A
 from wayfuse.plans import exploration as E
-from wayfuse.plans.bindings import curated, raw_orders
+from wayfuse.plans.bindings import raw_orders
+from wayfuse.plans.landing import fact, published
 from wayfuse.plans.samples import check_log
 from wayfuse.session import scratch_path
 
@@ -27,42 +27,42 @@ SOURCES = ["chicago_us", "nyc_us", "uk_stats19"]
 SELECT source_id, count(*) AS crashes, count(DISTINCT batch_id) AS batches_loaded, min(crash_timestamp_utc) AS earliest_crash_utc,
   max(crash_timestamp_utc) AS latest_crash_utc FROM curated GROUP BY source_id""")
 def sql01(spark, sf):
-    return A.load_verification(curated(spark, sf))
+    return A.load_verification(fact(spark, sf))
 
 
 @query("sql02_natural_key_duplicates", """
 SELECT source_id, source_record_id, count(*) AS copies FROM curated GROUP BY ALL HAVING count(*) > 1""")
 def sql02(spark, sf):
-    return A.duplicate_keys(curated(spark, sf), ["source_id", "source_record_id"])
+    return A.duplicate_keys(fact(spark, sf), ["source_id", "source_record_id"])
 
 
 @query("sql03_per_year_by_source", """
 SELECT d.year, count(*) FILTER (WHERE source_id = 'chicago_us') AS chicago_us, count(*) FILTER (WHERE source_id = 'nyc_us') AS nyc_us,
   count(*) FILTER (WHERE source_id = 'uk_stats19') AS uk_stats19 FROM curated f JOIN dim_date d ON d.date_key = f.crash_date_key GROUP BY d.year""")
 def sql03(spark, sf):
-    fact = curated(spark, sf)
-    return A.per_year_by_source(fact, dim_date_rows(fact), SOURCES)
+    rows = fact(spark, sf)
+    return A.per_year_by_source(rows, dim_date_rows(rows), SOURCES)
 
 
 @query("sql04_local_hour_profile", f"""
 SELECT source_id, local_hour, n AS crashes, {pct('n', 'total', 2)} AS pct_of_source
 FROM (SELECT *, sum(n) OVER (PARTITION BY source_id) AS total FROM (SELECT source_id, local_hour, count(*) AS n FROM localised GROUP BY ALL))""")
 def sql04(spark, sf):
-    return A.local_hours(curated(spark, sf), dim_source(spark))
+    return A.local_hours(fact(spark, sf), dim_source(spark))
 
 
 @query("sql05_local_weekday_profile", f"""
 SELECT source_id, local_dow + 1 AS local_isodow, {pct('n', 'total', 2)} AS pct_of_source
 FROM (SELECT *, sum(n) OVER (PARTITION BY source_id) AS total FROM (SELECT source_id, local_dow, count(*) AS n FROM localised GROUP BY ALL))""")
 def sql05(spark, sf):
-    return A.local_weekdays(curated(spark, sf), dim_source(spark))
+    return A.local_weekdays(fact(spark, sf), dim_source(spark))
 
 
 @query("sql06_severity_mix", f"""
 SELECT source_id, severity, n AS crashes, {pct('n', 'total', 2)} AS pct_of_source
 FROM (SELECT *, sum(n) OVER (PARTITION BY source_id) AS total FROM (SELECT source_id, severity, count(*) AS n FROM curated GROUP BY ALL))""")
 def sql06(spark, sf):
-    return A.severity_mix(curated(spark, sf))
+    return A.severity_mix(fact(spark, sf))
 
 
 @query("sql07_fatal_share", f"""
@@ -71,7 +71,7 @@ SELECT city, count(*) AS injury_crashes, count(*) FILTER (WHERE severity = 'fata
 WHERE severity IN ('fatal', 'serious', 'minor') AND city IN ('Chicago', 'London')
   AND local_date BETWEEN DATE '2021-01-01' AND DATE '2025-12-31' GROUP BY city""")
 def sql07(spark, sf):
-    return A.fatal_share(curated(spark, sf), dim_source(spark))
+    return A.fatal_share(fact(spark, sf), dim_source(spark))
 
 
 @query("sql08_top_causes", f"""
@@ -80,7 +80,7 @@ FROM (SELECT primary_cause, n, sum(n) OVER () AS total FROM (SELECT primary_caus
   WHERE source_id = 'chicago_us' AND severity IN ('fatal', 'serious') GROUP BY ALL))
 ORDER BY n DESC, primary_cause LIMIT 10""")
 def sql08(spark, sf):
-    return A.top_causes(curated(spark, sf, "chicago_us"))
+    return A.top_causes(fact(spark, sf, "chicago_us"))
 
 
 @query("sql09_monthly_trend", """
@@ -90,27 +90,26 @@ FROM (SELECT month, crashes, sum(crashes) OVER w AS s, count(*) OVER w AS c
         WHERE source_id = 'chicago_us' AND crash_date_key >= DATE '2018-01-01' GROUP BY 1)
   WINDOW w AS (ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))""")
 def sql09(spark, sf):
-    return A.monthly_trend(curated(spark, sf, "chicago_us"))
+    return A.monthly_trend(fact(spark, sf, "chicago_us"))
 
 
 @query("sql10a_coordinate_coverage", f"""
 SELECT source_id, {pct('count(*) FILTER (WHERE has_valid_coordinates)', 'count(*)', 2)} AS pct_valid_coordinates FROM curated GROUP BY source_id""")
 def sql10a(spark, sf):
-    return A.coordinate_coverage(curated(spark, sf))
+    return A.coordinate_coverage(fact(spark, sf))
 
 
 @query("sql10b_downtown_severity", """
 SELECT severity, count(*) AS crashes FROM curated WHERE source_id = 'chicago_us' AND has_valid_coordinates
   AND latitude BETWEEN 41.870 AND 41.890 AND longitude BETWEEN -87.640 AND -87.620 GROUP BY severity""")
 def sql10b(spark, sf):
-    return A.downtown_severity(curated(spark, sf))
+    return A.downtown_severity(fact(spark, sf))
 
 
 @query("sql11_month_slice", """
 SELECT count(*) AS crashes FROM curated WHERE source_id = 'chicago_us' AND crash_date_key >= DATE '2024-03-01' AND crash_date_key < DATE '2024-04-01'""")
 def sql11(spark, sf):
-    root = write_partitioned(curated(spark, sf), scratch_path(spark, "curated"))
-    return A.month_slice(spark.read.parquet(root), "chicago_us", "2024-03-01", "2024-04-01").agg(
+    return A.month_slice(spark.read.parquet(published(spark, sf)), "chicago_us", "2024-03-01", "2024-04-01").agg(
         F.count("*").alias("crashes"))
 
 
@@ -119,7 +118,7 @@ SELECT t.crash_id, t.source_record_id, t.crash_timestamp_utc, t.severity, t.batc
   'data/raw/' || t.source_id || '/' || t.batch_id || '/manifest.json' AS raw_manifest_path, q.check_name, q.status, q.rows_failed
 FROM (SELECT * FROM curated WHERE source_id = 'chicago_us' ORDER BY crash_id LIMIT 1) t LEFT JOIN dq_log q ON q.batch_id = t.batch_id""")
 def sql12(spark, sf):
-    return A.trace_record(curated(spark, sf), check_log(spark, sf))
+    return A.trace_record(fact(spark, sf), check_log(spark, sf))
 
 
 @query("sql13_latest_check_results", """
@@ -136,7 +135,7 @@ FROM (SELECT city, count(*) AS n, count(*) FILTER (WHERE severity = 'fatal') AS
   WHERE severity IN ('fatal', 'serious', 'minor') AND local_date BETWEEN DATE '2021-01-01' AND DATE '2025-12-31' GROUP BY city)
 JOIN (VALUES ('Chicago', 2746388), ('London', 8799800)) p(city, residents) USING (city)""")
 def sql14(spark, sf):
-    return A.injury_rates(spark, curated(spark, sf), dim_source(spark))
+    return A.injury_rates(spark, fact(spark, sf), dim_source(spark))
 
 
 @query("sql15_latest_freshness", """
@@ -148,14 +147,14 @@ def sql15(spark, sf):
 @query("sql16_per_source_year", """
 SELECT source_id, CAST(year(crash_date_key) AS INTEGER) AS year, count(*) AS crashes FROM curated GROUP BY ALL""")
 def sql16(spark, sf):
-    return A.per_source_year(curated(spark, sf))
+    return A.per_source_year(fact(spark, sf))
 
 
 @query("sql17_fatal_rate_mappable", f"""
 SELECT source_id, count(*) FILTER (WHERE severity = 'fatal') AS fatal_count, count(*) AS total_count,
   {pct("count(*) FILTER (WHERE severity = 'fatal')", "count(*)", 3)} AS fatal_pct FROM curated WHERE has_valid_coordinates GROUP BY source_id""")
 def sql17(spark, sf):
-    return A.fatal_rate_mappable(curated(spark, sf))
+    return A.fatal_rate_mappable(fact(spark, sf))
 
 
 @query("sql18_recent_failures", """
@@ -168,13 +167,13 @@ def sql18(spark, sf):
 SELECT crash_id, latitude, longitude, severity FROM curated WHERE source_id = 'chicago_us' AND has_valid_coordinates
   AND crash_date_key BETWEEN DATE '2024-01-01' AND DATE '2024-12-31'""")
 def sql19(spark, sf):
-    return A.clusterable(curated(spark, sf), "chicago_us", 2024)
+    return A.clusterable(fact(spark, sf), "chicago_us", 2024)
 
 
 # -- exploration -------------------------------------------------------------------
 
 def _comparable(spark, sf):
-    rows = FR.comparable(curated(spark, sf))
+    rows = FR.comparable(fact(spark, sf))
     return rows, FR.build_frames(spark, rows)
 
 
@@ -182,7 +181,7 @@ def _comparable(spark, sf):
 SELECT local_year, count(*) FILTER (WHERE source_id = 'chicago_us') AS chicago_us, count(*) FILTER (WHERE source_id = 'nyc_us') AS nyc_us,
   count(*) FILTER (WHERE source_id = 'uk_stats19') AS uk_stats19 FROM localised GROUP BY local_year""")
 def eda01(spark, sf):
-    return E.volume(curated(spark, sf), SOURCES)
+    return E.volume(fact(spark, sf), SOURCES)
 
 
 @query("eda02_funnel", """
@@ -191,13 +190,13 @@ SELECT source_id, count(*) AS all_rows, count(*) FILTER (WHERE ok) AS in_city_ge
 FROM (SELECT *, coalesce(city = CASE source_id WHEN 'chicago_us' THEN 'Chicago' WHEN 'nyc_us' THEN 'New York City' ELSE 'London' END, false) AS ok
       FROM curated) GROUP BY source_id""")
 def eda02(spark, sf):
-    return E.funnel(curated(spark, sf))
+    return E.funnel(fact(spark, sf))
 
 
 @query("eda03_coverage", """
 SELECT city_area, min(local_date) AS first, max(local_date) AS last, count(*) AS injury_crashes FROM comparable GROUP BY city_area""")
 def eda03(spark, sf):
-    return FR.coverage(FR.comparable(curated(spark, sf)))
+    return FR.coverage(FR.comparable(fact(spark, sf)))
 
 
 @query("eda04_frame_table", 'SELECT frame, cities, "start", "end", days FROM frames')
@@ -246,7 +245,7 @@ def eda09(spark, sf):
 @query("eda10_valid_coordinates", f"""
 SELECT source_id, {pct('count(*) FILTER (WHERE has_valid_coordinates)', 'count(*)', 2)} AS pct_valid_coordinates FROM curated GROUP BY source_id""")
 def eda10(spark, sf):
-    return E.coordinate_coverage(curated(spark, sf))
+    return E.coordinate_coverage(fact(spark, sf))
 
 
 @query("eda11_latest_log", """
@@ -274,7 +273,7 @@ cframes AS (
 
 
 def _cluster_points(spark, sf):
-    points = FR.comparable(curated(spark, sf)).where("has_valid_coordinates")
+    points = FR.comparable(fact(spark, sf)).where("has_valid_coordinates")
     return points, FR.cluster_frames(FR.build_frames(spark, points))
 
 
@@ -335,7 +334,7 @@ def hot05(spark, sf):
 @query("joi10_distance_join")
 def joi10(spark, sf):
     """Points with another crash within 150 m: the neighbour test of the hotspots alone."""
-    points = FR.comparable(curated(spark, sf)).where("has_valid_coordinates")
+    points = FR.comparable(fact(spark, sf)).where("has_valid_coordinates")
     return H.neighbour_counts(points, ["city_area"], 2).select("city_area", "crash_id", "has_neighbours")
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from wayfuse.functions.scalars import count_if, percent, round_half_up
 from wayfuse.operators.frames import frame_windows, in_frames
-from wayfuse.session import ensure_checkpoint_dir
+from wayfuse.session import saved
 from wayfuse.spec import (AREA_KM2, DENSITY_RATIO, EARTH_RADIUS_M, EPS_METERS, MIN_SAMPLES_FLOOR,
                           STABILITY_FRACTION, STABILITY_SEEDS)
 
@@ -236,13 +236,12 @@ def connected_components(nodes: DataFrame, links: DataFrame, max_rounds: int = 6
 
     Every round takes the smallest label among the neighbours and then the
     label's own label, which halves the remaining paths. Each round is written
-    to the checkpoint folder, so a lost executor costs one round.
+    to the shared folder, so a lost executor costs one round.
     """
-    ensure_checkpoint_dir(nodes.sparkSession)
     both = links.select("g", "node", "to").unionByName(
         links.select("g", F.col("to").alias("node"), F.col("node").alias("to")))
-    both = both.checkpoint()
-    labels = nodes.select("g", "node", F.col("node").alias("label")).checkpoint()
+    both = saved(both, "links")
+    labels = saved(nodes.select("g", "node", F.col("node").alias("label")), "labels")
     for _ in range(max_rounds):
         known = labels.select("g", F.col("node").alias("to"), F.col("label").alias("offer"))
         offers = both.join(known, ["g", "to"]).groupBy("g", "node").agg(F.min("offer").alias("offer"))
@@ -250,8 +249,8 @@ def connected_components(nodes: DataFrame, links: DataFrame, max_rounds: int = 6
             "g", "node", F.col("label").alias("before"),
             F.least("label", F.coalesce("offer", "label")).alias("label"))
         jump = lowered.select("g", F.col("node").alias("label"), F.col("label").alias("next"))
-        moved = (lowered.join(jump, ["g", "label"])
-                 .select("g", "node", "before", F.least("label", "next").alias("label")).checkpoint())
+        moved = saved(lowered.join(jump, ["g", "label"])
+                      .select("g", "node", "before", F.least("label", "next").alias("label")), "labels")
         labels = moved.select("g", "node", "label")
         if moved.where(F.col("before") != F.col("label")).isEmpty():
             return labels
@@ -269,7 +268,6 @@ def cluster_hotspots(points: DataFrame, order: str, group: list[str] | None = No
     group; a border point belongs to the lowest numbered cluster that reaches
     it. ``min_samples`` counts the point itself and may differ by group.
     """
-    ensure_checkpoint_dir(points.sparkSession)
     group = group or []
     g = F.struct(*group) if group else F.struct(F.lit(1).alias("all"))
     need = min_samples if isinstance(min_samples, Column) else F.lit(min_samples)
@@ -277,16 +275,16 @@ def cluster_hotspots(points: DataFrame, order: str, group: list[str] | None = No
     sites = (keyed.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
              .groupBy(*SITE).agg(F.count("*").alias("weight"), F.min(order).alias("first_id"),
                                  F.max("_need").alias("min_samples")))
-    sites = _with_tiles(_with_cells(sites, eps_meters), eps_meters).checkpoint()
-    placed = _core_sites(sites, eps_meters).checkpoint()
+    sites = saved(_with_tiles(_with_cells(sites, eps_meters), eps_meters), "sites")
+    placed = saved(_core_sites(sites, eps_meters), "core")
     core = placed.where("core")
     nodes = core.groupBy(*CELL).agg(F.min("first_id").alias("node"))
     labels = connected_components(nodes, _links(core, eps_meters))
     numbers = (labels.select("g", "label").distinct()
                .withColumn("cluster_id", (F.row_number().over(
                    W.partitionBy("g").orderBy("label")) - 1).cast("int")))
-    cells = (nodes.join(labels, ["g", "node"]).join(numbers, ["g", "label"])
-             .select(*CELL, "cluster_id")).checkpoint()
+    cells = saved(nodes.join(labels, ["g", "node"]).join(numbers, ["g", "label"])
+                  .select(*CELL, "cluster_id"), "cells")
     in_core = core.join(cells, CELL).select(*SITE, "cluster_id")
     # A border site may be reached by several cells: the lowest number wins.
     rim = placed.where(~F.col("core")).select(*SITE, "row", "col", F.lit(1).cast("long").alias("need"))
@@ -352,8 +350,9 @@ def sampled(points: DataFrame, key: str, seed: int, fraction: float = STABILITY_
 def cluster_in_frames(points: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """Hotspots of every frame and city in one run, each with its own threshold."""
     group = ["frame", "city_area", *(extra or [])]
-    return cluster_hotspots(with_min_samples(points, group), "crash_id", group,
-                            F.col("min_samples"))
+    columns = [*group, "crash_id", "latitude", "longitude", "severity", "local_hour"]
+    placed = saved(with_min_samples(points.select(*columns), group), "points")
+    return cluster_hotspots(placed, "crash_id", group, F.col("min_samples"))
 
 
 def concentration(spark: SparkSession, clustered: DataFrame, frames: DataFrame) -> DataFrame:

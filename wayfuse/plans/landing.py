@@ -8,9 +8,18 @@ from pyspark.sql import functions as F
 from wayfuse.operators.curate import Candidate, harmonize, write_partitioned, write_staged
 from wayfuse.plans.bindings import BATCHES, curated, raw_lineitem, staged
 from wayfuse.session import scratch_path
+from wayfuse.sources.datasets import read_staged
 
 PAGE_ROWS = 5000
-_PUBLISHED: dict[tuple[str, str], str] = {}
+_WRITTEN: dict[tuple, object] = {}
+
+
+def once(spark: SparkSession, sf_dir: str, what: str, write):
+    """Result of ``write()``, called once per application and dataset."""
+    key = (spark.sparkContext.applicationId, sf_dir, what)
+    if key not in _WRITTEN:
+        _WRITTEN[key] = write()
+    return _WRITTEN[key]
 
 
 def land_csv(df: DataFrame, root: str, name: Column | None = None) -> str:
@@ -51,9 +60,23 @@ def candidate(spark: SparkSession, sf_dir: str) -> Candidate:
     return harmonize(spark, stage_all(spark, sf_dir), BATCHES, scratch_path(spark, "candidate"))
 
 
+def staged_paths(spark: SparkSession, sf_dir: str) -> dict:
+    """Staged datasets of the three feeds, written once per application."""
+    return once(spark, sf_dir, "staged", lambda: stage_all(spark, sf_dir))
+
+
+def staged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_staged(spark, staged_paths(spark, sf_dir))
+
+
 def published(spark: SparkSession, sf_dir: str) -> str:
     """The partitioned curated dataset of the feeds, written once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _PUBLISHED:
-        _PUBLISHED[key] = write_partitioned(curated(spark, sf_dir), scratch_path(spark, "curated"))
-    return _PUBLISHED[key]
+    return once(spark, sf_dir, "curated", lambda: write_partitioned(
+        curated(spark, sf_dir), scratch_path(spark, "curated")))
+
+
+def fact(spark: SparkSession, sf_dir: str, *sources: str) -> DataFrame:
+    """Curated rows read back from the published dataset, of the named sources or all."""
+    rows = spark.read.parquet(published(spark, sf_dir))
+    rows = rows.withColumn("source_id", F.col("source_id").cast("string"))
+    return rows.where(F.col("source_id").isin(*sources)) if sources else rows

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfuse.functions.timeparse import by_source, parse_local
-from wayfuse.operators.checks import log_rows, run_checks
+from wayfuse.operators.checks import append_log, run_checks
 from wayfuse.operators.publish import dim_source
-from wayfuse.plans.bindings import staged
+from wayfuse.plans.landing import once, staged_rows
+from wayfuse.session import scratch_path
 from wayfuse.spec import ADAPTERS, TRAILING_WINDOW_DAYS
 from wayfuse.streaming.incremental import freshness
 
@@ -26,13 +27,13 @@ def raw_totals(rows: DataFrame) -> DataFrame:
 
 
 def check_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = staged(spark, sf_dir)
+    rows = staged_rows(spark, sf_dir)
     return run_checks(rows, dim_source(spark), raw_totals(rows))
 
 
 def extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One extract per source: unchanged export, pulled window, new annual files."""
-    rows = staged(spark, sf_dir).select("source_id", "crash_timestamp_utc")
+    rows = staged_rows(spark, sf_dir).select("source_id", "crash_timestamp_utc")
     when = by_source(lambda a: parse_local(F.col("crash_timestamp_utc"), a.timestamp_layout),
                      ADAPTERS.values(), F.lit(None))
     last = (rows.withColumn("_t", when).groupBy("source_id")
@@ -54,8 +55,14 @@ def freshness_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def check_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs of the checks, the second without the pulled source, and the freshness rows."""
-    results = check_results(spark, sf_dir)
-    first = log_rows(results, at(FIRST_RUN))
-    second = log_rows(results.where("source_id <> 'nyc_us'"), at(SECOND_RUN))
-    fresh = log_rows(freshness_results(spark, sf_dir), at(FRESHNESS_AT))
-    return first.unionByName(second).unionByName(fresh)
+    return spark.read.parquet(once(spark, sf_dir, "log", lambda: _write_log(spark, sf_dir)))
+
+
+def _write_log(spark: SparkSession, sf_dir: str) -> str:
+    kept, root = scratch_path(spark, "results"), scratch_path(spark, "dq_run_log")
+    check_results(spark, sf_dir).write.parquet(kept)
+    results = spark.read.parquet(kept)
+    append_log(results, root, at(FIRST_RUN))
+    append_log(results.where("source_id <> 'nyc_us'"), root, at(SECOND_RUN))
+    append_log(freshness_results(spark, sf_dir), root, at(FRESHNESS_AT))
+    return root

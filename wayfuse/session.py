@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
@@ -23,6 +23,9 @@ _RUNTIME = {
 def build_session(app: str = "wayfuse", cores: int | str | None = None, **conf: str) -> SparkSession:
     """A local session for tests and benchmarks; a cluster brings its own."""
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.showConsoleProgress", "false")
+    # Recording the Python call site of every column doubles the time to build a plan.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if cores is not None:
         builder = builder.master(f"local[{cores}]")
         builder = builder.config("spark.sql.shuffle.partitions", str(cores))
@@ -55,12 +58,18 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Point reliable checkpoints at the shared folder unless already set."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(os.path.join(scratch_root(spark), "checkpoints"))
-
-
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return os.path.join(scratch_root(spark), "wayfuse", f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+def saved(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    Cuts the lineage of an iterative plan: a lost executor costs one step, not
+    all of them. A written table also has a known size, so a small one is
+    broadcast in the next join and a large one is not.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
