@@ -13,7 +13,7 @@ FORMATS = ["csv", "json", "parquet"]
 def write_as(df: DataFrame, fmt: str, path: str) -> str:
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer = writer.option("header", True).option("quoteAll", True).option("nullValue", "\\N")
+        writer = writer.option("header", True).option("quoteAll", True).option("escape", '"').option("nullValue", "\\N")
     if fmt == "json":
         writer = writer.option("ignoreNullFields", False)
     writer.format(fmt).save(path)
