@@ -288,7 +288,7 @@ def log_rows(results: DataFrame, run_timestamp: Column | None = None) -> DataFra
 
 
 def append_log(results: DataFrame, root: str, run_timestamp: Column | None = None) -> None:
-    log_rows(results, run_timestamp).coalesce(1).write.mode("append").parquet(root)
+    log_rows(results, run_timestamp).repartition(1).write.mode("append").parquet(root)
 
 
 def require_passed(results: DataFrame) -> None:

@@ -132,7 +132,7 @@ def load(spark: SparkSession, curated_root: str, fact_root: str, dim_date_root:
     fresh = missing_dates(rows, have)
     inserted = fresh.count()
     if inserted:
-        fresh.coalesce(1).write.mode("append").parquet(dim_date_root)
+        fresh.repartition(1).write.mode("append").parquet(dim_date_root)
     keyed = fact.withColumns({"year": F.year("crash_date_key"), "month": F.month("crash_date_key"),
                               "source_id": F.col("source_id").cast("string")})
     fs, p = _path(spark, fact_root)

@@ -45,7 +45,8 @@ def fingerprints(spark: SparkSession, root: str) -> DataFrame:
     """SHA-256 and size per named file.
 
     A file of one part has the hash of its content. A file of several parts has
-    the hash of its parts' hashes, so no part is ever joined with another.
+    the hash of its parts' hashes, so no part is ever joined with another. A part
+    is read whole to be hashed and must stay below 2 GB.
     """
     parts = incoming(spark, root).select("name", "path", "length",
                                          F.sha2("content", 256).alias("part_sha"))
@@ -58,12 +59,18 @@ def fingerprints(spark: SparkSession, root: str) -> DataFrame:
 
 
 def csv_sanity(spark: SparkSession, root: str) -> DataFrame:
-    """Per named CSV file: valid UTF-8, header columns, number of data rows, status."""
-    text = F.col("content").cast("string")
-    header = F.regexp_replace(F.split(text, "\n", 2)[0], "[\r\ufeff]", "")
-    head = (incoming(spark, root)
-            .select("name", F.is_valid_utf8(text).alias("utf8"), F.size(F.split(header, ",")).alias("columns"))
-            .groupBy("name").agg(F.bool_and("utf8").alias("utf8"), F.min("columns").alias("header_columns")))
+    """Per named CSV file: valid UTF-8, header columns, number of data rows, status.
+
+    Lines are checked where they are read, so a file of any size is split over
+    many tasks; the header is the line at the lowest position.
+    """
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
+    lines = (spark.read.option("recursiveFileLookup", "true").text(root)
+             .select(file_name(F.col("_metadata.file_path")).alias("name"), place.alias("place"),
+                     F.is_valid_utf8("value").alias("utf8"),
+                     F.size(F.split("value", ",")).alias("columns")))
+    head = lines.groupBy("name").agg(F.bool_and("utf8").alias("utf8"),
+                                     F.min_by("columns", "place").alias("header_columns"))
     rows = (spark.read.option("multiLine", True).option("quote", '"').option("escape", '"')
             .option("header", True).option("recursiveFileLookup", "true").schema("first string").csv(root)
             .groupBy(file_name(F.col("_metadata.file_path")).alias("name"))
@@ -90,11 +97,13 @@ def expected_files(spark: SparkSession, files: DataFrame, years: list[int], patt
     wanted = spark.createDataFrame([(y, pattern.format(year=y)) for y in years],
                                    "year int, exact_name string")
     match = F.expr("name = exact_name OR name rlike concat('(?s)^.*', year, '.*[.]csv$')")
-    found = (wanted.join(F.broadcast(files.select("name", "path")), match, "left")
-             .groupBy("year", "exact_name")
-             .agg(F.count("path").alias("matches"),
-                  F.max(F.when(F.col("name") == F.col("exact_name"), F.col("path"))).alias("exact"),
-                  F.max("path").alias("any_path")))
+    # The few expected years are the broadcast side, however long the listing is.
+    hits = (files.select("name", "path").join(F.broadcast(wanted), match)
+            .groupBy("year")
+            .agg(F.count("path").alias("matches"),
+                 F.max(F.when(F.col("name") == F.col("exact_name"), F.col("path"))).alias("exact"),
+                 F.max("path").alias("any_path")))
+    found = wanted.join(hits, "year", "left").na.fill(0, ["matches"])
     single = F.when(F.col("matches") == 1, F.col("any_path"))
     return found.select(
         "year", F.coalesce("exact", single).alias("path"),
@@ -115,7 +124,7 @@ def manifest_entries(prints: DataFrame, counts: DataFrame | None, source_id: str
                      kind: str = "file_copy", retrieved_at: Column | None = None) -> DataFrame:
     """One manifest row per file of a batch."""
     out = prints if counts is None else prints.join(
-        F.broadcast(counts.select("name", F.col("row_count").alias("record_count"))), "name", "left")
+        counts.select("name", F.col("row_count").alias("record_count")), "name", "left")
     if counts is None:
         out = out.withColumn("record_count", F.lit(None).cast("long"))
     now = F.current_timestamp() if retrieved_at is None else retrieved_at
