@@ -331,7 +331,14 @@ def hot05(spark, sf):
     return H.stability(H.frame_points(spark, points, frames))
 
 
-@query("joi10_distance_join")
+@query("joi10_distance_join", """
+WITH p AS (SELECT city_area, crash_id, radians(latitude) AS la, radians(longitude) AS lo, floor(latitude / 0.0025) AS cy,
+  floor(longitude / 0.005) AS cx FROM comparable WHERE has_valid_coordinates),
+around AS (SELECT dy, dx FROM range(-1, 2) a(dy), range(-1, 2) b(dx))
+SELECT p.city_area, p.crash_id, count(q.crash_id) > 0 AS has_neighbours FROM p CROSS JOIN around
+LEFT JOIN p q ON q.city_area = p.city_area AND q.cy = p.cy + dy AND q.cx = p.cx + dx AND q.crash_id <> p.crash_id
+  AND pow(sin((p.la - q.la) / 2), 2) + cos(p.la) * cos(q.la) * pow(sin((p.lo - q.lo) / 2), 2) <= pow(sin(150.0 / 6371000 / 2), 2)
+GROUP BY ALL""")
 def joi10(spark, sf):
     """Points with another crash within 150 m: the neighbour test of the hotspots alone."""
     points = FR.comparable(fact(spark, sf)).where("has_valid_coordinates")
