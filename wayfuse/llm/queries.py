@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wayfuse.llm.common import documents, settings
+from wayfuse.llm.mixing import mix_report
 from wayfuse.llm.sharding import shard_documents
+from wayfuse.llm.simhash import simhash_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -18,6 +20,16 @@ def _query(fn):
     return fn
 
 
+@_query
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_report(documents(spark, sf_dir))
+
+
+@_query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(documents(spark, sf_dir))
+
+
 @_query
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir))
