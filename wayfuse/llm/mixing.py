@@ -123,7 +123,7 @@ def rounded_shares(units: DataFrame, seed: int = 0, block: int = BLOCK) -> DataF
     A unit is a long that no two rows share; a draw is a hash of the row's content, so that
     reruns agree whatever number a row gets. Level 0 rounds blocks of about ``block``
     units; every further level meets what is left of ``block`` blocks, until each source
-    has one unit left, which is rounded by its own chance.
+    has one unit left, which is rounded to the nearer whole number.
     """
     counts = saved(units.groupBy("source").agg(F.count(F.lit(1)).alias("n")), "mix-counts")
     most = counts.agg(F.max("n")).first()[0] or 0
@@ -140,8 +140,7 @@ def rounded_shares(units: DataFrame, seed: int = 0, block: int = BLOCK) -> DataF
         if blocks == 1:
             break
         level, blocks = level + 1, math.ceil(blocks / block)
-    u = F.pmod(F.xxhash64("draw", F.lit(seed), F.lit("last")), F.lit(1 << 30)) / float(1 << 30)
-    return settled.union(rows.select("unit", F.when(u < F.col("share"), 1.0).otherwise(0.0).alias("share")))
+    return settled.union(rows.select("unit", F.when(F.col("share") >= 0.5, 1.0).otherwise(0.0).alias("share")))
 
 
 def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, seed: int = 0) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wayfuse.llm.common import documents, settings
 from wayfuse.llm.mixing import mix_report
+from wayfuse.llm.packing import pack_documents
 from wayfuse.llm.sharding import shard_documents
 from wayfuse.llm.simhash import simhash_groups
 
@@ -33,3 +34,8 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir))
+
+
+@_query
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir))
