@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wayfuse.llm.common import documents, settings
+from wayfuse.llm.lempel_ziv import dedup_digest
 from wayfuse.llm.mixing import mix_report
 from wayfuse.llm.packing import pack_documents
 from wayfuse.llm.sharding import shard_documents
@@ -39,3 +40,8 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir))
+
+
+@_query
+def op8_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_digest(documents(spark, sf_dir))
