@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wayfuse.session import prepare, saved
 
-__all__ = ["prepare", "saved", "documents", "text_bytes", "n_words", "batches_by_bytes", "settings"]
+__all__ = ["prepare", "saved", "documents", "table", "text_bytes", "n_words", "batches_by_bytes", "settings"]
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -31,8 +31,12 @@ def settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return table(spark, sf_dir, "documents")
 
 
 def text_bytes(text: str | Column = "text") -> Column:

@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfuse.llm.common import documents, settings
+from wayfuse.llm.common import documents, settings, table
 from wayfuse.llm.lempel_ziv import dedup_digest
 from wayfuse.llm.mixing import mix_report
 from wayfuse.llm.packing import pack_documents
 from wayfuse.llm.sharding import shard_documents
 from wayfuse.llm.simhash import simhash_groups
+from wayfuse.llm.toxicity import toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,3 +46,8 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op8_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_digest(documents(spark, sf_dir))
+
+
+@_query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
