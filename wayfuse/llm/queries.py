@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wayfuse.llm import line_quality
 from wayfuse.llm.common import documents, settings, table
 from wayfuse.llm.lempel_ziv import dedup_digest
 from wayfuse.llm.mixing import mix_report
@@ -51,3 +52,11 @@ def op8_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+@_query
+def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.quality(documents(spark, sf_dir))
+
+
+ORACLES["op4_line_quality"] = line_quality.ORACLE
