@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wayfuse.llm import line_quality
 from wayfuse.llm.common import documents, settings, table
+from wayfuse.llm.fingerprints import fingerprints
 from wayfuse.llm.html_text import extract_text
 from wayfuse.llm.lempel_ziv import dedup_digest
 from wayfuse.llm.mixing import mix_report
@@ -66,3 +67,8 @@ ORACLES["op4_line_quality"] = line_quality.ORACLE
 @_query
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"))
+
+
+@_query
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(documents(spark, sf_dir))
