@@ -30,7 +30,6 @@ WINDOW = 35
 GRAM = 8
 CHUNK_BYTES = 8 << 20  # text a task holds at once
 _ODD = 0x9E3779B97F4A7C15
-_NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 class _WordHash(dict):

@@ -15,6 +15,7 @@ from wayfuse.llm.mixing import mix_report
 from wayfuse.llm.packing import pack_documents
 from wayfuse.llm.sharding import shard_documents
 from wayfuse.llm.simhash import simhash_groups
+from wayfuse.llm.suffix_array import dedup_bytes
 from wayfuse.llm.toxicity import toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +73,8 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(documents(spark, sf_dir))
+
+
+@_query
+def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_bytes(documents(spark, sf_dir))
