@@ -76,3 +76,14 @@ def test_threshold(spark):
         H.min_samples_column(F.lit(10), F.lit(589.8)).alias("small")).first()
     assert row.big == max(5, math.ceil(10 * 100_000 / 589.8 * math.pi * 0.15 ** 2))
     assert row.small == 5
+
+
+@pytest.mark.parametrize("cells", [200, 2000])
+def test_one_long_road_is_one_cluster(spark, cells):
+    """Steps of 100 m due north, ids dealt at random, so labels have to travel through foreign basins."""
+    rng = np.random.default_rng(cells)
+    ids = rng.permutation(5 * cells)
+    rows = [(int(ids[5 * i + k]), 40.0 + i * 100 / 111_195, -73.9) for i in range(cells) for k in range(5)]
+    df = spark.createDataFrame(rows + [(10**6, 30.0, -73.9)], "id long, latitude double, longitude double")
+    out = {r.id: r.cluster_id for r in H.cluster_hotspots(df, "id", min_samples=5).collect()}
+    assert out.pop(10**6) == -1 and set(out.values()) == {0}

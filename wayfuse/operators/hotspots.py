@@ -25,7 +25,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wayfuse.functions.scalars import count_if, percent, round_half_up
+from wayfuse.operators.components import components
 from wayfuse.operators.frames import frame_windows, in_frames
+from wayfuse.operators.ranking import ranked
 from wayfuse.session import saved
 from wayfuse.spec import (AREA_KM2, DENSITY_RATIO, EARTH_RADIUS_M, EPS_METERS, MIN_SAMPLES_FLOOR,
                           STABILITY_FRACTION, STABILITY_SEEDS)
@@ -201,15 +203,14 @@ def _links(core: DataFrame, eps: float) -> DataFrame:
                      *["a_" + k for k in BOX], *["b_" + k for k in BOX]))
     a_at, b_at = ["a_row", "a_col"], ["b_row", "b_col"]
     found = None
-    pair = W.partitionBy("g", "node", "to")
     for level in [*LEVELS, None]:
         near = _nearest(_box("a_"), _box("b_")) <= _limit(eps)
         sure = _farthest(_box("a_"), _box("b_")) <= _limit(eps)
-        judged = (pairs.where(near).withColumn("_sure", sure)
-                  .withColumn("_linked", F.max("_sure").over(pair)))
-        done = judged.where("_linked").select("g", "node", "to").distinct()
+        judged = pairs.where(near).withColumn("_sure", sure)
+        done = judged.where("_sure").select("g", "node", "to").distinct()
         found = done if found is None else found.unionByName(done)
-        still = judged.where(~F.col("_linked")).select("g", "node", "to", *a_at, *b_at)
+        still = judged.where(~F.col("_sure")).select("g", "node", "to", *a_at, *b_at).join(
+            done, ["g", "node", "to"], "left_anti")
         if level is None:
             def ends(side, at):
                 renamed = {"row": f"{side}_row", "col": f"{side}_col", "lat": f"{side}_lat",
@@ -231,30 +232,12 @@ def _links(core: DataFrame, eps: float) -> DataFrame:
         b_at = b_at + [f"b_{c}" for c in _tile_columns(level)]
 
 
-def connected_components(nodes: DataFrame, links: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(g, node, label): label is the smallest node of the component.
-
-    Every round takes the smallest label among the neighbours and then the
-    label's own label, which halves the remaining paths. Each round is written
-    to the shared folder, so a lost executor costs one round.
-    """
-    both = links.select("g", "node", "to").unionByName(
-        links.select("g", F.col("to").alias("node"), F.col("node").alias("to")))
-    both = saved(both, "links")
-    labels = saved(nodes.select("g", "node", F.col("node").alias("label")), "labels")
-    for _ in range(max_rounds):
-        known = labels.select("g", F.col("node").alias("to"), F.col("label").alias("offer"))
-        offers = both.join(known, ["g", "to"]).groupBy("g", "node").agg(F.min("offer").alias("offer"))
-        lowered = labels.join(offers, ["g", "node"], "left").select(
-            "g", "node", F.col("label").alias("before"),
-            F.least("label", F.coalesce("offer", "label")).alias("label"))
-        jump = lowered.select("g", F.col("node").alias("label"), F.col("label").alias("next"))
-        moved = saved(lowered.join(jump, ["g", "label"])
-                      .select("g", "node", "before", F.least("label", "next").alias("label")), "labels")
-        labels = moved.select("g", "node", "label")
-        if moved.where(F.col("before") != F.col("label")).isEmpty():
-            return labels
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+def connected_components(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """(g, node, label): label is the smallest node of the component, whatever its length."""
+    ends = links.select(F.struct("g", "node").alias("a"), F.struct("g", F.col("to").alias("node")).alias("b"))
+    joined = components(ends, "a", "b").select("node.g", "node.node", F.col("component.node").alias("_least"))
+    return nodes.select("g", "node").join(joined, ["g", "node"], "left").select(
+        "g", "node", F.coalesce("_least", "node").alias("label"))
 
 
 # -- the operator -------------------------------------------------------------
@@ -279,10 +262,10 @@ def cluster_hotspots(points: DataFrame, order: str, group: list[str] | None = No
     placed = saved(_core_sites(sites, eps_meters), "core")
     core = placed.where("core")
     nodes = core.groupBy(*CELL).agg(F.min("first_id").alias("node"))
-    labels = connected_components(nodes, _links(core, eps_meters))
-    numbers = (labels.select("g", "label").distinct()
-               .withColumn("cluster_id", (F.row_number().over(
-                   W.partitionBy("g").orderBy("label")) - 1).cast("int")))
+    labels = saved(connected_components(nodes, _links(core, eps_meters)), "labels")
+    ordered = saved(ranked(labels.select("g", "label").distinct(), F.col("g"), F.col("label")), "numbers")
+    first = ordered.groupBy("g").agg(F.min("rank").alias("_first"))
+    numbers = ordered.join(first, "g").select("g", "label", (F.col("rank") - F.col("_first")).cast("int").alias("cluster_id"))
     cells = saved(nodes.join(labels, ["g", "node"]).join(numbers, ["g", "label"])
                   .select(*CELL, "cluster_id"), "cells")
     in_core = core.join(cells, CELL).select(*SITE, "cluster_id")
@@ -342,9 +325,10 @@ def frame_points(spark: SparkSession, points: DataFrame, frames: DataFrame) -> D
 
 
 def sampled(points: DataFrame, key: str, seed: int, fraction: float = STABILITY_FRACTION) -> DataFrame:
-    """The same fraction of rows whatever the partitioning: a hash of the key decides."""
-    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000))
-    return points.where(bucket < int(fraction * 1_000_000))
+    """The same fraction of rows whatever the partitioning: the md5 of key and seed decides."""
+    digest = F.md5(F.concat_ws("/", F.col(key), F.lit(str(seed))).cast("binary"))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+    return points.where(bucket < int(fraction * (1 << 32)))
 
 
 def cluster_in_frames(points: DataFrame, extra: list[str] | None = None) -> DataFrame:
@@ -352,7 +336,7 @@ def cluster_in_frames(points: DataFrame, extra: list[str] | None = None) -> Data
     group = ["frame", "city_area", *(extra or [])]
     columns = [*group, "crash_id", "latitude", "longitude", "severity", "local_hour"]
     placed = saved(with_min_samples(points.select(*columns), group), "points")
-    return cluster_hotspots(placed, "crash_id", group, F.col("min_samples"))
+    return saved(cluster_hotspots(placed, "crash_id", group, F.col("min_samples")), "clustered")
 
 
 def concentration(spark: SparkSession, clustered: DataFrame, frames: DataFrame) -> DataFrame:
@@ -362,9 +346,10 @@ def concentration(spark: SparkSession, clustered: DataFrame, frames: DataFrame)
     fatal = F.col("severity") == "fatal"
     sizes = (clustered.where(hot).groupBy(*key, "cluster_id").agg(F.count("*").alias("size")))
     w = W.partitionBy(*key).orderBy(F.desc("size"), "cluster_id")
-    ranked = sizes.withColumn("_rank", F.row_number().over(w))
-    largest = ranked.groupBy(*key).agg(F.count("*").alias("hotspots"),
-                                       F.sum(F.when(F.col("_rank") <= 10, F.col("size"))).alias("_top"))
+    # the limit on the rank acts before the shuffle, so a group sends ten rows from each task
+    top = (sizes.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= 10)
+           .groupBy(*key).agg(F.sum("size").alias("_top")))
+    largest = sizes.groupBy(*key).agg(F.count("*").alias("hotspots")).join(F.broadcast(top), key)
     counted = clustered.groupBy(*key).agg(
         F.count("*").alias("injury_crashes"), F.max("min_samples").alias("min_samples"),
         count_if(hot).alias("_hot"), count_if(hot & fatal).alias("_hot_fatal"),
