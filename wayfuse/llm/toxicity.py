@@ -270,5 +270,5 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     clash = {c: f"_own_{c}" for c in columns if c in ("score", "evidence", "terms", "counts")}
     named = docs.withColumnsRenamed(clash).withColumn("_whole", F.col("text"))
     own = [clash.get(c, c) for c in columns if c != "text"]
-    kept = _scores(named, labels, *own, "_whole").where(F.col("score") < TOXIC_FROM)
+    kept = _scores(named, labels, *own, "_whole").where(F.col("score") < TOXIC_FROM).drop("score", "evidence")
     return kept.withColumnRenamed("_whole", "text").withColumnsRenamed({v: k for k, v in clash.items()}).select(*columns)
