@@ -237,6 +237,9 @@ def _scores(docs: DataFrame, labels: DataFrame, *columns: str) -> DataFrame:
     examples = saved(examples_of(docs, labels), "toxic-examples")
     terms = _chosen_terms(examples)
     features = saved(term_counts(docs, terms, *columns), "toxic-features")
+    # Without texts it is a small table by its bytes, but much work for each row: dealt out evenly.
+    spread = features if "_whole" in columns else features.repartition(
+        max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     counts = {r.term: r.n for r in features.select("terms").mapInArrow(_document_counts, "term int, n bigint")
               .groupBy("term").agg(F.sum("n").alias("n")).collect()}  # TERMS + 1 rows at most
     total = counts.get(-1, 0)
@@ -248,7 +251,7 @@ def _scores(docs: DataFrame, labels: DataFrame, *columns: str) -> DataFrame:
         index.calibrate([index.vote(*index.nearest(np.array(r.terms, np.int64), np.array(r.counts, np.int64), NEIGHBOURS, e))
                          for e, r in enumerate(rows)])
     kinds = [f"`{c}` {features.schema[c].dataType.simpleString()}" for c in columns]
-    return features.mapInArrow(_scored(index), ", ".join(
+    return spread.mapInArrow(_scored(index), ", ".join(
         [*kinds, "score double", "evidence array<struct<doc_id: bigint, cosine: double, toxic: int>>"]))
 
 
