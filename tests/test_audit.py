@@ -101,8 +101,8 @@ def test_other_batch_missing_and_unexpected_source(spark):
         typed_rows(feed(spark, "chicago_us", 4, lambda i: "01/10/2024 03:00:00 PM")))
     exp = spark.createDataFrame([("uk_stats19", "u1", 5), ("nyc_us", "n1", 3)], "source_id string, batch_id string, staged_rows long")
     got = {r.source_id: (r.status, r.rows_failed, r.details) for r in AU.reconciliation_check(rows, exp).collect()}
-    assert got["uk_stats19"][0] == "fail" and "5 rows not from validated batch u1" in got["uk_stats19"][2]
-    assert got["nyc_us"][0] == "fail" and "missing" in got["nyc_us"][2]
+    assert got["uk_stats19"][0] == "fail" and "5 rows of a batch other than u1" in got["uk_stats19"][2]
+    assert got["nyc_us"][0] == "fail" and "no row of this source" in got["nyc_us"][2]
     assert got[None][:2] == ("fail", 4)
 
 
@@ -161,6 +161,36 @@ def test_upsert_moves_amended_rows_and_is_repeatable(spark, tmp_path):
         PB.upsert_dataset(spark, root, change.unionByName(change))
 
 
+def test_merge_that_fails_before_the_swap_leaves_the_old_table(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "fact")
+    write_partitioned(typed_rows(feed(spark, "uk_stats19", 3, lambda i: f"14/0{i + 1}/2023 08:30")), root)
+    change = typed_rows(feed(spark, "uk_stats19", 1, lambda i: "20/03/2023 09:00", batch="u2"))
+    finish, calls = PB.finish_merge, []
+
+    def fails(spark, root):
+        calls.append(root)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        finish(spark, root)
+    monkeypatch.setattr(PB, "finish_merge", fails)
+    with pytest.raises(RuntimeError, match="lost"):
+        PB.upsert_dataset(spark, root, change)
+    assert sorted((r.source_record_id, r.month) for r in spark.read.parquet(root).collect()) == [("0", 1), ("1", 2), ("2", 3)]
+    finish(spark, root)  # the merge was written whole: it can be completed
+    assert sorted((r.source_record_id, r.month) for r in spark.read.parquet(root).collect()) == [("0", 3), ("1", 2), ("2", 3)]
+    finish(spark, root)
+    assert spark.read.parquet(root).count() == 3
+
+
+def test_merge_reads_touched_folders_only(spark, tmp_path):
+    root = str(tmp_path / "fact")
+    write_partitioned(typed_rows(feed(spark, "uk_stats19", 6, lambda i: f"14/0{i + 1}/2023 08:30")), root)
+    some = PB.touched_rows(spark.read.parquet(root), [("uk_stats19", 2023, 2), ("uk_stats19", 2023, 5)])
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters"):][:400]
+    assert filters.startswith("PartitionFilters: [isnotnull(source_id") and "= uk_stats19" in filters and sorted(r.month for r in some.collect()) == [2, 5]
+
+
 def test_load(spark, candidate, tmp_path):
     fact, dates = str(tmp_path / "fact"), str(tmp_path / "dates")
     assert PB.load(spark, candidate.path, fact, dates, dry_run=True)["rows_written"] == 0

@@ -46,7 +46,7 @@ def test_nulls_and_structural_gap(spark):
 def test_duplicates(spark):
     s = check(spark, rows(spark, {}, {"source_record_id": "0"}, {"source_record_id": "0", "crash_id": "chicago_us:0"}),
               "uniqueness_check")
-    assert s[:3] == ("fail", 3, 3) and "source_record_id=2, crash_id=1" in s[3]
+    assert s[:3] == ("fail", 3, 3) and "source_record_id=2, by crash_id=1" in s[3]
 
 
 def test_accepted_values_show_samples(spark):
@@ -124,3 +124,12 @@ def test_report(spark, tmp_path):
     R.write_markdown(df, since, str(tmp_path / "report"))
     text = "\n".join(r.value for r in spark.read.text(str(tmp_path / "report")).collect())
     assert "**1 pass, 0 warn, 1 fail** across 1 source(s)" in text and "| all sources | b1 |" in text
+
+
+@pytest.mark.parametrize("absent", CANONICAL_FIELDS)
+def test_any_absent_column_leaves_eight_results(spark, absent):
+    row = {"source_id": "uk_stats19", "batch_id": "u1", "source_record_id": "1", "crash_id": "uk_stats19:1", "severity": "minor"}
+    rows = spark.createDataFrame([tuple(row.get(c) for c in CANONICAL_FIELDS)], STAGED_SCHEMA).drop(absent)
+    got = C.run_checks(rows, dim_source(spark)).collect()
+    assert [r.check_name for r in got] == list(C.CHECKS)
+    assert {r.status for r in got if r.check_name == "schema_check"} == {"fail"}

@@ -21,7 +21,7 @@ def put(folder, **files):
 
 def test_only_blank_is_null(spark, tmp_path):
     root = put(tmp_path, a__csv='x,y\nNA,null\n,"line one\nline two"\n"say ""hi""",\n')
-    rows = [tuple(r) for r in TX.read_csv_text(spark, root, ["x", "y"]).collect()]
+    rows = [tuple(r) for r in TX.read_csv_text(spark, root, ["x", "y"], multi_line=True).collect()]
     assert rows == [("NA", "null"), (None, "line one\nline two"), ('say "hi"', None)]
 
 
@@ -143,12 +143,12 @@ def extract(spark, **values):
 
 
 @pytest.mark.parametrize("values,now,status,words", [
-    ({}, "2026-06-01", "pass", "NEW content ingested from f.csv (previous batch: b1)"),
-    ({"content_changed": False}, "2026-01-15", "pass", "first ingested 14 days ago"),
-    ({"content_changed": False}, "2026-01-16", "warn", "Older than the 14-day"),
+    ({}, "2026-06-01", "pass", "NEW content in f.csv, after batch b1"),
+    ({"content_changed": False}, "2026-01-15", "pass", "first seen 14 days back"),
+    ({"content_changed": False}, "2026-01-16", "warn", "14-day limit"),
     ({"content_changed": False, "source_id": "uk_stats19"}, "2027-01-01", "pass", "UNCHANGED"),
-    ({"source_id": "nyc_us"}, "2026-06-30", "pass", "(180 days before this run)"),
-    ({"source_id": "nyc_us"}, "2026-07-01", "warn", "Publication lag exceeds 180 days"),
+    ({"source_id": "nyc_us"}, "2026-06-30", "pass", "180 days old"),
+    ({"source_id": "nyc_us"}, "2026-07-01", "warn", "over the limit of 180"),
     ({"source_id": "nyc_us", "latest_published_date": None}, "2026-07-01", "pass", "None"),
 ])
 def test_freshness(spark, values, now, status, words):
@@ -172,3 +172,17 @@ def test_formats_round_trip(spark, tmp_path):
     assert sizes["parquet"].relative_to_parquet == 1.0 and sizes["json"].size_bytes > sizes["csv"].size_bytes
     with pytest.raises(RuntimeError):
         FM.round_trip(df.where("id < 0"), str(tmp_path / "empty"))
+
+
+def test_parts_that_change_places_change_the_hash(spark, tmp_path):
+    def file(folder, first, second):
+        put(tmp_path / folder / "file=a.csv", **{"part-0__csv": first, "part-1__csv": second})
+        return FL.fingerprints(spark, str(tmp_path / folder)).first().sha256
+    assert file("one", CSV, CSV + "d,4\n") != file("two", CSV + "d,4\n", CSV)
+    assert file("three", CSV, CSV + "d,4\n") == file("four", CSV, CSV + "d,4\n")
+
+
+def test_header_with_commas_in_quotes(spark, tmp_path):
+    root = put(tmp_path, one__csv='"just, one"\n1\n', two__csv='"x, y",z\n1,2\n')
+    got = {r.name: (r.status, r.header_columns) for r in FL.csv_sanity(spark, root).collect()}
+    assert got == {"one.csv": ("no header", 1), "two.csv": ("ok", 2)}

@@ -38,9 +38,16 @@ def test_iso_with_its_own_time(spark):
         "2026-04-01 10:00:00", "2026-04-01 18:50:00", "2026-04-01 18:50:00", "2026-04-01 10:00:00", None]
 
 
-def test_unknown_zone_is_refused():
-    with pytest.raises(ValueError, match="Lord_Howe"):
-        T.local_to_utc(F.col("x"), "Australia/Lord_Howe")
+def test_clock_changes_of_any_size(spark):
+    """Half an hour back and forth, and a whole day left out."""
+    def utc_of(zone, *texts):
+        df = spark.createDataFrame([(t,) for t in texts], "t string").select(
+            F.date_format(T.local_to_utc(F.col("t").cast("timestamp"), zone), "yyyy-MM-dd HH:mm").alias("u"))
+        return [r.u for r in df.collect()]
+    assert utc_of("Australia/Lord_Howe", "2024-04-07 01:15:00", "2024-04-07 01:45:00", "2024-04-07 02:00:00", "2024-10-06 02:15:00",
+                  "2024-10-06 02:30:00") == ["2024-04-06 14:15", None, "2024-04-06 15:30", None, "2024-10-05 15:30"]
+    assert utc_of("Pacific/Apia", "2011-12-29 23:30:00", "2011-12-30 12:00:00", "2011-12-31 00:30:00") == [
+        "2011-12-30 09:30", None, "2011-12-30 10:30"]
 
 
 def test_mixed_layouts(spark):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from wayfuse.catalog.registry import query
@@ -10,7 +12,7 @@ from wayfuse.operators import profile as P
 from wayfuse.operators import publish as PB
 from wayfuse.operators import report as R
 from wayfuse.operators.checks import append_log
-from wayfuse.operators.curate import write_partitioned, write_staged
+from wayfuse.operators.curate import harmonize, write_partitioned, write_staged
 from wayfuse.plans import landing as L
 from wayfuse.plans.analytics import month_slice
 from wayfuse.plans.bindings import curated, raw_events, raw_lineitem, raw_orders, staged, table
@@ -318,7 +320,7 @@ SELECT CAST(year(strptime(CRASH_DATE, '%m/%d/%Y %I:%M:%S %p')) AS INTEGER) AS ye
 def snk12(spark, sf):
     root, out = scratch_path(spark, "profiled"), scratch_path(spark, "profile")
     raw_orders(spark, sf).write.parquet(root)
-    P.write_report(spark.read.parquet(root), out)
+    P.write_report(spark.read.parquet(root), out, ("yearly_coverage",))
     rows = spark.read.schema("section string, content string").json(out).where("section = 'yearly_coverage'")
     return rows.select(F.from_json("content", "year int, n_rows long").alias("r")).select("r.*")
 
@@ -333,6 +335,40 @@ def snk13(spark, sf):
         "crash_date_key", "year", "month")
 
 
+@query("snk13_fourth_source", """
+SELECT source_record_id, crash_timestamp_utc - INTERVAL 330 MINUTE AS crash_timestamp_utc FROM parsed
+WHERE source_id = 'uk_stats19' AND crash_timestamp_utc IS NOT NULL""")
+def snk13b(spark, sf):
+    """A source the library does not ship: its adapter is an argument."""
+    adapter = replace(UK, source_id="roads_in", timezone="Asia/Kolkata")
+    path = write_staged(staged(spark, sf, "uk_stats19").withColumn("source_id", F.lit("roads_in")), scratch_path(spark, "staged-in"))
+    made = harmonize(spark, {"roads_in": path}, {"roads_in": "roads_in_b1"}, scratch_path(spark, "candidate-in"), {"roads_in": adapter})
+    return made.rows(spark).select("source_record_id", "crash_timestamp_utc")
+
+
+@query("snk05_upsert_all_sources", """
+SELECT crash_id, CASE WHEN crash_date_key >= m - 90 THEN 'unknown' ELSE severity END AS severity
+FROM curated JOIN (SELECT source_id, max(crash_date_key) AS m FROM curated GROUP BY 1) USING (source_id)""")
+def snk05b(spark, sf):
+    """One merge over all three sources, into a table that lacks their newest 45 days."""
+    rows = curated(spark, sf)
+    newest = rows.groupBy("source_id").agg(F.max("crash_date_key").alias("_m"))  # one row per source
+    dated = rows.join(F.broadcast(newest), "source_id")
+    root = write_partitioned(dated.where(F.col("crash_date_key") <= F.date_sub("_m", 45)).drop("_m"), scratch_path(spark, "fact"))
+    again = dated.where(F.col("crash_date_key") >= F.date_sub("_m", 90)).drop("_m").withColumn("severity", F.lit("unknown"))
+    PB.upsert_dataset(spark, root, again, at(SECOND_RUN))
+    return spark.read.parquet(root).select("crash_id", "severity")
+
+
+@query("snk08_load_again", f"SELECT {', '.join(FACT_COLUMNS)} FROM curated")
+def snk08b(spark, sf):
+    """All sources into a fact table that already holds one of them."""
+    root, dates = scratch_path(spark, "fact"), scratch_path(spark, "dim_date")
+    for source in ("nyc_us", None):
+        PB.load(spark, L.published(spark, sf), root, dates, source)
+    return spark.read.parquet(root).withColumn("source_id", F.col("source_id").cast("string")).select(*FACT_COLUMNS)
+
+
 # -- joins of the merge, incremental batches -----------------------------------------
 
 @query("joi12_upsert_match", """

@@ -17,6 +17,7 @@ from wayfuse.plans.bindings import raw_orders
 from wayfuse.plans.landing import fact, published
 from wayfuse.plans.samples import check_log
 from wayfuse.session import scratch_path
+from wayfuse.spec import STABILITY_SEEDS
 
 SOURCES = ["chicago_us", "nyc_us", "uk_stats19"]
 
@@ -305,27 +306,87 @@ def hot01(spark, sf):
         F.count("*").alias("injury_crashes"), F.max("min_samples").alias("min_samples"))
 
 
+def _dbscan(points: str) -> str:
+    """CTEs from ``points`` (frame, city_area, crash_id, coordinates, severity, local_hour) to ``clustered``:
+    sites, core sites, the closure of their links, numbers by first core point, lowest number for the rim."""
+    return f"""
+need AS (SELECT frame, city_area, CAST(greatest(5, ceil(10.0::DOUBLE * (count(*) / max(area_km2)::DOUBLE * (pi() * 0.0225)))) AS INTEGER) AS min_samples
+  FROM {points} JOIN city_facts USING (city_area) GROUP BY ALL),
+sites AS (SELECT frame, city_area, latitude, longitude, radians(latitude) AS la, radians(longitude) AS lo, floor(latitude / 0.0025) AS cy,
+  floor(longitude / 0.005) AS cx, count(*) AS w, min(crash_id) AS first_id FROM {points} GROUP BY ALL),
+around AS (SELECT dy, dx FROM range(-1, 2) a(dy), range(-1, 2) b(dx)),
+near AS (SELECT p.frame, p.city_area, p.first_id AS a, q.first_id AS b, q.w FROM (SELECT * FROM sites, around) p
+  JOIN sites q ON q.frame = p.frame AND q.city_area = p.city_area AND q.cy = p.cy + dy AND q.cx = p.cx + dx
+  AND pow(sin((p.la - q.la) / 2), 2) + cos(p.la) * cos(q.la) * pow(sin((p.lo - q.lo) / 2), 2) <= pow(sin(150.0 / 6371000 / 2), 2)),
+core AS (SELECT frame, city_area, a FROM near JOIN need USING (frame, city_area) GROUP BY frame, city_area, a, min_samples HAVING sum(w) >= min_samples),
+linked AS (SELECT n.frame, n.city_area, n.a, n.b FROM near n JOIN core x ON (x.frame, x.city_area, x.a) = (n.frame, n.city_area, n.a)
+  JOIN core y ON (y.frame, y.city_area, y.a) = (n.frame, n.city_area, n.b)),
+reach AS (SELECT frame, city_area, a, a AS b FROM core UNION
+  SELECT r.frame, r.city_area, r.a, l.b FROM reach r JOIN linked l ON (l.frame, l.city_area, l.a) = (r.frame, r.city_area, r.b)),
+labels AS (SELECT frame, city_area, a, min(b) AS label FROM reach GROUP BY ALL),
+numbers AS (SELECT frame, city_area, a, CAST(dense_rank() OVER (PARTITION BY frame, city_area ORDER BY label) - 1 AS INTEGER) AS cluster_id FROM labels),
+owned AS (SELECT s.frame, s.city_area, s.latitude, s.longitude, coalesce(own.cluster_id, min(other.cluster_id), -1) AS cluster_id
+  FROM sites s LEFT JOIN numbers own ON (own.frame, own.city_area, own.a) = (s.frame, s.city_area, s.first_id)
+  LEFT JOIN near n ON (n.frame, n.city_area, n.a) = (s.frame, s.city_area, s.first_id)
+  LEFT JOIN numbers other ON (other.frame, other.city_area, other.a) = (n.frame, n.city_area, n.b)
+  GROUP BY s.frame, s.city_area, s.latitude, s.longitude, own.cluster_id),
+clustered AS (SELECT p.*, min_samples, cluster_id FROM {points} p JOIN need USING (frame, city_area) JOIN owned USING (frame, city_area, latitude, longitude))"""
+
+
+_CLUSTERED = f"WITH RECURSIVE {_FRAME_POINTS}, {_dbscan('points')}"
+
+
 def _clustered(spark, sf):
     points, frames = _cluster_points(spark, sf)
     return H.cluster_in_frames(H.frame_points(spark, points, frames)), frames
 
 
-@query("hot02_dbscan")
+@query("hot02_dbscan", f"{_CLUSTERED} SELECT frame, city_area, crash_id, min_samples, cluster_id FROM clustered")
 def hot02(spark, sf):
     return _clustered(spark, sf)[0].select("frame", "city_area", "crash_id", "min_samples", "cluster_id")
 
 
-@query("hot03_concentration")
+@query("hot03_concentration", f"""
+{_CLUSTERED}, sizes AS (SELECT *, row_number() OVER (PARTITION BY frame, city_area ORDER BY n DESC, cluster_id) AS k FROM
+  (SELECT frame, city_area, cluster_id, count(*) AS n FROM clustered WHERE cluster_id >= 0 GROUP BY ALL)),
+top AS (SELECT frame, city_area, count(*) AS hotspots, sum(n) FILTER (WHERE k <= 10) AS t FROM sizes GROUP BY ALL),
+counted AS (SELECT frame, city_area, count(*) AS n, max(min_samples) AS min_samples, count(*) FILTER (WHERE cluster_id >= 0) AS h,
+  count(*) FILTER (WHERE cluster_id >= 0 AND severity = 'fatal') AS hf, count(*) FILTER (WHERE cluster_id < 0 AND severity = 'fatal') AS cf FROM clustered GROUP BY ALL),
+wanted AS (SELECT f.frame, fc.city_area FROM cframes f JOIN frame_cities fc ON f.frame_no = fc.frame_no)
+SELECT frame, city_area, coalesce(n, 0) AS injury_crashes, coalesce(min_samples, 5) AS min_samples, coalesce(hotspots, 0) AS hotspots,
+  {pct('coalesce(h, 0)', 'coalesce(n, 0)', 1)} AS pct_in_hotspots, coalesce({pct('coalesce(t, 0)', 'coalesce(n, 0)', 1)}, 0.0) AS pct_in_top10_hotspots,
+  {pct('coalesce(hf, 0)', 'coalesce(h, 0)', 2)} AS pct_fatal_in_hotspots, {pct('coalesce(cf, 0)', '(coalesce(n, 0) - coalesce(h, 0))', 2)} AS pct_fatal_elsewhere
+FROM wanted LEFT JOIN counted USING (frame, city_area) LEFT JOIN top USING (frame, city_area)""")
 def hot03(spark, sf):
     return H.concentration(spark, *_clustered(spark, sf))
 
 
-@query("hot04_cluster_summary")
+@query("hot04_cluster_summary", f"""
+{_CLUSTERED}, hours AS (SELECT frame, city_area, cluster_id, local_hour, count(*) AS n FROM clustered WHERE cluster_id >= 0 GROUP BY ALL),
+peak AS (SELECT frame, city_area, cluster_id, local_hour AS peak_local_hour FROM hours
+  QUALIFY row_number() OVER (PARTITION BY frame, city_area, cluster_id ORDER BY n DESC, local_hour) = 1)
+SELECT frame, city_area, cluster_id, size, CAST(round(CAST(la AS DECIMAL(38,12)), 5) AS DOUBLE) AS centroid_lat,
+  CAST(round(CAST(lo AS DECIMAL(38,12)), 5) AS DOUBLE) AS centroid_lon, {pct('f', 'size', 2)} AS pct_fatal, {pct('s', 'size', 2)} AS pct_serious,
+  {pct('m', 'size', 2)} AS pct_minor, peak_local_hour
+FROM (SELECT frame, city_area, cluster_id, count(*) AS size, avg(latitude) AS la, avg(longitude) AS lo, count(*) FILTER (WHERE severity = 'fatal') AS f,
+  count(*) FILTER (WHERE severity = 'serious') AS s, count(*) FILTER (WHERE severity = 'minor') AS m FROM clustered WHERE cluster_id >= 0 GROUP BY ALL)
+JOIN peak USING (frame, city_area, cluster_id)""")
 def hot04(spark, sf):
     return H.summarize_clusters(_clustered(spark, sf)[0], ["frame", "city_area"])
 
 
-@query("hot05_stability")
+_SEEDS = ", ".join(f"({s})" for s in STABILITY_SEEDS)
+
+
+@query("hot05_stability", f"""
+WITH RECURSIVE {_FRAME_POINTS}, seeded AS (SELECT p.* REPLACE (p.frame || '#' || seed AS frame) FROM points p, (VALUES {_SEEDS}) v(seed)
+  WHERE CAST('0x' || substr(md5(crash_id || '/' || seed), 1, 8) AS BIGINT) < CAST(floor(0.8 * 4294967296) AS BIGINT)),
+{_dbscan('seeded')}, per_seed AS (SELECT left(frame, length(frame) - 2) AS frame, right(frame, 1) AS seed, city_area,
+  count(DISTINCT cluster_id) FILTER (WHERE cluster_id >= 0) AS h, {pct('count(*) FILTER (WHERE cluster_id >= 0)', 'count(*)', 1)} AS p
+  FROM clustered GROUP BY ALL)
+SELECT frame, city_area, """ + ", ".join(
+    f"""max(h) FILTER (WHERE seed = '{s}') AS "{s}_hotspots", max(p) FILTER (WHERE seed = '{s}') AS "{s}_pct_in_hotspots\"""" for s in STABILITY_SEEDS)
+    + " FROM per_seed GROUP BY ALL")
 def hot05(spark, sf):
     points, frames = _cluster_points(spark, sf)
     return H.stability(H.frame_points(spark, points, frames))

@@ -310,28 +310,28 @@ GROUP BY ALL
 
 DQ = f"""
 SELECT source_id, batch_id, 'schema_check' AS check_name, 'pass' AS status, n AS rows_checked,
-  CAST(0 AS BIGINT) AS rows_failed, 'All 25 canonical fields present' AS details FROM counters
+  CAST(0 AS BIGINT) AS rows_failed, '25 of 25 columns there' AS details FROM counters
 UNION ALL SELECT source_id, batch_id, 'nullability_check', CASE WHEN null_cells > 0 THEN 'fail' ELSE 'pass' END, n, null_cells,
-  'No nulls in ' || {_ENFORCED} || ' non-nullable fields' FROM counters
+  {_ENFORCED} || ' required columns are filled' FROM counters
 UNION ALL SELECT source_id, batch_id, 'uniqueness_check', CASE WHEN dup_record + dup_crash > 0 THEN 'fail' ELSE 'pass' END,
   n, dup_record + dup_crash, CASE WHEN dup_record + dup_crash > 0
-    THEN 'Duplicates: source_record_id=' || dup_record || ', crash_id=' || dup_crash
-    ELSE 'All keys unique within batch' END FROM counters
+    THEN 'surplus copies by source_record_id=' || dup_record || ', by crash_id=' || dup_crash
+    ELSE 'each key occurs once' END FROM counters
 UNION ALL SELECT source_id, batch_id, 'accepted_values_check', CASE WHEN bad_values > 0 THEN 'fail' ELSE 'pass' END, n,
-  bad_values, 'All accepted-value constraints satisfied' FROM counters
+  bad_values, 'only listed values occur' FROM counters
 UNION ALL SELECT source_id, batch_id, 'range_check', CASE WHEN hard > 0 THEN 'fail' WHEN soft > 0 THEN 'warn' ELSE 'pass' END,
   n, CASE WHEN hard > 0 THEN hard ELSE soft END, CASE WHEN soft > 0
-    THEN 'Flagged (soft): posted_speed_limit_mph=' || soft ELSE 'All numeric ranges within bounds' END FROM counters
+    THEN 'unusual posted_speed_limit_mph=' || soft ELSE 'every number is within its limits' END FROM counters
 UNION ALL SELECT source_id, batch_id, 'date_logic_check',
   CASE WHEN source_id <> 'chicago_us' THEN 'pass' WHEN inverted > 5 THEN 'fail' WHEN inverted > 0 THEN 'warn' ELSE 'pass' END,
   n, CASE WHEN source_id <> 'chicago_us' THEN 0 ELSE inverted END,
-  CASE WHEN source_id <> 'chicago_us' THEN 'Skipped: police_notified_timestamp_utc is a structural gap'
-    WHEN inverted > 0 THEN inverted || ' rows notified before the crash (tolerance 5)'
-    ELSE 'Date logic holds (' || both_dates || ' rows with both timestamps)' END FROM counters
+  CASE WHEN source_id <> 'chicago_us' THEN 'Skipped: this source has no police time (structural gap)'
+    WHEN inverted > 0 THEN inverted || ' rows with the police time ahead of the crash, up to 5 allowed'
+    ELSE 'times in order in ' || both_dates || ' rows that have both' END FROM counters
 UNION ALL SELECT source_id, batch_id, 'referential_check', 'pass', n, 0,
-  'All source_id values (' || source_id || ') known' FROM counters
+  'source found in the dimension: ' || source_id FROM counters
 UNION ALL SELECT source_id, batch_id, 'row_count_check', 'pass', n, 0,
-  'Staged rows: ' || n || ' | raw manifest total: ' || n FROM counters
+  n || ' rows staged, ' || n || ' in the manifest' FROM counters
 """
 
 FRESHNESS = """
@@ -339,11 +339,11 @@ SELECT source_id, source_id || '_b1' AS batch_id, 'source_freshness' AS check_na
   CASE source_id WHEN 'nyc_us' THEN CASE WHEN lag > 180 THEN 'warn' ELSE 'pass' END
     WHEN 'chicago_us' THEN CASE WHEN age > 14 THEN 'warn' ELSE 'pass' END ELSE 'pass' END AS status,
   n AS rows_checked, CAST(0 AS BIGINT) AS rows_failed,
-  CASE source_id WHEN 'nyc_us' THEN 'API pull: window ' || (latest - 90) || ' to ' || latest || '; newest published date '
-      || latest || ' (' || lag || ' days before this run).' || CASE WHEN lag > 180 THEN ' Publication lag exceeds 180 days.' ELSE '' END
-    WHEN 'chicago_us' THEN 'UNCHANGED: orders is identical to batch chicago_us_b1 (first ingested ' || age || ' days ago).'
-      || CASE WHEN age > 14 THEN ' Older than the 14-day refresh expectation.' ELSE '' END
-    ELSE 'NEW content ingested from lineitem (previous batch: none).' END AS details
+  CASE source_id WHEN 'nyc_us' THEN 'pulled ' || (latest - 90) || ' to ' || latest || ', last record of '
+      || latest || ', ' || lag || ' days old' || CASE WHEN lag > 180 THEN ', over the limit of 180' ELSE '' END
+    WHEN 'chicago_us' THEN 'UNCHANGED since batch chicago_us_b1: orders, first seen ' || age || ' days back'
+      || CASE WHEN age > 14 THEN ', over the 14-day limit' ELSE '' END
+    ELSE 'NEW content in lineitem, after batch none' END AS details
 FROM (SELECT source_id, count(*) AS n, max(CAST(crash_timestamp_utc AS DATE)) AS latest,
         date_diff('day', max(CAST(crash_timestamp_utc AS DATE)), DATE '2026-01-05') AS lag,
         CAST(floor((epoch(TIMESTAMP '2026-01-05 07:00:00') - epoch(max(crash_timestamp_utc))) / 86400) AS INTEGER) AS age
@@ -387,6 +387,6 @@ def with_ctes(sql: str) -> str:
     if not parts:
         return sql.strip()
     sql = sql.strip()
-    if re.match(r"(?i)with\b", sql):
-        return "WITH " + ",\n".join(parts) + ",\n" + sql[4:].strip()
+    if own := re.match(r"(?i)(with(?: recursive)?)\b", sql):
+        return f"{own[1]} " + ",\n".join(parts) + ",\n" + sql[own.end():].strip()
     return "WITH " + ",\n".join(parts) + "\n" + sql

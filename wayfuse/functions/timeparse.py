@@ -5,11 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The overlap test below looks one hour either side of the converted instant,
-# which is the size of the clock change in every zone listed here.
-ONE_HOUR_ZONES = {"America/Chicago", "America/New_York", "Europe/London", "UTC"}
-
-
 def parse_local(text: Column, layout: str) -> Column:
     """Strict parse of wall-clock text; null when it does not fit the layout.
 
@@ -23,27 +18,27 @@ def parse_local(text: Column, layout: str) -> Column:
     return F.try_to_timestamp(text, F.lit(layout))
 
 
-def _check_zone(zone: str) -> str:
-    if zone not in ONE_HOUR_ZONES:
-        raise ValueError(f"{zone}: clock changes of this zone are not known to be one hour")
-    return zone
-
-
 def is_certain(local: Column, utc: Column, zone: str) -> Column:
     """The clock shows this wall-clock time exactly once.
 
-    False in the autumn hour that comes twice and the spring hour that never
-    comes: the instant cannot be known there.
+    False in the autumn hour that comes twice and the spring hour that never comes: the
+    instant cannot be known there. A change of the clock lies within a day of such a time,
+    so the offsets a day before and a day after are the only two it can have; whatever the
+    size of the change, the time is certain if just one of them reads back as itself.
     """
-    hour = F.expr("INTERVAL 1 HOUR")
-    return ((F.from_utc_timestamp(utc, zone) == local)
-            & (F.from_utc_timestamp(utc + hour, zone) != local)
-            & (F.from_utc_timestamp(utc - hour, zone) != local))
+    def read(shift: str) -> Column:
+        at = F.expr(shift) + utc
+        offset = F.unix_micros(F.from_utc_timestamp(at, zone)) - F.unix_micros(at)
+        return F.timestamp_micros(F.unix_micros(local) - offset)
+
+    before, after = read("INTERVAL -1 DAY"), read("INTERVAL 1 DAY")
+    shown = lambda at: F.from_utc_timestamp(at, zone) == local
+    return F.when(before == after, shown(before)).otherwise(shown(before) != shown(after))
 
 
 def local_to_utc(local: Column, zone: str) -> Column:
     """UTC instant of a wall-clock time, null where that is ambiguous or never was."""
-    utc = F.to_utc_timestamp(local, _check_zone(zone))
+    utc = F.to_utc_timestamp(local, zone)
     return F.when(is_certain(local, utc, zone), utc)
 
 
@@ -63,8 +58,6 @@ def with_utc(df: DataFrame, columns: list[str], adapters) -> DataFrame:
     each computed once, where one nested expression would parse the text again
     for every mention of it.
     """
-    for a in adapters:
-        _check_zone(a.timezone)
     parsed = {f"_local_{c}": by_source(lambda a, c=c: parse_local(F.col(c), a.timestamp_layout),
                                        adapters, parse_local(F.col(c), "iso")) for c in columns}
     shifted = {f"_utc_{c}": by_source(
@@ -96,6 +89,3 @@ def add_local_time(df: DataFrame) -> DataFrame:
                 "is_weekend": F.weekday("_local") >= 5,
             }).drop("_local"))
 
-
-def utc_date(ts: Column) -> Column:
-    return F.to_date(ts)

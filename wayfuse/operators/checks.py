@@ -7,6 +7,7 @@ rows to the driver: a result is a small DataFrame.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -68,7 +69,7 @@ def accepted_counters(columns: list[str]) -> dict[str, Column]:
             for c, allowed in ACCEPTED_VALUES.items() if c in columns}
 
 
-def range_counters(columns: list[str]) -> dict[str, Column]:
+def range_counters(columns: list[str], adapters: dict = ADAPTERS) -> dict[str, Column]:
     out = {}
     for c, (low, high) in NUMERIC_RANGES.items():
         if c in columns:
@@ -85,14 +86,14 @@ def range_counters(columns: list[str]) -> dict[str, Column]:
             v = to_double(F.col(axis))
             outside = by_source(
                 lambda a: (v < a.bounding_box[axis][0]) | (v > a.bounding_box[axis][1]),
-                ADAPTERS.values(), F.lit(False))
+                adapters.values(), F.lit(False))
             out[f"range_{axis}_out_of_bbox"] = count_if(outside)
     return out
 
 
-def _wall_clock(column: str) -> Column:
+def _wall_clock(column: str, adapters: dict) -> Column:
     return by_source(lambda a: parse_local(F.col(column), a.timestamp_layout),
-                     ADAPTERS.values(), parse_local(F.col(column), "iso"))
+                     adapters.values(), parse_local(F.col(column), "iso"))
 
 
 def date_logic_counters(columns: list[str]) -> dict[str, Column]:
@@ -102,34 +103,37 @@ def date_logic_counters(columns: list[str]) -> dict[str, Column]:
             "dates_inverted": count_if(F.col("_police") < F.col("_crash"))}
 
 
-def batch_counters(staged: DataFrame) -> DataFrame:
-    """One row per source and batch with every row-level counter: one scan."""
+def batch_counters(staged: DataFrame, only: tuple[str, ...], adapters: dict = ADAPTERS) -> DataFrame:
+    """One row per source and batch with the row-level counters of the named checks: one scan."""
     columns = staged.columns
-    counters = {"n": F.count("*"), **nullability_counters(columns), **accepted_counters(columns),
-                **range_counters(columns)}
-    dates = date_logic_counters(columns)
+    counters = {"n": F.count("*")}
+    for check, build in (("nullability_check", nullability_counters), ("accepted_values_check", accepted_counters),
+                         ("range_check", lambda c: range_counters(c, adapters))):
+        if check in only:
+            counters.update(build(columns))
+    dates = date_logic_counters(columns) if "date_logic_check" in only else {}
     if dates:
-        staged = staged.withColumns({"_crash": _wall_clock(TIME_COLUMNS[0]),
-                                     "_police": _wall_clock(TIME_COLUMNS[1])})
+        staged = staged.withColumns({"_crash": _wall_clock(TIME_COLUMNS[0], adapters),
+                                     "_police": _wall_clock(TIME_COLUMNS[1], adapters)})
     counters.update(dates)
     return staged.groupBy(*BATCH).agg(*[c.alias(k) for k, c in counters.items()])
 
 
 def duplicate_counts(df: DataFrame, group: list[str], keys: dict[str, list[str]]) -> DataFrame:
-    """Extra copies per key set (nulls equal), one shuffle for all key sets.
+    """Extra copies per key set (nulls equal), by one grouped count for each key set.
 
     Copies are counted before the shuffle, so a key with very many copies sends
     one row per task.
     """
-    packed = F.array(*[
-        F.struct(F.lit(name).alias("kind"),
-                 F.to_json(F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(cols)])).alias("key"))
-        for name, cols in keys.items()])
-    counted = (df.select(*group, F.explode(packed).alias("_k")).select(*group, "_k.kind", "_k.key")
-               .groupBy(*group, "kind", "key").agg(F.count("*").alias("copies")))
-    return counted.groupBy(*group).agg(*[
-        F.coalesce(F.sum(F.when(F.col("kind") == name, F.col("copies") - 1)), F.lit(0))
-         .cast("long").alias(name) for name in keys])
+    out = None
+    for name, cols in keys.items():
+        by = list(dict.fromkeys([*group, *cols]))
+        extra = (df.groupBy(*by).agg(F.count("*").alias("_copies"))
+                 .groupBy(*group).agg(F.sum(F.col("_copies") - 1).cast("long").alias(name)))
+        # one row per group
+        out = extra if out is None else out.join(F.broadcast(extra), [out[g].eqNullSafe(extra[g]) for g in group]).select(
+            *[out[c] for c in out.columns], extra[name])
+    return out
 
 
 # -- the checks as rows ------------------------------------------------------
@@ -143,9 +147,9 @@ def schema_result(columns: list[str]) -> Column:
     n = F.col("n")
     if missing:
         return result("schema_check", F.lit("fail"), n, n,
-                      F.lit(f"Missing canonical fields: {missing}"))
+                      F.lit(f"columns absent: {', '.join(missing)}"))
     return result("schema_check", F.lit("pass"), n, F.lit(0),
-                  F.lit(f"All {len(CANONICAL_FIELDS)} canonical fields present"))
+                  F.lit(f"{len(CANONICAL_FIELDS)} of {len(CANONICAL_FIELDS)} columns there"))
 
 
 def nullability_result(columns: list[str]) -> Column:
@@ -154,16 +158,16 @@ def nullability_result(columns: list[str]) -> Column:
     shown = named_counts([(k[5:], F.col(k)) for k in names])
     enforced = _source_case({s: len(set(NON_NULLABLE) - g) for s, g in STRUCTURAL_GAPS.items()},
                             len(NON_NULLABLE))
-    details = (F.when(bad > 0, F.concat(F.lit("Non-nullable fields with nulls: "), shown))
-               .otherwise(F.concat(F.lit("No nulls in "), enforced, F.lit(" non-nullable fields"))))
+    details = (F.when(bad > 0, F.concat(F.lit("empty where a value is required: "), shown))
+               .otherwise(F.concat(enforced, F.lit(" required columns are filled"))))
     return result("nullability_check", pass_or(bad > 0), F.col("n"), bad, details)
 
 
 def uniqueness_result() -> Column:
     r, c = F.col("dup_record"), F.col("dup_crash")
-    details = (F.when(r + c > 0, F.concat(F.lit("Duplicates: source_record_id="), r,
-                                          F.lit(", crash_id="), c))
-               .otherwise("All keys unique within batch"))
+    details = (F.when(r + c > 0, F.concat(F.lit("surplus copies by source_record_id="), r,
+                                          F.lit(", by crash_id="), c))
+               .otherwise("each key occurs once"))
     return result("uniqueness_check", pass_or(r + c > 0), F.col("n"), r + c, details)
 
 
@@ -174,8 +178,8 @@ def accepted_result(columns: list[str]) -> Column:
         F.when(F.col(k) > 0, F.concat(F.lit(k[4:] + "="), F.col(k), F.lit(" ["),
                                       F.coalesce(F.col(f"sample_{k[4:]}"), F.lit("")), F.lit("]")))
         for k in names])
-    details = (F.when(bad > 0, F.concat(F.lit("Values outside accepted sets: "), shown))
-               .otherwise("All accepted-value constraints satisfied"))
+    details = (F.when(bad > 0, F.concat(F.lit("unlisted values: "), shown))
+               .otherwise("only listed values occur"))
     return result("accepted_values_check", pass_or(bad > 0), F.col("n"), bad, details)
 
 
@@ -197,11 +201,12 @@ def accepted_samples(staged: DataFrame, limit: int = 5) -> DataFrame:
 
 def range_result(columns: list[str]) -> Column:
     hard = [k for k in range_counters(columns) if k.startswith("range_")]
-    bad, soft = _sum(hard), F.col("soft_speed")
-    details = (F.when(bad > 0, F.concat(F.lit("Out-of-range values: "),
+    bad = _sum(hard)
+    soft = F.col("soft_speed") if "posted_speed_limit_mph" in columns else F.lit(0)
+    details = (F.when(bad > 0, F.concat(F.lit("beyond the limits: "),
                                         named_counts([(k[6:], F.col(k)) for k in hard])))
-               .when(soft > 0, F.concat(F.lit("Flagged (soft): posted_speed_limit_mph="), soft))
-               .otherwise("All numeric ranges within bounds"))
+               .when(soft > 0, F.concat(F.lit("unusual posted_speed_limit_mph="), soft))
+               .otherwise("every number is within its limits"))
     return result("range_check", pass_or(bad > 0, soft > 0), F.col("n"),
                   F.when(bad > 0, bad).otherwise(soft), details)
 
@@ -209,23 +214,24 @@ def range_result(columns: list[str]) -> Column:
 def date_logic_result(columns: list[str]) -> Column:
     if not set(TIME_COLUMNS) <= set(columns):
         return result("date_logic_check", F.lit("warn"), F.col("n"), F.lit(0),
-                      F.lit("One or both timestamp columns missing"))
+                      F.lit("needs both time columns"))
     gap = F.col("source_id").isin(*[s for s, g in STRUCTURAL_GAPS.items() if TIME_COLUMNS[1] in g])
     allowed = _source_case(DATE_LOGIC_TOLERANCE, 0)
     n = F.when(gap, F.lit(0)).otherwise(F.col("dates_inverted"))
-    details = (F.when(gap, "Skipped: police_notified_timestamp_utc is a structural gap")
-               .when(n > 0, F.concat(n, F.lit(" rows notified before the crash (tolerance "),
-                                     allowed, F.lit(")")))
-               .otherwise(F.concat(F.lit("Date logic holds ("), F.col("dates_both"),
-                                   F.lit(" rows with both timestamps)"))))
+    details = (F.when(gap, "Skipped: this source has no police time (structural gap)")
+               .when(n > 0, F.concat(n, F.lit(" rows with the police time ahead of the crash, up to "),
+                                     allowed, F.lit(" allowed")))
+               .otherwise(F.concat(F.lit("times in order in "), F.col("dates_both"),
+                                   F.lit(" rows that have both"))))
     return result("date_logic_check", pass_or(n > allowed, n > 0), F.col("n"), n, details)
 
 
-def referential_result() -> Column:
-    unknown = F.col("_known").isNull() & F.col("source_id").isNotNull()
-    details = (F.when(unknown, F.concat(F.lit("source_id values not in dim_source: "), "source_id"))
-               .otherwise(F.concat(F.lit("All source_id values ("),
-                                   F.coalesce("source_id", F.lit("")), F.lit(") known"))))
+def referential_result(named: bool = True) -> Column:
+    """``named``: the rows have a source at all; without one they all fail."""
+    unknown = F.col("_known").isNull() & F.col("source_id").isNotNull() if named else F.lit(True)
+    details = (F.when(unknown, F.concat(F.lit("unknown source: "), F.coalesce("source_id", F.lit("none given"))))
+               .otherwise(F.concat(F.lit("source found in the dimension: "),
+                                   F.coalesce("source_id", F.lit("")))))
     return result("referential_check", pass_or(unknown), F.col("n"),
                   F.when(unknown, F.col("n")).otherwise(0), details)
 
@@ -233,10 +239,10 @@ def referential_result() -> Column:
 def row_count_result() -> Column:
     n, raw = F.col("n"), F.col("raw_total")
     over = F.coalesce(n > raw, F.lit(False)) & (raw != 0)
-    details = F.concat(F.lit("Staged rows: "), n,
-                       F.when(raw != 0, F.concat(F.lit(" | raw manifest total: "), raw)).otherwise(""),
-                       F.when(over, " | staged > raw (unexpected)").otherwise(""))
-    details = F.when(n == 0, "Staging produced zero rows").otherwise(details)
+    details = F.concat(n, F.lit(" rows staged"),
+                       F.when(raw != 0, F.concat(F.lit(", "), raw, F.lit(" in the manifest"))).otherwise(""),
+                       F.when(over, ", which is fewer").otherwise(""))
+    details = F.when(n == 0, "nothing was staged").otherwise(details)
     return result("row_count_check", pass_or(n == 0, over), n, F.lit(0), details)
 
 
@@ -249,34 +255,61 @@ def expected_zero_rows(counters: DataFrame, batches: DataFrame | None) -> DataFr
     return out.na.fill(0, numeric)
 
 
+CHECKS = ("schema_check", "nullability_check", "uniqueness_check", "accepted_values_check", "range_check",
+          "date_logic_check", "referential_check", "row_count_check")
+
+
+def _built(wide: DataFrame, check: str, build) -> Column:
+    """The check's result; one that cannot be resolved fails by itself and leaves the others alone."""
+    try:
+        out = build()
+        wide.select(out)
+        return out
+    except AnalysisException as e:
+        return result(check, F.lit("fail"), F.col("n"), F.col("n"), F.lit(f"Check raised: {str(e)[:200]}"))
+
+
 def run_checks(staged: DataFrame, dim_source: DataFrame, totals: DataFrame | None = None,
-               batches: DataFrame | None = None) -> DataFrame:
-    """All eight checks of every batch in ``staged``, one row each.
+               batches: DataFrame | None = None, only: tuple[str, ...] = CHECKS,
+               adapters: dict = ADAPTERS) -> DataFrame:
+    """The checks of every batch in ``staged``, all eight or those named, one row each.
 
     ``totals`` (source_id, batch_id, total_records_or_files) is the raw manifest;
-    ``batches`` the batches that should be there.
+    ``batches`` the batches that should be there. An absent column fails the checks that
+    need it; the rest report as usual. ``adapters`` hold each source's layout and bounds. A check that is not asked for costs no pass.
     """
     columns = staged.columns
-    counters = expected_zero_rows(batch_counters(staged), batches)
-    if {"source_record_id", "crash_id"} <= set(columns):
-        keys = duplicate_counts(staged, BATCH, {"dup_record": ["source_record_id"],
-                                                "dup_crash": ["crash_id"]})
-        unique = uniqueness_result()
+    for c in BATCH:
+        if c not in columns:
+            staged = staged.withColumn(c, F.lit(None).cast("string"))
+    wide = expected_zero_rows(batch_counters(staged, only, adapters), batches)
+
+    def with_rows(part):  # one row per batch
+        match = [wide[c].eqNullSafe(part[c]) for c in BATCH]
+        return wide.join(F.broadcast(part), match, "left").select(
+            *[wide[c] for c in wide.columns], *[part[c] for c in part.columns if c not in BATCH])
+
+    keyed = {"source_record_id", "crash_id"} <= set(columns)
+    if "uniqueness_check" in only and keyed:
+        wide = with_rows(duplicate_counts(staged, BATCH, {"dup_record": ["source_record_id"],
+                                                          "dup_crash": ["crash_id"]})).na.fill(0, ["dup_record", "dup_crash"])
+    if "accepted_values_check" in only and any(c in columns for c in ACCEPTED_VALUES):
+        wide = with_rows(accepted_samples(staged))
+    if "referential_check" in only:
+        known = dim_source.select("source_id").distinct().withColumn("_known", F.lit(True))
+        wide = wide.join(F.broadcast(known), "source_id", "left")
+    if totals is None:
+        wide = wide.withColumn("raw_total", F.lit(None).cast("long"))
     else:
-        keys = counters.select(*BATCH, F.lit(0).alias("dup_record"), F.lit(0).alias("dup_crash"))
-        unique = result("uniqueness_check", F.lit("fail"), F.col("n"), F.col("n"),
-                        F.lit("Missing source_record_id or crash_id"))
-    known = dim_source.select("source_id").distinct().withColumn("_known", F.lit(True))
-    raw = (F.lit(None).cast("long") if totals is None else F.col("total_records_or_files"))
-    wide = (counters.join(F.broadcast(keys), BATCH, "left")
-            .join(F.broadcast(accepted_samples(staged)), BATCH, "left")
-            .join(F.broadcast(known), "source_id", "left"))
-    if totals is not None:
-        wide = wide.join(F.broadcast(totals.select(*BATCH, "total_records_or_files")), BATCH, "left")
-    wide = wide.na.fill(0, ["dup_record", "dup_crash"]).withColumn("raw_total", raw)
-    results = F.array(schema_result(columns), nullability_result(columns), unique,
-                      accepted_result(columns), range_result(columns), date_logic_result(columns),
-                      referential_result(), row_count_result())
+        wide = with_rows(totals.select(*BATCH, F.col("total_records_or_files").alias("raw_total")))
+    absent = result("uniqueness_check", F.lit("fail"), F.col("n"), F.col("n"), F.lit("a key column is absent"))
+    builders = {"schema_check": lambda: schema_result(columns), "nullability_check": lambda: nullability_result(columns),
+                "uniqueness_check": lambda: uniqueness_result() if keyed else absent,
+                "accepted_values_check": lambda: accepted_result(columns), "range_check": lambda: range_result(columns),
+                "date_logic_check": lambda: date_logic_result(columns),
+                "referential_check": lambda: referential_result("source_id" in columns),
+                "row_count_check": row_count_result}
+    results = F.array(*[_built(wide, name, builders[name]) for name in CHECKS if name in only])
     return wide.select(*BATCH, F.explode(results).alias("r")).select(*BATCH, "r.*")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfuse.session import saved
+from wayfuse.session import dropped, saved
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -37,7 +37,10 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
                 .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct(), "edges")
     digest = None
     while True:
-        now = saved(_small_star(saved(_large_star(now), "large-star")), "small-star")
+        large = saved(_large_star(now), "large-star")
+        before, now = now, saved(_small_star(large), "small-star")
+        dropped(before)
+        dropped(large)
         told = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if told == digest:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(

@@ -32,9 +32,9 @@ def _typed(name: str, kind: str) -> Column:
     return c.cast("string")
 
 
-def cast_canonical(staged: DataFrame) -> DataFrame:
+def cast_canonical(staged: DataFrame, adapters: dict = ADAPTERS) -> DataFrame:
     """All canonical columns in their types; text that does not fit gives null."""
-    return (with_utc(staged, TIME_COLUMNS, list(ADAPTERS.values()))
+    return (with_utc(staged, TIME_COLUMNS, list(adapters.values()))
             .select([_typed(n, t).alias(n) for n, t, _ in CANONICAL]))
 
 
@@ -57,15 +57,15 @@ def with_keys(df: DataFrame) -> DataFrame:
                            "month": F.month(ts)})
 
 
-def typed_rows(staged: DataFrame) -> DataFrame:
+def typed_rows(staged: DataFrame, adapters: dict = ADAPTERS) -> DataFrame:
     """Typed rows, without those that have no valid UTC time."""
-    return with_keys(drop_without(cast_canonical(staged), "crash_timestamp_utc"))
+    return with_keys(drop_without(cast_canonical(staged, adapters), "crash_timestamp_utc"))
 
 
-def exclusion_counts(staged: DataFrame) -> DataFrame:
+def exclusion_counts(staged: DataFrame, adapters: dict = ADAPTERS) -> DataFrame:
     """Staged, curated and excluded rows per source, in one pass."""
     timed = with_utc(staged.select("source_id", "crash_timestamp_utc"), ["crash_timestamp_utc"],
-                     list(ADAPTERS.values()))
+                     list(adapters.values()))
     return (timed.groupBy("source_id")
             .agg(F.count("*").alias("staged_rows"),
                  F.count("crash_timestamp_utc").alias("curated_rows"))
@@ -124,13 +124,19 @@ def expected_batches(spark: SparkSession, candidate: Candidate) -> DataFrame:
     return listed.join(F.broadcast(staged), "source_id", "left").na.fill(0, ["staged_rows"])
 
 
-def harmonize(spark: SparkSession, staged_paths: dict, batches: dict, target: str) -> Candidate:
+def harmonize(spark: SparkSession, staged_paths: dict, batches: dict, target: str,
+              adapters: dict = ADAPTERS) -> Candidate:
     """Exactly the given staged batches, as one typed and partitioned dataset.
 
+    ``adapters`` (by source) say in which layout and zone a source writes its times; a source
+    without one is an error, not a source in UTC.
+
     The batches come from the caller, never from what happens to be newest on
     disk; the target is a candidate until the audit has passed.
     """
     if set(staged_paths) != set(batches) or not batches:
         raise ValueError("one staged path and one batch per source are needed")
-    write_partitioned(typed_rows(read_staged(spark, staged_paths)), target)
+    if unknown := sorted(set(batches) - set(adapters)):
+        raise ValueError(f"no adapter for {', '.join(unknown)}")
+    write_partitioned(typed_rows(read_staged(spark, staged_paths), adapters), target)
     return Candidate("curated_" + uuid.uuid4().hex[:12], target, dict(staged_paths), dict(batches))

@@ -195,20 +195,20 @@ SECTIONS = {
 }
 
 
-def build_report(df: DataFrame) -> DataFrame:
-    """All sections as rows (section, content), the content being JSON.
+def build_report(df: DataFrame, sections: tuple[str, ...] = tuple(SECTIONS)) -> DataFrame:
+    """The named sections, all by default, as rows (section, content), the content being JSON.
 
     The sections scan ``df`` one after the other: persist it, or pass a written
     table, when computing it costs more than reading it.
     """
     out = None
-    for name, section in SECTIONS.items():
-        body = section(df)
+    for name in sections:
+        body = SECTIONS[name](df)
         rows = body.select(F.lit(name).alias("section"),
                            F.to_json(F.struct(*body.columns), {"ignoreNullFields": "false"}).alias("content"))
         out = rows if out is None else out.unionByName(rows)
     return out
 
 
-def write_report(df: DataFrame, path: str) -> None:
-    build_report(df).repartition("section").write.mode("overwrite").partitionBy("section").json(path)
+def write_report(df: DataFrame, path: str, sections: tuple[str, ...] = tuple(SECTIONS)) -> None:
+    build_report(df, sections).repartition("section").write.mode("overwrite").partitionBy("section").json(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfuse.sources.datasets import data_files, read_curated
+from wayfuse.sources.datasets import read_curated
 from wayfuse.spec import DIM_SOURCE, FACT_COLUMNS, PARTITION_KEYS
 
 NATURAL_KEY = ["source_id", "source_record_id"]
@@ -39,7 +39,16 @@ def publish(spark: SparkSession, candidate: str, live: str) -> int:
         raise RuntimeError(f"could not move {candidate} to {live}")
     fs.delete(previous, True)
     spark.catalog.refreshByPath(live)
-    return data_files(spark, live).count()
+    return _file_count(spark, live)
+
+
+def _file_count(spark: SparkSession, root: str) -> int:
+    """Data files below ``root``, from the listing alone."""
+    fs, p = _path(spark, root)
+    found, n = fs.listFiles(p, True), 0
+    while found.hasNext():
+        n += found.next().getPath().getName().startswith("part-")
+    return n
 
 
 def require_unique(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -63,32 +72,81 @@ def upsert(existing: DataFrame, incoming: DataFrame, now: Column | None = None,
     return kept.unionByName(stamped.select(*existing.columns))
 
 
+def _folder(values) -> Column:
+    """The rows of one folder, as literals the scan can prune by."""
+    out = F.lit(True)
+    for key, value in zip(PARTITION_KEYS, values):
+        out = out & (F.col(key) == F.lit(value))
+    return out
+
+
+def touched_rows(existing: DataFrame, folders: list[tuple]) -> DataFrame:
+    """The rows of the named folders; no other folder is read."""
+    wanted = F.lit(False)
+    for values in folders:
+        wanted = wanted | _folder(values)
+    return existing.where(wanted)
+
+
 def upsert_dataset(spark: SparkSession, root: str, incoming: DataFrame,
                    now: Column | None = None) -> None:
-    """Merge into a partitioned dataset, rewriting only the folders it touches.
-
-    Touched are the folders of the incoming rows and the folders where their
-    earlier versions lie: an amended date moves a record to another month. The
-    rewrite replaces those folders; one that became empty is removed. Running it
-    again gives the same rows.
+    """Merge into a partitioned dataset, reading and rewriting only the folders it touches.
+
+    Touched are the folders of the incoming rows and the folders where their earlier
+    versions lie (found by a scan of the keys alone): an amended date moves a record to another
+    month. The new folders are written beside the dataset and a list of all touched ones
+    with them; only then are they put in place, folder by folder. What fails before leaves the old
+    table; what fails between is completed by the next call, or by ``finish_merge``.
+    Running it again gives the same rows.
     """
+    finish_merge(spark, root)
     require_unique(incoming, NATURAL_KEY)
     existing = spark.read.parquet(root)
     for key in PARTITION_KEYS:
         existing = existing.withColumn(key, F.col(key).cast(incoming.schema[key].dataType))
     held = existing.join(incoming.select(*NATURAL_KEY), NATURAL_KEY, "left_semi")
-    touched = held.select(*PARTITION_KEYS).union(incoming.select(*PARTITION_KEYS)).distinct()
     # One row per folder: its number is that of the folders of the dataset.
-    folders = [tuple(r) for r in touched.collect()]
-    scope = spark.createDataFrame(folders, touched.schema)
-    part = existing.join(F.broadcast(scope), PARTITION_KEYS)
-    merged = upsert(part, incoming, now)
-    filled = {tuple(r) for r in merged.select(*PARTITION_KEYS).distinct().collect()}
-    (merged.hint("rebalance", *PARTITION_KEYS).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION_KEYS).parquet(root))
-    for values in set(folders) - filled:
-        fs, p = _path(spark, "/".join([root] + [f"{k}={v}" for k, v in zip(PARTITION_KEYS, values)]))
-        fs.delete(p, True)
+    folders = sorted(tuple(r) for r in held.select(*PARTITION_KEYS).union(
+        incoming.select(*PARTITION_KEYS)).distinct().collect())
+    merged = upsert(touched_rows(existing, folders), incoming, now)
+    fs, new = _path(spark, root.rstrip("/") + "_merge")
+    fs.delete(new, True)
+    (merged.hint("rebalance", *PARTITION_KEYS).write.partitionBy(*PARTITION_KEYS).parquet(new.toString()))
+    names = ["/".join(f"{k}={v}" for k, v in zip(PARTITION_KEYS, values)) for values in folders]
+    kept = [(n, fs.exists(_path(spark, f"{new.toString()}/{n}")[1])) for n in names]
+    spark.createDataFrame(kept, "name string, filled boolean").coalesce(1).write.parquet(_listing(root))
+    finish_merge(spark, root)
+
+
+def _listing(root: str) -> str:
+    return root.rstrip("/") + "_merge_folders"
+
+
+def finish_merge(spark: SparkSession, root: str) -> None:
+    """Put the folders of a written merge in place; does nothing unless a merge was written whole.
+
+    For each folder the old one is removed if a new one waits or none is wanted any more, then the
+    new one is moved; both steps may be repeated.
+    """
+    fs, new = _path(spark, root.rstrip("/") + "_merge")
+    _, listing = _path(spark, _listing(root))
+    _, complete = _path(spark, _listing(root) + "/_SUCCESS")
+    if not fs.exists(complete):
+        fs.delete(listing, True)
+        fs.delete(new, True)
+        return
+    for name, filled in sorted(spark.read.parquet(_listing(root)).collect()):
+        _, source = _path(spark, f"{new.toString()}/{name}")
+        _, target = _path(spark, f"{root.rstrip('/')}/{name}")
+        if not filled:
+            fs.delete(target, True)
+        elif fs.exists(source):  # else an earlier call has moved it
+            fs.delete(target, True)
+            fs.mkdirs(target.getParent())
+            if not fs.rename(source, target):
+                raise RuntimeError(f"could not move {name} of the merge into {root}")
+    fs.delete(listing, True)
+    fs.delete(new, True)
     spark.catalog.refreshByPath(root)
 
 

@@ -14,18 +14,25 @@ PAGE_ROWS = 5000
 _WRITTEN: dict[tuple, object] = {}
 
 
+def _inputs(spark: SparkSession, sf_dir: str) -> tuple:
+    """Name, size and time of the given tables: a table that has changed is another input."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found))
+
+
 def once(spark: SparkSession, sf_dir: str, what: str, write):
-    """Result of ``write()``, called once per application and dataset."""
-    key = (spark.sparkContext.applicationId, sf_dir, what)
+    """Result of ``write()``, called once per application and state of the dataset."""
+    key = (spark.sparkContext.applicationId, sf_dir, _inputs(spark, sf_dir), what)
     if key not in _WRITTEN:
         _WRITTEN[key] = write()
     return _WRITTEN[key]
 
 
 def land_csv(df: DataFrame, root: str, name: Column | None = None) -> str:
-    """Rows as CSV with a header; with ``name``, one named file per value."""
+    """Rows as CSV with a header; with ``name``, one named file per value, of as many parts as tasks wrote it."""
     if name is not None:
-        df = df.withColumn("file", name).repartition("file")
+        df = df.withColumn("file", name)
     writer = df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
     (writer if name is None else writer.partitionBy("file")).csv(root)
     return root
@@ -69,6 +76,11 @@ def staged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_staged(spark, staged_paths(spark, sf_dir))
 
 
+def publish_as(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Let the queries of this application read the curated dataset at ``path``."""
+    _WRITTEN[spark.sparkContext.applicationId, sf_dir, _inputs(spark, sf_dir), "curated"] = path
+
+
 def published(spark: SparkSession, sf_dir: str) -> str:
     """The partitioned curated dataset of the feeds, written once per application."""
     return once(spark, sf_dir, "curated", lambda: write_partitioned(

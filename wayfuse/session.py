@@ -63,6 +63,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(scratch_root(spark), "wayfuse", f"{label}-{uuid.uuid4().hex[:12]}")
 
 
+def dropped(df: DataFrame) -> None:
+    """Remove the files of a table made by :func:`saved` that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back.
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfuse.sources.text import latest_per_key
 
 MANIFEST_COLUMNS = ["source_id", "batch_id", "file_name", "type", "raw_path", "size_bytes",
                     "sha256", "record_count", "retrieved_at_utc"]
@@ -45,12 +44,13 @@ def fingerprints(spark: SparkSession, root: str) -> DataFrame:
     """SHA-256 and size per named file.
 
     A file of one part has the hash of its content. A file of several parts has
-    the hash of its parts' hashes, so no part is ever joined with another. A part
-    is read whole to be hashed and must stay below 2 GB.
+    the hash of its parts' hashes in the order of their paths, so no part is ever joined with
+    another, and parts that change places give another hash. A part is read whole to
+    be hashed and must stay below 2 GB.
     """
     parts = incoming(spark, root).select("name", "path", "length",
                                          F.sha2("content", 256).alias("part_sha"))
-    hashes = F.sort_array(F.collect_list("part_sha"))
+    hashes = F.transform(F.sort_array(F.collect_list(F.struct("path", "part_sha"))), lambda p: p["part_sha"])
     return parts.groupBy("name").agg(
         F.min("path").alias("path"), F.sum("length").alias("size_bytes"), hashes.alias("_h")).select(
         "name", "path", "size_bytes",
@@ -58,20 +58,27 @@ def fingerprints(spark: SparkSession, root: str) -> DataFrame:
          .otherwise(F.sha2(F.array_join("_h", ""), 256)).alias("sha256"))
 
 
-def csv_sanity(spark: SparkSession, root: str) -> DataFrame:
+def header_columns(line: Column) -> Column:
+    """Number of columns a CSV header line names; commas inside quotes separate nothing."""
+    return F.size(F.split(F.regexp_replace(line, '"(?:[^"]|"")*"', "q"), ","))
+
+
+def csv_sanity(spark: SparkSession, root: str, multi_line: bool = False) -> DataFrame:
     """Per named CSV file: valid UTF-8, header columns, number of data rows, status.
 
     Lines are checked where they are read, so a file of any size is split over
-    many tasks; the header is the line at the lowest position.
+    many tasks; the header is the line at the lowest position. Rows are counted the
+    same way, unless ``multi_line`` says that quoted cells may hold line ends: such a
+    file is read by one task.
     """
     place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
     lines = (spark.read.option("recursiveFileLookup", "true").text(root)
              .select(file_name(F.col("_metadata.file_path")).alias("name"), place.alias("place"),
                      F.is_valid_utf8("value").alias("utf8"),
-                     F.size(F.split("value", ",")).alias("columns")))
+                     header_columns(F.col("value")).alias("columns")))
     head = lines.groupBy("name").agg(F.bool_and("utf8").alias("utf8"),
                                      F.min_by("columns", "place").alias("header_columns"))
-    rows = (spark.read.option("multiLine", True).option("quote", '"').option("escape", '"')
+    rows = (spark.read.option("multiLine", multi_line).option("quote", '"').option("escape", '"')
             .option("header", True).option("recursiveFileLookup", "true").schema("first string").csv(root)
             .groupBy(file_name(F.col("_metadata.file_path")).alias("name"))
             .agg(F.count("*").alias("row_count")))
@@ -176,6 +183,3 @@ def detect_change(manifest: DataFrame, incoming_files: DataFrame,
             .select("source_id", "previous_batch_id",
                     (~F.col("_same")).alias("content_changed")))
 
-
-def latest_manifest_rows(manifest: DataFrame) -> DataFrame:
-    return latest_per_key(manifest, ["source_id", "file_name"], [F.desc("batch_id")])

@@ -12,29 +12,33 @@ def text_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def read_csv_text(spark: SparkSession, paths: str | list[str], columns: list[str] | None = None) -> DataFrame:
+def read_csv_text(spark: SparkSession, paths: str | list[str], columns: list[str] | None = None,
+                  multi_line: bool = False) -> DataFrame:
     """CSV with a header, all text; 'NA' and 'null' stay text.
 
+    A file is split over many tasks. Where quoted cells may hold line ends, ``multi_line`` reads
+    them right, with one task for each file.
+
     ``columns`` names the header when it is known; otherwise it is read from the
     first line. Several files must share their header: use ``read_csv_union``
     where they differ.
     """
     reader = (spark.read.option("header", True).option("inferSchema", False)
               .option("nullValue", "").option("emptyValue", "")
-              .option("multiLine", True).option("quote", '"').option("escape", '"')
+              .option("multiLine", multi_line).option("quote", '"').option("escape", '"')
               .option("enforceSchema", False))
     if columns is None:
         return reader.csv(paths)
     return reader.schema(text_schema(columns)).csv(paths).select(*columns)
 
 
-def read_csv_union(spark: SparkSession, paths: list[str]) -> DataFrame:
+def read_csv_union(spark: SparkSession, paths: list[str], multi_line: bool = False) -> DataFrame:
     """Files of one batch, columns aligned by name, an absent column null."""
     if not paths:
         raise FileNotFoundError("the batch lists no files")
     out = None
     for path in paths:
-        rows = read_csv_text(spark, path)
+        rows = read_csv_text(spark, path, multi_line=multi_line)
         out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
     return out
 
