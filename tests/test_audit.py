@@ -161,6 +161,15 @@ def test_upsert_moves_amended_rows_and_is_repeatable(spark, tmp_path):
         PB.upsert_dataset(spark, root, change.unionByName(change))
 
 
+@pytest.mark.parametrize("absent", ["crash_id", "source_record_id", "crash_timestamp_utc", "crash_date_key", "batch_id", "severity"])
+def test_an_absent_column_fails_its_checks_only(spark, candidate, absent):
+    rows = candidate.rows(spark).drop(absent)
+    expected = spark.createDataFrame([(s, b, 0) for s, b in BATCHES.items()], "source_id string, batch_id string, staged_rows long")
+    got = AU.audit_rows(rows, data_files(spark, candidate.path), expected, "run", run_time()).collect()
+    assert len({r.check_name for r in got}) == 5
+    assert {r.status for r in got if r.check_name == "curated_schema_check"} == {"fail"}
+
+
 def test_merge_that_fails_before_the_swap_leaves_the_old_table(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "fact")
     write_partitioned(typed_rows(feed(spark, "uk_stats19", 3, lambda i: f"14/0{i + 1}/2023 08:30")), root)
