@@ -103,8 +103,12 @@ def test_keeps_one_of_each(spark):
     a, b = "one two three four five six", "seven eight nine ten eleven twelve"
     rows = [(3, a, "x", "s", 1), (1, a, "x", "s", 1), (1, a, "x", "s", 1), (7, b, "x", "s", 1),
             (8, None, None, None, None), (9, "", None, None, None), (None, b, None, None, None)]
+    rows += [(2, b, "x", "s", 1), (2, "q r s t u v", "x", "s", 1)]  # one id, one text of group b and one of its own
     got = simhash.one_of_each(frame(spark, rows))
     assert got.columns == ["doc_id", "text", "lang", "source", "n_chars"]
-    assert sorted(r.doc_id for r in got.collect()) == [1, 7, 8]
+    kept = got.collect()
+    assert sorted((r.doc_id, r.text) for r in kept if r.doc_id != 2 and r.doc_id != 8) == [(1, a)]
+    assert [r.doc_id for r in kept if r.doc_id == 8] == [8]
+    assert len([r for r in kept if r.doc_id == 2]) == 1
     assert simhash.one_of_each(frame(spark, [])).count() == 0
     assert simhash.simhash_groups(frame(spark, [])).count() == 0

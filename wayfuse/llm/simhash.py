@@ -263,13 +263,24 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` without the near-duplicates: of each group the row with the smallest doc_id stays.
 
-    All columns are kept as they are. A doc_id is taken to name one document: where several
-    rows carry the smallest id of a group, any one of them stays. Rows without an id form
-    one document too.
+    All columns are kept as they are. Rows that share a doc_id are told apart by their texts;
+    where several rows of a group carry its smallest id, one of them stays, and groups with the same smallest
+    id count as one. Rows without
+    an id count as rows of one id. What goes is named, not what stays: the shorter list, which
+    a join broadcasts while its written size allows.
     """
-    kept = (near_groups(docs).where("doc_id <=> component_id").groupBy("doc_id")
-            .agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("doc_id", "_kept"))
-    kept = saved(kept, "kept-ids")
-    once, again = (docs.join(kept.where(c), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-                   for c in ("n = 1", "n > 1"))
-    return once.unionByName(again.dropDuplicates(["doc_id"]))
+    groups = saved(near_groups(docs.select("doc_id", "text")), "near-groups")
+    per_id = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("component_id").alias("component_id"))
+    shared = saved(per_id.where("n > 1").select(F.col("doc_id").alias("_shared")), "shared-ids")
+    gone = saved(per_id.where("n = 1 AND NOT doc_id <=> component_id").select(F.col("doc_id").alias("_gone")), "gone-ids")
+    is_shared = F.col("doc_id").eqNullSafe(F.col("_shared"))
+    plain = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti").join(shared, is_shared, "left_anti")
+    # the few rows that share their id: their fingerprints again, to know each row's group
+    some = docs.join(shared, is_shared, "left_semi").withColumn("_digest", F.xxhash64("text"))
+    prints = with_fingerprints(some.select(F.col("doc_id").alias("_doc"), "_digest", "text"), "_doc", "_digest")
+    of_group = groups.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), "component_id").distinct()
+    best = (prints.join(of_group, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp")))
+            .where("_doc <=> component_id").groupBy("component_id").agg(F.min("_digest").alias("_best")))
+    best = best.withColumnRenamed("component_id", "_component")
+    rows = some.join(best, F.col("doc_id").eqNullSafe(F.col("_component")) & (F.col("_digest") == F.col("_best")), "left_semi")
+    return plain.unionByName(rows.dropDuplicates(["doc_id"]).select(*docs.columns))

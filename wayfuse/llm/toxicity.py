@@ -236,11 +236,13 @@ def _scores(docs: DataFrame, labels: DataFrame, *columns: str) -> DataFrame:
     """``columns``, score and evidence of every row of ``docs``."""
     examples = saved(examples_of(docs, labels), "toxic-examples")
     terms = _chosen_terms(examples)
-    features = saved(term_counts(docs, terms, *columns), "toxic-features")
-    # Without texts it is a small table by its bytes, but much work for each row: dealt out evenly.
-    spread = features if "_whole" in columns else features.repartition(
-        max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    counts = {r.term: r.n for r in features.select("terms").mapInArrow(_document_counts, "term int, n bigint")
+    features = term_counts(docs, terms, *columns)
+    if "_whole" in columns:  # texts are read and cut twice, never kept a second time
+        spread = features
+    else:  # a small table by its bytes, but much work for each row: dealt out evenly
+        features = saved(features, "toxic-features")
+        spread = features.repartition(max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    counts = {r.term: r.n for r in (term_counts(docs, terms) if "_whole" in columns else features).select("terms").mapInArrow(_document_counts, "term int, n bigint")
               .groupBy("term").agg(F.sum("n").alias("n")).collect()}  # TERMS + 1 rows at most
     total = counts.get(-1, 0)
     idf = np.array([1 + math.log((1 + total) / (1 + counts.get(t, 0))) for t in range(len(terms) + 1)])
