@@ -67,3 +67,13 @@ def test_nearest_is_exact():
         sims = np.round(dense @ dense[i], 9)
         want = [j for j in sorted(range(700), key=lambda j: (-sims[j], j)) if sims[j] > 0][:9]
         assert found.tolist() == want and np.allclose(cosine, sims[want])
+
+
+def test_a_common_id_gives_each_text_once(spark, monkeypatch):
+    settings(spark)
+    monkeypatch.setattr(toxicity, "EXAMPLES", 6)
+    own = [k for k in range(30) if zlib.crc32(str(k).encode()) % 3 != 1][:4]
+    rows = [(k, f"text of {k}") for k in own] + [(own[0], "the same text")] * 50 + [(own[0], f"text {i}") for i in range(20)]
+    labels = spark.createDataFrame([(k, 1, 1) for k in own], "doc_id long, quality int, toxic int")
+    got = toxicity.examples_of(docs(spark, rows), labels).select("doc_id", "toxic", "text").collect()
+    assert len(got) == len(set(got)) == 6 and {r.doc_id for r in got} == set(own)

@@ -1,7 +1,7 @@
 """Toxicity by votes of the nearest labelled examples, under exact TF-IDF cosine.
 
 * Examples: a bounded sample of the labelled training rows (``EXAMPLES``, by the least hash
-  of their id). Terms: words of the examples that tell toxic from other ones by a chi-square
+  of their id), one row for each id and text. Terms: words of the examples that tell toxic from other ones by a chi-square
   test (``LEAST_CHI``, at most ``TERMS`` of them, the strongest); all other words are one more term, so that
   a word counts by its share of the text. Both bounds hold at any size of the corpus.
 * Inverse document frequencies count all documents.
@@ -222,14 +222,36 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                                      ["term", "n"])
 
 
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with an id and text that this task has not given yet: ``EXAMPLES`` at most."""
+    seen = set()
+    for batch in batches:
+        keep = []
+        for key in zip(batch.column("doc_id").to_pylist(), batch.column("digest").to_pylist()):
+            keep.append(key not in seen)
+            seen.add(key)
+        yield batch.filter(pa.array(keep, pa.bool_()))
+
+
 def examples_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, toxic, text of at most ``EXAMPLES`` labelled documents outside the held-out third."""
+    """doc_id, toxic, digest, text of at most ``EXAMPLES`` labelled documents outside the held-out third.
+
+    One row for each id and text. Every id drawn gives one text before any gives a second one.
+    """
     usable = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     drawn = (usable.groupBy("doc_id").agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(EXAMPLES))
     drawn = drawn.select(F.col("doc_id").alias("_labelled"), F.col("toxic").cast("int"))
-    return docs.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("_labelled")).select(
-        "doc_id", "toxic", "text")
+    digested = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest"), "text")
+    texts = saved(digested.join(F.broadcast(drawn), F.col("doc_id") == F.col("_labelled"))
+                  .groupBy("doc_id", "toxic", "digest").agg(F.count(F.lit(1)).alias("n")), "toxic-texts")
+    first = texts.groupBy(F.col("doc_id").alias("_id")).agg(F.min("digest").alias("_first"))  # EXAMPLES rows at most
+    chosen = (texts.join(F.broadcast(first), F.col("doc_id") == F.col("_id"))
+              .orderBy(F.col("digest") != F.col("_first"), F.xxhash64("doc_id", "digest"), "doc_id", "digest").limit(EXAMPLES)
+              .select(F.col("doc_id").alias("_labelled"), "toxic", F.col("digest").alias("_digest")))
+    found = digested.join(F.broadcast(chosen), (F.col("doc_id") == F.col("_labelled")) & (F.col("digest") == F.col("_digest")))
+    return found.select("doc_id", "toxic", "digest", "text").mapInArrow(
+        _once, "doc_id bigint, toxic int, digest bigint, text string").dropDuplicates(["doc_id", "digest"])
 
 
 def _scores(docs: DataFrame, labels: DataFrame, *columns: str) -> DataFrame:
@@ -246,7 +268,7 @@ def _scores(docs: DataFrame, labels: DataFrame, *columns: str) -> DataFrame:
               .groupBy("term").agg(F.sum("n").alias("n")).collect()}  # TERMS + 1 rows at most
     total = counts.get(-1, 0)
     idf = np.array([1 + math.log((1 + total) / (1 + counts.get(t, 0))) for t in range(len(terms) + 1)])
-    # EXAMPLES rows of a few numbers each; repeated doc_ids give several rows
+    # EXAMPLES rows of a few numbers each; one for each id and text
     rows = sorted(term_counts(examples, terms, "doc_id", "toxic").collect(), key=lambda r: (-r.toxic, r.terms, r.counts, r.doc_id))
     index = Index([(r.terms, r.counts) for r in rows], [r.toxic for r in rows], [r.doc_id for r in rows], idf)
     if rows:
