@@ -1,5 +1,7 @@
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -77,3 +79,61 @@ def test_a_common_id_gives_each_text_once(spark, monkeypatch):
     labels = spark.createDataFrame([(k, 1, 1) for k in own], "doc_id long, quality int, toxic int")
     got = toxicity.examples_of(docs(spark, rows), labels).select("doc_id", "toxic", "text").collect()
     assert len(got) == len(set(got)) == 6 and {r.doc_id for r in got} == set(own)
+
+
+def brute_force(texts, wanted):
+    """Cosines of every text with the ``wanted`` ones, every word counted."""
+    words = [Counter((t or "").lower().split()) for t in texts]
+    df = Counter(w for c in words for w in c)
+    idf = {w: 1 + math.log((1 + len(texts)) / (1 + n)) for w, n in df.items()}
+    number = {w: i for i, w in enumerate(idf)}
+    dense = np.zeros((len(texts), len(idf)))
+    for i, c in enumerate(words):
+        for w, n in c.items():
+            dense[i, number[w]] = (1 + math.log(n)) * idf[w]
+    dense /= np.maximum(np.linalg.norm(dense, axis=1), 1e-12)[:, None]
+    return dense @ dense[wanted].T
+
+
+def test_nearest_by_every_word_with_all_examples_drawn(spark, monkeypatch):
+    """Labels that no single word tells: a document is like its neighbours by ordinary words only."""
+    settings(spark)
+    monkeypatch.setattr(toxicity, "EXAMPLES", 200)
+    rng = random.Random(8)
+    letters = "abcdefghij"
+    plain = [a + b + c for a in letters for b in letters for c in letters][:600]
+    rows, truth = [], {}
+    for i in range(420):
+        if i % 3 or not rows:
+            words = rng.choices(plain, k=rng.randint(12, 40))
+            truth[i] = int(rng.random() < 0.3)
+        else:  # a near copy
+            k, text = rng.choice(rows)
+            words, truth[i] = text.split(), truth[k]
+            words[rng.randrange(len(words))] = rng.choice(plain)
+        rows.append((i, " ".join(words)))
+    labels = spark.createDataFrame([(k, 1, t) for k, t in truth.items()], "doc_id long, quality int, toxic int")
+    drawn = [r.doc_id for r in toxicity.examples_of(docs(spark, rows), labels).collect()]
+    assert len(drawn) == toxicity.EXAMPLES
+    cosine = brute_force([t for _, t in rows], drawn)
+    seen, copies, right = {w for k in drawn for w in rows[k][1].split()}, 0, 0
+    for r in toxicity.toxicity_scores(docs(spark, rows), labels).collect():
+        own = cosine[r.doc_id]
+        best = np.sort(own)[::-1][:len(r.evidence)]
+        at = [own[drawn.index(e.doc_id)] for e in r.evidence]
+        assert len(r.evidence) == 5 and np.allclose(at, best)  # the nearest ones, whatever the label
+        if set(rows[r.doc_id][1].split()) <= seen:
+            assert np.allclose([e.cosine for e in r.evidence], best)
+        if r.doc_id not in drawn and best[0] > 0.8:
+            copies, right = copies + 1, right + (r.evidence[0].toxic == truth[r.doc_id])
+    assert copies > 20 and right == copies
+
+
+def test_ties_do_not_know_the_label(spark):
+    settings(spark)
+    own = [k for k in range(300) if zlib.crc32(str(k).encode()) % 3 != 1][:120]
+    rows = [(k, "one text for all") for k in own]
+    labels = spark.createDataFrame([(k, 1, int(i < 40)) for i, k in enumerate(own)], "doc_id long, quality int, toxic int")
+    got = toxicity.toxicity_scores(docs(spark, rows), labels).collect()
+    assert {e.toxic for r in got for e in r.evidence} == {0, 1}
+    assert {r.predicted for r in got} == {0}

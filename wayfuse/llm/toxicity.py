@@ -1,19 +1,20 @@
 """Toxicity by votes of the nearest labelled examples, under exact TF-IDF cosine.
 
 * Examples: a bounded sample of the labelled training rows (``EXAMPLES``, by the least hash
-  of their id), one row for each id and text. Terms: words of the examples that tell toxic from other ones by a chi-square
-  test (``LEAST_CHI``, at most ``TERMS`` of them, the strongest); all other words are one more term, so that
-  a word counts by its share of the text. Both bounds hold at any size of the corpus.
+  of their id and text), one row for each id and text. Terms: every word of the examples, with its true count.
+  A word that no example has matches none; it adds to the length of its text, as a word of one document would.
 * Inverse document frequencies count all documents.
-* The inverted index is cut into blocks of examples, each with the largest weight of every term
-  in it. A document first gets an upper bound for every block; blocks are opened from the
-  highest bound down, until none that is left can hold one of the nearest. The nearest are exact.
+* The inverted index is cut into blocks of examples. Words in many examples are kept as columns,
+  with the largest weight of each in every block; the others as lists of examples. A document first gets an
+  upper bound for every block; blocks are opened from the highest bound down, until none that
+  is left can hold one of the nearest. The nearest are exact; ties go by a hash that does not know the label.
 * A neighbour's vote weighs by its distance; the votes' share is turned into a
   probability by a logistic curve fitted to the examples, each scored without itself.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -27,11 +28,9 @@ from pyspark.sql import functions as F
 from wayfuse.llm.common import saved
 
 EXAMPLES = 8192
-TERMS = 4096
-LEAST_CHI = 18.0
-LEAST_DOCS = 3
 NEIGHBOURS = 31
 BLOCK = 64
+COLUMNS = 256
 TOXIC_FROM = 0.7
 EVIDENCE = 5
 _WORD = re.compile(r"[^\W\d_]+")
@@ -46,57 +45,50 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        terms, toxic = [], []
-        for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            own = set(_WORD.findall((text or "").lower()))
-            terms += own
-            toxic += [label] * len(own)
-        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(toxic, pa.int32())], ["term", "toxic"])
+        terms = [w for text in batch.column("text").to_pylist() for w in set(_WORD.findall((text or "").lower()))]
+        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string())], ["term"])
 
 
 def _counted(terms: dict[str, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            numbers, counts = [], []
+            numbers, counts, others = [], [], []
             for text in batch.column("text").to_pylist():
-                words = _WORD.findall((text or "").lower())
-                own = Counter(filter(terms.__contains__, words))
-                pairs = sorted((terms[w], n) for w, n in own.items())
-                if rest := len(words) - sum(own.values()):
-                    pairs.append((len(terms), 1 << rest.bit_length() - 1))
-                numbers.append([p[0] for p in pairs])
-                counts.append([p[1] for p in pairs])
+                own, rest = [], 0.0
+                for w, n in Counter(_WORD.findall((text or "").lower())).items():
+                    if w in terms:
+                        own.append((terms[w], n))
+                    else:
+                        rest += (1 + math.log(n)) ** 2
+                own.sort()
+                numbers.append([p[0] for p in own])
+                counts.append([p[1] for p in own])
+                others.append(rest)
             at = batch.schema.get_field_index("text")
             rest = [c for i, c in enumerate(batch.columns) if i != at]
             names = [n for n in batch.schema.names if n != "text"]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(numbers, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))],
-                                             [*names, "terms", "counts"])
+            yield pa.RecordBatch.from_arrays(
+                [*rest, pa.array(numbers, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32())), pa.array(others, pa.float64())],
+                [*names, "terms", "counts", "others"])
     return run
 
 
 def term_counts(docs: DataFrame, terms: dict[str, int], *columns: str) -> DataFrame:
     """``columns`` plus ``terms`` (numbers, ascending) and ``counts`` of every whole text; null: none.
 
-    All other words count as one term more, the last, its count rounded down to a power of two.
+    ``others``: the squares of 1 + log(count) of all words that are no terms, added up.
     """
     slim = docs.select(*columns, "text")
     kinds = [f"`{c}` {slim.schema[c].dataType.simpleString()}" for c in columns]
-    return slim.mapInArrow(_counted(terms), ", ".join([*kinds, "terms array<int>", "counts array<int>"]))
+    return slim.mapInArrow(_counted(terms), ", ".join([*kinds, "terms array<int>", "counts array<int>", "others double"]))
 
 
-def _chosen_terms(examples: DataFrame) -> dict[str, int]:
-    n, n1 = examples.agg(F.count("toxic"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    a, both = F.col("a").cast("double"), F.col("n").cast("double")
-    b, c = both - a, F.lit(float(n1)) - a
-    d = F.lit(float(n - n1)) - b
-    # with the correction for small counts: a word seen a few times is easily one-sided by chance
-    apart = F.greatest(F.abs(a * d - b * c) - n / 2, F.lit(0.0))
-    chi = F.lit(float(n)) * F.pow(apart, F.lit(2)) / F.greatest(both * (c + d) * (a + c) * (b + d), F.lit(1.0))
-    found = (examples.select("text", "toxic").mapInArrow(_example_terms, "term string, toxic int")
-             .groupBy("term").agg(F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("n"))
-             .where(F.col("n") >= LEAST_DOCS).withColumn("chi", chi).where(F.col("chi") >= LEAST_CHI)
-             .orderBy(F.desc("chi"), "term").limit(TERMS).select("term"))
-    return {w: i for i, w in enumerate(sorted(r.term for r in found.collect()))}  # TERMS at most
+def _all_terms(examples: DataFrame) -> dict[str, int]:
+    """Numbers of all words of the examples, those of most examples first."""
+    found = (examples.select("text").mapInArrow(_example_terms, "term string")
+             .groupBy("term").agg(F.count(F.lit(1)).alias("n")).toArrow())  # as many as EXAMPLES texts can hold
+    words = sorted(zip(found.column("n").to_pylist(), found.column("term").to_pylist()), key=lambda x: (-x[0], x[1]))
+    return {w: i for i, (_, w) in enumerate(words)}
 
 
 # ---- index -----------------------------------------------------------------------------
@@ -104,61 +96,78 @@ def _chosen_terms(examples: DataFrame) -> dict[str, int]:
 class Index:
     """Examples' unit vectors as an inverted index of blocks with their largest weights."""
 
-    def __init__(self, vectors: list[tuple[list[int], list[int]]], labels: list[int], ids: list, idf: np.ndarray):
-        self.idf, self.labels, self.ids = idf, np.array(labels, np.int64), ids
+    def __init__(self, vectors: list[tuple[list[int], list[int]]], labels: list[int], ids: list, idf: np.ndarray,
+                 unseen: float = 0.0):
+        self.idf, self.unseen, self.labels, self.ids = idf, unseen, np.array(labels, np.int64), ids
         self.prior = float(self.labels.sum()) / (len(labels) + 1)
-        at, example, weight = [], [], []
-        for e, (terms, counts) in enumerate(vectors):
-            w = self.weights(np.array(terms, np.int64), np.array(counts, np.int64))
-            at += terms
-            example += [e] * len(terms)
-            weight += w.tolist()
-        at, example, weight = np.array(at, np.int64), np.array(example, np.int64), np.array(weight)
-        order = np.lexsort((example, at))
-        at, self.example, self.weight = at[order], example[order], weight[order]
-        self.cuts = np.searchsorted(at, np.arange(len(idf) + 1))
-        self.blocks = -(-len(labels) // BLOCK)
-        self.most = np.zeros((len(idf), max(1, self.blocks)))
-        np.maximum.at(self.most, (at, self.example // BLOCK), self.weight)
+        n = len(labels)
+        self.blocks = max(1, -(-n // BLOCK))
+        size = self.blocks * BLOCK
+        # places: examples with like words side by side, so that a block's largest weights are near its own
+        self.number = np.arange(size)
+        self.number[:n] = sorted(range(n), key=lambda e: list(vectors[e][0][:64]))
+        self.place = np.argsort(self.number)
+        lengths = [len(vectors[e][0]) for e in self.number[:n]]
+        empty = [np.empty(0)]
+        at = np.concatenate([np.array(vectors[e][0], np.int64) for e in self.number[:n]] + empty).astype(np.int64)
+        weight = np.concatenate([self.weights(np.array(vectors[e][0], np.int64), np.array(vectors[e][1], np.int64))
+                                 for e in self.number[:n]] + empty)
+        example = np.repeat(np.arange(n, dtype=np.int32), lengths)
+        order = np.argsort(at, kind="stable")
+        at, example, weight = at[order], example[order], weight[order]
+        lists = np.bincount(at, minlength=len(idf))
+        often = np.argsort(-lists, kind="stable")[:COLUMNS]
+        often = often[lists[often] > max(BLOCK, n // 32)]
+        self.column = np.full(len(idf), -1, np.int32)
+        self.column[often] = np.arange(len(often))
+        common = self.column[at] >= 0
+        self.common = np.zeros((size, len(often)))
+        self.common[example[common], self.column[at[common]]] = weight[common]
+        self.most = self.common.reshape(self.blocks, BLOCK, -1).max(axis=1)
+        self.example, self.weight = example[~common], weight[~common]
+        self.cuts = np.searchsorted(at[~common], np.arange(len(idf) + 1))
         self.slope, self.shift = 1.0, 0.0
 
-    def weights(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    def weights(self, terms: np.ndarray, counts: np.ndarray, others: float = 0.0) -> np.ndarray:
         w = (1 + np.log(counts)) * self.idf[terms]
-        return w / max(float(np.linalg.norm(w)), 1e-12)
-
-    def _sums(self, terms, q, wanted):
-        sums = np.zeros(max(1, self.blocks) * BLOCK)
-        for t, w in zip(terms.tolist(), q.tolist()):
-            own = slice(self.cuts[t], self.cuts[t + 1])
-            e = self.example[own]
-            inside = wanted[e // BLOCK]
-            sums[e[inside]] += w * self.weight[own][inside]
-        return sums
-
-    def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        return w / max(math.sqrt(float(w @ w) + others * self.unseen ** 2), 1e-12)
+
+    def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int, but: int = -1, others: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the ``k`` nearest examples above 0, ties by number; ``but`` is left out."""
         if not len(terms):
             return np.empty(0, np.int64), np.empty(0)
-        q = self.weights(terms, counts)
-        bound = q @ self.most[terms]
-        wanted = np.zeros(len(bound), bool)
-        wanted[np.argsort(-bound, kind="stable")[: k // BLOCK + 4]] = True
-        sums = self._sums(terms, q, wanted)
+        q = self.weights(terms, counts, others)
+        column = self.column[terms]
+        own = column >= 0
+        dense = np.zeros(len(self.most[0]))
+        dense[column[own]] = q[own]
+        # words of few examples: their lists in full
+        begin, n = self.cuts[terms[~own]], self.cuts[terms[~own] + 1] - self.cuts[terms[~own]]
+        at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        few = np.bincount(self.example[at], weights=self.weight[at] * np.repeat(q[~own], n), minlength=self.blocks * BLOCK)
         if but >= 0:
-            sums[but] = 0
-        reached = np.partition(sums, -k)[-k] if len(sums) >= k else 0.0
-        more = ~wanted & (bound > 0) & (bound >= reached - 1e-9)
-        if more.any():
-            sums += self._sums(terms, q, more)
-            if but >= 0:
-                sums[but] = 0
+            few[self.place[but]] = -2.0
+        few = few.reshape(self.blocks, BLOCK)
+        bound = few.max(axis=1) + self.most @ dense
+        order = np.argsort(-bound, kind="stable")
+        sums = np.full((self.blocks, BLOCK), -1.0)
+
+        def opened(blocks):
+            for b in blocks.tolist():
+                sums[b] = few[b] + self.common[b * BLOCK:(b + 1) * BLOCK] @ dense
+        first = k // BLOCK + 4
+        opened(order[:first])
+        reached = max(0.0, np.partition(sums.ravel(), -k)[-k]) if sums.size >= k else 0.0
+        rest = order[first:]
+        opened(rest[bound[rest] >= reached - 1e-9])
+        sums = sums.ravel()
         some = np.flatnonzero(sums > 0)
         if len(some) > k:
             floor = np.partition(sums[some], -k)[-k] - 1e-9
             some = some[sums[some] >= floor]
         # cosines that differ by rounding alone are ties
-        order = np.lexsort((some, -np.round(sums[some], 9)))[:k]
-        return some[order], np.minimum(sums[some[order]], 1.0)
+        order = np.lexsort((self.number[some], -np.round(sums[some], 9)))[:k]
+        return self.number[some[order]], np.minimum(sums[some[order]], 1.0)
 
     def vote(self, found: np.ndarray, cosine: np.ndarray) -> float:
         """The share of toxic votes, each by 1 / (1.05 - cosine); the prior votes once at cosine 0."""
@@ -191,12 +200,12 @@ def _scored(index: Index):
         known: dict[tuple, tuple] = {}
         for batch in batches:
             scores, evidence = [], []
-            for terms, counts in zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist()):
-                key = (*terms, *counts)
+            for terms, counts, others in zip(*(batch.column(c).to_pylist() for c in ("terms", "counts", "others"))):
+                key = hashlib.blake2b(np.array([*terms, *counts], np.int32).tobytes() + np.float64(others).tobytes(), digest_size=16).digest()
                 if key not in known:
                     if len(known) > 20_000:
                         known.clear()
-                    found, cosine = index.nearest(np.array(terms, np.int64), np.array(counts, np.int64), NEIGHBOURS)
+                    found, cosine = index.nearest(np.array(terms, np.int64), np.array(counts, np.int64), NEIGHBOURS, others=others)
                     known[key] = index.score(index.vote(found, cosine)), [
                         {"doc_id": index.ids[e], "cosine": c, "toxic": int(index.labels[e])}
                         for e, c in zip(found[:EVIDENCE].tolist(), cosine[:EVIDENCE].tolist())]
@@ -204,7 +213,7 @@ def _scored(index: Index):
                 scores.append(score)
                 evidence.append(why)
             kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
-            at = {batch.schema.get_field_index(c) for c in ("terms", "counts")}
+            at = {batch.schema.get_field_index(c) for c in ("terms", "counts", "others")}
             rest = [i for i in range(batch.num_columns) if i not in at]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in rest), pa.array(scores, pa.float64()), pa.array(evidence, kind)],
@@ -257,25 +266,24 @@ def examples_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def _scores(docs: DataFrame, labels: DataFrame, *columns: str) -> DataFrame:
     """``columns``, score and evidence of every row of ``docs``."""
     examples = saved(examples_of(docs, labels), "toxic-examples")
-    terms = _chosen_terms(examples)
-    features = term_counts(docs, terms, *columns)
-    if "_whole" in columns:  # texts are read and cut twice, never kept a second time
-        spread = features
-    else:  # a small table by its bytes, but much work for each row: dealt out evenly
-        features = saved(features, "toxic-features")
-        spread = features.repartition(max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    counts = {r.term: r.n for r in (term_counts(docs, terms) if "_whole" in columns else features).select("terms").mapInArrow(_document_counts, "term int, n bigint")
-              .groupBy("term").agg(F.sum("n").alias("n")).collect()}  # TERMS + 1 rows at most
+    terms = _all_terms(examples)
+    found = (term_counts(docs, terms).select("terms").mapInArrow(_document_counts, "term int, n bigint")
+             .groupBy("term").agg(F.sum("n").alias("n")).toArrow())  # a row for each word of the examples
+    counts = dict(zip(found.column("term").to_pylist(), found.column("n").to_pylist()))
     total = counts.get(-1, 0)
-    idf = np.array([1 + math.log((1 + total) / (1 + counts.get(t, 0))) for t in range(len(terms) + 1)])
-    # EXAMPLES rows of a few numbers each; one for each id and text
-    rows = sorted(term_counts(examples, terms, "doc_id", "toxic").collect(), key=lambda r: (-r.toxic, r.terms, r.counts, r.doc_id))
-    index = Index([(r.terms, r.counts) for r in rows], [r.toxic for r in rows], [r.doc_id for r in rows], idf)
+    idf = np.array([1 + math.log((1 + total) / (1 + counts.get(t, 0))) for t in range(len(terms))])
+    # EXAMPLES rows of a few hundred numbers each; their order decides ties, and does not know the label
+    named = examples.withColumn("tie", F.xxhash64("doc_id", "digest"))
+    rows = sorted(term_counts(named, terms, "doc_id", "toxic", "tie").toArrow().to_pylist(), key=lambda r: (r["tie"], r["doc_id"]))
+    index = Index([(r["terms"], r["counts"]) for r in rows], [r["toxic"] for r in rows], [r["doc_id"] for r in rows], idf,
+                  unseen=1 + math.log((1 + total) / 2))
     if rows:
-        index.calibrate([index.vote(*index.nearest(np.array(r.terms, np.int64), np.array(r.counts, np.int64), NEIGHBOURS, e))
+        index.calibrate([index.vote(*index.nearest(np.array(r["terms"], np.int64), np.array(r["counts"], np.int64), NEIGHBOURS, e))
                          for e, r in enumerate(rows)])
+    del rows
+    features = term_counts(docs, terms, *columns)  # texts are cut into words twice, their words are never kept
     kinds = [f"`{c}` {features.schema[c].dataType.simpleString()}" for c in columns]
-    return spread.mapInArrow(_scored(index), ", ".join(
+    return features.mapInArrow(_scored(index), ", ".join(
         [*kinds, "score double", "evidence array<struct<doc_id: bigint, cosine: double, toxic: int>>"]))
 
 
@@ -294,7 +302,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs``, all columns, without the rows predicted toxic."""
     columns = docs.columns
-    clash = {c: f"_own_{c}" for c in columns if c in ("score", "evidence", "terms", "counts")}
+    clash = {c: f"_own_{c}" for c in columns if c in ("score", "evidence", "terms", "counts", "others")}
     named = docs.withColumnsRenamed(clash).withColumn("_whole", F.col("text"))
     own = [clash.get(c, c) for c in columns if c != "text"]
     kept = _scores(named, labels, *own, "_whole").where(F.col("score") < TOXIC_FROM).drop("score", "evidence")
