@@ -36,6 +36,19 @@ def test_one_key_for_all_rows(spark):
     check(rows, 4, sharding.assign_shards(spark.createDataFrame(rows, "doc_id long, size long"), 4, range_rows=30).collect())
 
 
+def test_a_hot_key_among_few_others(spark):
+    settings(spark)
+    top = (1 << 63) - 1
+    for hot in (10, None, top):
+        rows = [(k, 20) for k in range(21)] + [(hot, 20)] * 3000
+        frame = spark.createDataFrame(rows, "doc_id long, size long")
+        check(rows, 5, sharding.assign_shards(frame, 5, range_rows=100).collect())
+        ranges, _ = sharding._subdivided(frame.selectExpr(
+            "coalesce(doc_id, -9223372036854775808) AS _key", "size AS _size", "monotonically_increasing_id() AS row_no",
+            "0L AS range").localCheckpoint(), 100)
+        assert max(r.n for r in ranges.collect()) <= 100
+
+
 def test_documents(spark):
     settings(spark)
     texts = [(1, "é"), (2, None), (2, None), (3, ""), (None, "x" * 900)]

@@ -3,8 +3,8 @@
 1. Keys are sampled with a chance in proportion to their row's size.
 2. Quantiles of the sample cut the key space into ranges.
 3. Ranges are measured exactly; those holding too many rows are subdivided by
-   splitters sampled inside them, again and again, until none is overfull. Rows that
-   share one key are subdivided by their row number.
+   splitters sampled inside them, again and again, until none is overfull. A key with
+   very many rows gets a range of its own, which is subdivided by row number.
 4. Prefix sums over ranges and inside them place every row: shard ``s`` takes the rows
    whose bytes before them, in key order, fall in the ``s``-th part of all bytes. A range
    crossing the edge of a shard is thereby split at the exact row.
@@ -24,6 +24,7 @@ FAN = 1024
 RANGE_ROWS = 250_000
 SAMPLE_PER_RANGE = 24
 _LOWEST = -(1 << 63)
+_HIGHEST = (1 << 63) - 1
 
 
 def _search(key: Column, splitters: Column, n: int) -> Column:
@@ -46,6 +47,15 @@ def _quantiles(n: int) -> list[float]:
     return [i / n for i in range(1, n)]
 
 
+def _parting(ascending: Column) -> Column:
+    """Distinct splitters of ascending quantiles: a key that is more than one of them gets a range of its own.
+
+    The next key becomes a splitter too, so that the hot key's range holds nothing else. Not more than there were quantiles.
+    """
+    hot = F.filter(ascending, lambda s, i: (i > 0) & (s == F.get(ascending, i - 1)) & (s < _HIGHEST))
+    return F.array_sort(F.array_union(ascending, F.transform(hot, lambda s: s + 1)))
+
+
 def assign_shards(rows: DataFrame, shards: int, key: str = "doc_id", size: str = "size",
                   range_rows: int = RANGE_ROWS) -> DataFrame:
     """``rows`` plus ``shard`` (0 to ``shards`` - 1) and ``slot`` (from 0, gapless).
@@ -104,8 +114,8 @@ def _subdivided(rows: DataFrame, range_rows: int) -> tuple[DataFrame, DataFrame]
         there = rows.join(wanted, "range")
         key = F.when(F.col("one_key"), F.col("row_no")).otherwise(F.col("_key"))
         drawn = _sampled(there, key, F.col("per_byte") * F.col("_size"), level)
-        splitters = drawn.groupBy("range").agg(
-            F.array_distinct(F.percentile_approx("key", _quantiles(fan), 20 * fan)).alias("splitters"))
+        splitters = drawn.groupBy("range").agg(F.percentile_approx("key", _quantiles(fan), 20 * fan).alias("all")).select(
+            "range", _parting(F.col("all")).alias("splitters"))
         splitters = saved(wanted.join(splitters, "range", "left").select(
             "range", "one_key", F.coalesce("splitters", F.array().cast("array<bigint>")).alias("splitters")),
             f"shard-splitters-{level}")
