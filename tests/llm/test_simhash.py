@@ -112,3 +112,13 @@ def test_keeps_one_of_each(spark):
     assert len([r for r in kept if r.doc_id == 2]) == 1
     assert simhash.one_of_each(frame(spark, [])).count() == 0
     assert simhash.simhash_groups(frame(spark, [])).count() == 0
+
+
+def test_groups_with_one_id_keep_a_row_each(spark):
+    settings(spark)
+    some = ["a b c d e f g", "h i j k l m n", "o p q r s t u", "v w x y z aa bb", "cc dd ee ff gg hh ii"]
+    rows = [(None, some[0]), (None, some[0]), (None, some[1]), (None, some[2]), (4, some[2]),  # no id; the last has one beside it
+            (5, some[3]), (5, some[4]), (5, some[4]), (6, some[4])]
+    got = simhash.one_of_each(frame(spark, [(k, t, "en", "s", 1) for k, t in rows])).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == [
+        (0, some[0]), (0, some[1]), (4, some[2]), (5, some[4]), (5, some[3])]

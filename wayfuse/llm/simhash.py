@@ -244,14 +244,19 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     null id keeps its row, and is a group's id only if all its ids are null. Repeated rows
     stay repeated. An empty table gives no rows.
     """
+    return _grouped(docs, id_column).select(id_column, "fp", "component_id")
+
+
+def _grouped(docs: DataFrame, id_column: str) -> DataFrame:
+    """``near_groups`` and ``component``, the group's own key: groups can share their smallest id."""
     slim = saved(with_fingerprints(docs.select(F.col(id_column).alias("_id"), "text"), "_id"), "fingerprints")
     classes = saved(slim.groupBy("fp").agg(F.min("_id").alias("least")), "fingerprint-classes")
     joined = components(links(classes), "a", "b")
     member = classes.join(joined, classes.fp == joined.node, "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("component"))
     least = member.groupBy("component").agg(F.min("least").alias("component_id"))
-    table = saved(member.join(least, "component").select("fp", "component_id"), "fingerprint-groups")
-    return slim.join(table, "fp").select(F.col("_id").alias(id_column), "fp", "component_id")
+    table = saved(member.join(least, "component").select("fp", "component", "component_id"), "fingerprint-groups")
+    return slim.join(table, "fp").select(F.col("_id").alias(id_column), "fp", "component", "component_id")
 
 
 def simhash_groups(docs: DataFrame) -> DataFrame:
@@ -263,24 +268,25 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` without the near-duplicates: of each group the row with the smallest doc_id stays.
 
-    All columns are kept as they are. Rows that share a doc_id are told apart by their texts;
-    where several rows of a group carry its smallest id, one of them stays, and groups with the same smallest
-    id count as one. Rows without
-    an id count as rows of one id. What goes is named, not what stays: the shorter list, which
+    All columns are kept as they are. A group is known by its fingerprints, not by its smallest id: of rows
+    that share a doc_id, or have none, each group keeps its own. Where several rows of a group carry its
+    smallest id, the one with the least digest of the text stays. A row without an id stays only if no row of
+    its group has one. What goes is named, not what stays: the shorter list, which
     a join broadcasts while its written size allows.
     """
-    groups = saved(near_groups(docs.select("doc_id", "text")), "near-groups")
+    groups = saved(_grouped(docs.select("doc_id", "text"), "doc_id"), "near-groups")
     per_id = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("component_id").alias("component_id"))
     shared = saved(per_id.where("n > 1").select(F.col("doc_id").alias("_shared")), "shared-ids")
     gone = saved(per_id.where("n = 1 AND NOT doc_id <=> component_id").select(F.col("doc_id").alias("_gone")), "gone-ids")
     is_shared = F.col("doc_id").eqNullSafe(F.col("_shared"))
     plain = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti").join(shared, is_shared, "left_anti")
-    # the few rows that share their id: their fingerprints again, to know each row's group
+    # the rows that share their id: their fingerprints again, to know each row's group
     some = docs.join(shared, is_shared, "left_semi").withColumn("_digest", F.xxhash64("text"))
     prints = with_fingerprints(some.select(F.col("doc_id").alias("_doc"), "_digest", "text"), "_doc", "_digest")
-    of_group = groups.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), "component_id").distinct()
+    of_group = groups.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), "component", "component_id").distinct()
     best = (prints.join(of_group, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp")))
-            .where("_doc <=> component_id").groupBy("component_id").agg(F.min("_digest").alias("_best")))
-    best = best.withColumnRenamed("component_id", "_component")
-    rows = some.join(best, F.col("doc_id").eqNullSafe(F.col("_component")) & (F.col("_digest") == F.col("_best")), "left_semi")
-    return plain.unionByName(rows.dropDuplicates(["doc_id"]).select(*docs.columns))
+            .where("_doc <=> component_id").groupBy("component")
+            .agg(F.min("_digest").alias("_best"), F.min("_doc").alias("_least")))
+    best = best.withColumnRenamed("component", "_group")
+    rows = some.join(best, F.col("doc_id").eqNullSafe(F.col("_least")) & (F.col("_digest") == F.col("_best")))
+    return plain.unionByName(rows.dropDuplicates(["_group"]).select(*docs.columns))
