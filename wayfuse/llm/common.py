@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wayfuse.session import prepare, saved
 
-__all__ = ["prepare", "saved", "documents", "table", "text_bytes", "n_words", "batches_by_bytes", "settings"]
+__all__ = ["prepare", "saved", "documents", "table", "text_bytes", "n_words", "batches_by_bytes", "settings", "free_name"]
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -50,6 +50,14 @@ def n_words(text: str | Column = "text") -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def batches_by_bytes(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.Table]:
     """Tables of consecutive batches whose ``column`` holds about ``most`` bytes or less.
 

@@ -13,6 +13,7 @@ from wayfuse.llm.html_text import extract_text
 from wayfuse.llm.lempel_ziv import dedup_digest
 from wayfuse.llm.mixing import mix_report
 from wayfuse.llm.packing import pack_documents
+from wayfuse.llm.runs import run_report
 from wayfuse.llm.sharding import shard_documents
 from wayfuse.llm.simhash import simhash_groups
 from wayfuse.llm.suffix_array import dedup_bytes
@@ -78,3 +79,8 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_bytes(documents(spark, sf_dir))
+
+
+@_query
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_report(documents(spark, sf_dir))
