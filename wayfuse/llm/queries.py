@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wayfuse.llm import line_quality
+from wayfuse.llm.alignment import align
 from wayfuse.llm.common import documents, settings, table
 from wayfuse.llm.fingerprints import fingerprints
 from wayfuse.llm.html_text import extract_text
@@ -84,3 +85,8 @@ def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_report(documents(spark, sf_dir))
+
+
+@_query
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(documents(spark, sf_dir))
