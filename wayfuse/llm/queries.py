@@ -15,6 +15,7 @@ from wayfuse.llm.lempel_ziv import dedup_digest
 from wayfuse.llm.mixing import mix_report
 from wayfuse.llm.packing import pack_documents
 from wayfuse.llm.runs import run_report
+from wayfuse.llm.set_join import near_sets
 from wayfuse.llm.sharding import shard_documents
 from wayfuse.llm.simhash import simhash_groups
 from wayfuse.llm.suffix_array import dedup_bytes
@@ -90,3 +91,8 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align(documents(spark, sf_dir))
+
+
+@_query
+def op13_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_sets(documents(spark, sf_dir), words_each=4, percent=85)
