@@ -34,6 +34,36 @@ def src01(spark, sf):
     return TX.read_csv_text(spark, root, rows.columns)
 
 
+_NOTED = """
+CASE WHEN CAST(CRASH_RECORD_ID AS BIGINT) % 7 = 0 THEN 'said "' || PRIM_CONTRIBUTORY_CAUSE || '",' || chr(10) || 'then left'
+  ELSE PRIM_CONTRIBUTORY_CAUSE END"""
+
+
+def _noted(spark, sf):
+    """The export with quotes, commas and line ends inside a cell of every seventh row."""
+    rows = raw_orders(spark, sf)
+    note = F.concat(F.lit('said "'), "PRIM_CONTRIBUTORY_CAUSE", F.lit('",\nthen left'))
+    return rows.withColumn("PRIM_CONTRIBUTORY_CAUSE", F.when(F.col("CRASH_RECORD_ID").cast("long") % 7 == 0, note)
+                           .otherwise(F.col("PRIM_CONTRIBUTORY_CAUSE")))
+
+
+@query("src01_quoted_line_ends", f"SELECT r.* REPLACE ({_NOTED} AS PRIM_CONTRIBUTORY_CAUSE) FROM raw_a r")
+def src01b(spark, sf):
+    rows = _noted(spark, sf)
+    return TX.read_csv_text(spark, L.land_csv(rows, scratch_path(spark, "quoted")), rows.columns, multi_line=True)
+
+
+@query("src03_quoted_union", f"""
+SELECT r.* REPLACE ({_NOTED} AS PRIM_CONTRIBUTORY_CAUSE, CASE WHEN HIT_AND_RUN_I = 'Y' THEN NULL ELSE BEAT_OF_OCCURRENCE END AS BEAT_OF_OCCURRENCE)
+FROM raw_a r""")
+def src03b(spark, sf):
+    rows = _noted(spark, sf)
+    flagged = F.coalesce(F.col("HIT_AND_RUN_I") == "Y", F.lit(False))
+    first = L.land_csv(rows.where(flagged).drop("BEAT_OF_OCCURRENCE"), scratch_path(spark, "quoted-one"))
+    second = L.land_csv(rows.where(~flagged), scratch_path(spark, "quoted-two"))
+    return TX.read_csv_union(spark, [first, second], multi_line=True).select(*rows.columns)
+
+
 @query("src02_json_page_scan", "SELECT * FROM raw_b")
 def src02(spark, sf):
     rows = raw_events(spark, sf)
@@ -90,9 +120,41 @@ def src09(spark, sf):
     return FL.csv_sanity(spark, L.land_annual(spark, sf))
 
 
-@query("src10_file_fingerprint")
+def _tree_sql(name: str) -> str:
+    """Hashes of files of whole lines: of the content, or of the hashes of its chunks (up to as many as a node holds)."""
+    return f"""
+SELECT name, any_value(size_bytes) AS size_bytes,
+  CASE WHEN count(*) = 1 THEN any_value(leaf) ELSE sha256(string_agg(leaf, '' ORDER BY n)) END AS sha256
+FROM (SELECT name, strlen(content) AS size_bytes, n, sha256(substr(content, n * {FL.CHUNK} + 1, {FL.CHUNK})) AS leaf
+      FROM (SELECT name, content, unnest(range((strlen(content) - 1) // {FL.CHUNK} + 1)) AS n
+            FROM (SELECT {name} AS name, string_agg(concat_ws(',', collision_index, date, time, number_of_vehicles) || chr(10), ''
+                    ORDER BY collision_index) AS content FROM raw_c GROUP BY 1))) GROUP BY name"""
+
+
+def _landed_lines(spark, sf, name):
+    rows = raw_lineitem(spark, sf)
+    line = F.concat_ws(",", "collision_index", "date", "time", "number_of_vehicles")
+    return L.land_lines(rows.select(name.alias("file"), line.alias("line"), "collision_index"), scratch_path(spark, "lines"), "collision_index")
+
+
+@query("src10_file_fingerprint", _tree_sql("'annual-' || date[7:10] || '.csv'"))
 def src10(spark, sf):
-    return FL.fingerprints(spark, L.land_annual(spark, sf)).select("name", "size_bytes", "sha256")
+    name = F.concat(F.lit("annual-"), F.substring("date", 7, 4), F.lit(".csv"))
+    return FL.fingerprints(spark, _landed_lines(spark, sf, name)).select("name", "size_bytes", "sha256")
+
+
+@query("src10_large_file_fingerprint", _tree_sql("'all-years.csv'"))
+def src10c(spark, sf):
+    """The whole feed as one named file of many parts and many chunks."""
+    return FL.fingerprints(spark, _landed_lines(spark, sf, F.lit("all-years.csv"))).select("name", "size_bytes", "sha256")
+
+
+@query("src09_quoted_sanity_scan", """
+SELECT 'export-' || (CAST(CRASH_RECORD_ID AS BIGINT) % 3) || '.csv' AS name, true AS utf8, count(*) AS row_count, 'ok' AS status,
+  (SELECT count(*) FROM (DESCRIBE raw_a))::INTEGER AS header_columns FROM raw_a GROUP BY 1""")
+def src09b(spark, sf):
+    name = F.concat(F.lit("export-"), F.col("CRASH_RECORD_ID").cast("long") % 3, F.lit(".csv"))
+    return FL.csv_sanity(spark, L.land_csv(_noted(spark, sf), scratch_path(spark, "quoted"), name), multi_line=True)
 
 
 @query("src10_content_fingerprint", "SELECT doc_id, sha256(text) AS sha256, strlen(text) AS size_bytes FROM documents")

@@ -38,6 +38,16 @@ def land_csv(df: DataFrame, root: str, name: Column | None = None) -> str:
     return root
 
 
+def land_lines(lines: DataFrame, root: str, *order: str) -> str:
+    """Rows (file, line, ...) as one named text file per value of ``file``, its lines in the given order.
+
+    A file has as many parts as tasks wrote it; in the order of their paths they hold the lines in order.
+    """
+    dealt = lines.repartitionByRange("file", *order).sortWithinPartitions("file", *order)
+    dealt.select("file", "line").write.mode("overwrite").partitionBy("file").text(root)
+    return root
+
+
 def land_pages(df: DataFrame, row_no: Column, root: str, page_rows: int = PAGE_ROWS) -> str:
     """Rows as files that each hold one JSON array of at most ``page_rows`` records.
 

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from wayfuse.sources.datasets import file_key
+from wayfuse.sources.lines import byte_pieces, record_texts
 
 MANIFEST_COLUMNS = ["source_id", "batch_id", "file_name", "type", "raw_path", "size_bytes",
                     "sha256", "record_count", "retrieved_at_utc"]
@@ -40,22 +43,56 @@ def glob_to_regex(pattern: str) -> str:
                          for ch in pattern) + "$"
 
 
-def fingerprints(spark: SparkSession, root: str) -> DataFrame:
-    """SHA-256 and size per named file.
+CHUNK = 1 << 20  # bytes of a leaf
+FAN = 1024  # hashes below a node
+LEVELS = 4  # of nodes above the leaves: enough for 2**60 bytes
 
-    A file of one part has the hash of its content. A file of several parts has
-    the hash of its parts' hashes in the order of their paths, so no part is ever joined with
-    another, and parts that change places give another hash. A part is read whole to
-    be hashed and must stay below 2 GB.
+
+def content_hash(pieces: DataFrame, keys: list[str], chunk: int = CHUNK, fan: int = FAN) -> DataFrame:
+    """SHA-256 of contents of any size: ``keys`` and ``sha256``.
+
+    ``pieces`` has the keys, ``start`` (byte offset) and ``content``, in any order and cut anyhow. A content
+    of one chunk has the hash of its bytes. A longer one has a tree of hashes: a node is the hash of the
+    hashes (lowercase hex, one after another) of the ``fan`` nodes below it, up to the first level of
+    one node. No task holds more than a chunk or ``fan`` hashes, and the hash does not depend on the cuts.
+    """
+    end = F.col("start") + F.octet_length("content")
+    number = F.explode(F.sequence(F.floor(F.col("start") / chunk), F.floor((end - 1) / chunk)))
+    parts = pieces.where(F.octet_length("content") > 0).select(*keys, "start", "content", number.alias("number"))
+    begin = F.greatest(F.col("number") * chunk - F.col("start"), F.lit(0)).cast("int")
+    # a piece inside its chunk is passed on as it is
+    held = F.when((begin == 0) & (end <= (F.col("number") + 1) * chunk), F.col("content")).otherwise(F.substring(
+        F.col("content"), begin + 1, F.least((F.col("number") + 1) * chunk - F.col("start") - begin, F.lit(chunk)).cast("int")))
+    parts = parts.select(*keys, "number", F.struct((F.col("start") + begin).alias("start"), held.alias("content")).alias("part"))
+    whole = F.unhex(F.array_join(F.transform(F.sort_array(F.collect_list("part")), lambda p: F.hex(p["content"])), ""))
+    nodes = parts.groupBy(*keys, "number").agg(F.sha2(whole, 256).alias("node"))
+    for _ in range(LEVELS):
+        below = F.sort_array(F.collect_list(F.struct("number", "node")))
+        nodes = (nodes.groupBy(*keys, F.floor(F.col("number") / fan).alias("up")).agg(below.alias("below"))
+                 .select(*keys, F.col("up").alias("number"), F.when(
+                     (F.col("up") == 0) & (F.size("below") == 1), F.col("below")[0]["node"]).otherwise(
+                     F.sha2(F.array_join(F.transform("below", lambda n: n["node"]), ""), 256)).alias("node")))
+    return nodes.select(*keys, F.col("node").alias("sha256"))
+
+
+def fingerprints(spark: SparkSession, root: str, chunk: int = CHUNK) -> DataFrame:
+    """name, path, size_bytes and sha256 of each named file below ``root``.
+
+    The bytes of a file's parts count one after another in the order of their paths, so the hash is the
+    same however they are cut into parts; parts that change places give another. See
+    :func:`content_hash`: files of any size are read and hashed by many tasks. The file source does not
+    list files without a byte, so they are no rows here.
     """
-    parts = incoming(spark, root).select("name", "path", "length",
-                                         F.sha2("content", 256).alias("part_sha"))
-    hashes = F.transform(F.sort_array(F.collect_list(F.struct("path", "part_sha"))), lambda p: p["part_sha"])
-    return parts.groupBy("name").agg(
-        F.min("path").alias("path"), F.sum("length").alias("size_bytes"), hashes.alias("_h")).select(
-        "name", "path", "size_bytes",
-        F.when(F.size("_h") == 1, F.col("_h")[0])
-         .otherwise(F.sha2(F.array_join("_h", ""), 256)).alias("sha256"))
+    parts = incoming(spark, root).select("name", "path", F.col("length").cast("long").alias("length"))
+    before = W.partitionBy("name").orderBy("path").rowsBetween(W.unboundedPreceding, -1)
+    placed = parts.withColumn("before", F.coalesce(F.sum("length").over(before), F.lit(0))).select(
+        file_key(F.col("path")).alias("_part"), "name", "before")
+    pieces = byte_pieces(spark, root).join(placed, file_key(F.col("path")) == F.col("_part")).select(
+        "name", (F.col("before") + F.col("start")).alias("start"), "content")
+    files = parts.groupBy("name").agg(F.min("path").alias("path"), F.sum("length").alias("size_bytes"))
+    hashed = content_hash(pieces, ["name"], chunk)
+    return files.join(hashed, "name").select(
+        "name", "path", "size_bytes", "sha256")
 
 
 def header_columns(line: Column) -> Column:
@@ -67,10 +104,17 @@ def csv_sanity(spark: SparkSession, root: str, multi_line: bool = False) -> Data
     """Per named CSV file: valid UTF-8, header columns, number of data rows, status.
 
     Lines are checked where they are read, so a file of any size is split over
-    many tasks; the header is the line at the lowest position. Rows are counted the
-    same way, unless ``multi_line`` says that quoted cells may hold line ends: such a
-    file is read by one task.
+    many tasks; the header is the record at the lowest position. With ``multi_line`` quoted cells may
+    hold line ends: records are told apart by the quotes before them, again over many tasks.
     """
+    if multi_line:
+        records = record_texts(spark, root).select(
+            file_name(F.col("path")).alias("name"), "path", "first", F.is_valid_utf8("record").alias("utf8"),
+            F.when(F.col("first"), header_columns(F.col("record"))).alias("columns"))
+        counted = records.groupBy("name").agg(
+            F.bool_and("utf8").alias("utf8"), F.min_by("columns", F.when(F.col("first"), F.col("path"))).alias("header_columns"),
+            F.count_if(~F.col("first")).alias("row_count"))
+        return _with_status(counted)
     place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
     lines = (spark.read.option("recursiveFileLookup", "true").text(root)
              .select(file_name(F.col("_metadata.file_path")).alias("name"), place.alias("place"),
@@ -78,13 +122,16 @@ def csv_sanity(spark: SparkSession, root: str, multi_line: bool = False) -> Data
                      header_columns(F.col("value")).alias("columns")))
     head = lines.groupBy("name").agg(F.bool_and("utf8").alias("utf8"),
                                      F.min_by("columns", "place").alias("header_columns"))
-    rows = (spark.read.option("multiLine", multi_line).option("quote", '"').option("escape", '"')
+    rows = (spark.read.option("quote", '"').option("escape", '"')
             .option("header", True).option("recursiveFileLookup", "true").schema("first string").csv(root)
             .groupBy(file_name(F.col("_metadata.file_path")).alias("name"))
             .agg(F.count("*").alias("row_count")))
-    return (head.join(rows, "name", "left").na.fill(0, ["row_count"])
-            .withColumn("status", F.when(~F.col("utf8"), "not utf-8")
-                        .when(F.col("header_columns") < 2, "no header").otherwise("ok")))
+    return _with_status(head.join(rows, "name", "left").na.fill(0, ["row_count"]))
+
+
+def _with_status(counted: DataFrame) -> DataFrame:
+    return counted.withColumn("status", F.when(~F.col("utf8"), "not utf-8")
+                              .when(F.col("header_columns") < 2, "no header").otherwise("ok"))
 
 
 def newest_file(files: DataFrame, pattern: str) -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from wayfuse.sources.lines import record_texts
+
 
 def text_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
@@ -16,8 +18,8 @@ def read_csv_text(spark: SparkSession, paths: str | list[str], columns: list[str
                   multi_line: bool = False) -> DataFrame:
     """CSV with a header, all text; 'NA' and 'null' stay text.
 
-    A file is split over many tasks. Where quoted cells may hold line ends, ``multi_line`` reads
-    them right, with one task for each file.
+    A file is split over many tasks, also with ``multi_line``, which says that quoted cells may hold
+    line ends: see :func:`wayfuse.sources.lines.record_texts`.
 
     ``columns`` names the header when it is known; otherwise it is read from the
     first line. Several files must share their header: use ``read_csv_union``
@@ -27,9 +29,27 @@ def read_csv_text(spark: SparkSession, paths: str | list[str], columns: list[str
               .option("nullValue", "").option("emptyValue", "")
               .option("multiLine", multi_line).option("quote", '"').option("escape", '"')
               .option("enforceSchema", False))
+    if not multi_line:
+        if columns is None:
+            return reader.csv(paths)
+        return reader.schema(text_schema(columns)).csv(paths).select(*columns)
     if columns is None:
-        return reader.csv(paths)
-    return reader.schema(text_schema(columns)).csv(paths).select(*columns)
+        columns = reader.csv(paths).columns  # reads one record
+    return _parsed(record_texts(spark, paths), columns)
+
+
+def _parsed(records: DataFrame, columns: list[str]) -> DataFrame:
+    """Records as rows of text; one whose header differs from ``columns`` fails."""
+    inner = text_schema([f"c{i}" for i in range(len(columns))])
+    told = {"nullValue": "", "emptyValue": "", "quote": '"', "escape": '"', "multiLine": "true", "maxCharsPerColumn": "-1",
+            "mode": "PERMISSIVE"}
+    cells = records.withColumn("_cells", F.from_csv("record", inner.simpleString()[len("struct<"):-1].replace(":", " "), told))
+    expected = F.array(*[F.lit(c) for c in columns])
+    header = F.array(*[F.coalesce(f"_cells.c{i}", F.lit("")) for i in range(len(columns))])
+    wrong = F.raise_error(F.concat(F.lit("header differs from the expected columns in "), F.col("path"))).cast("boolean")
+    # a header that does not fit fails; one that fits is no row
+    kept = cells.where(F.when(~F.col("first"), F.lit(True)).when(header == expected, F.lit(False)).otherwise(wrong))
+    return kept.select(*[F.col(f"_cells.c{i}").alias(c) for i, c in enumerate(columns)])
 
 
 def read_csv_union(spark: SparkSession, paths: list[str], multi_line: bool = False) -> DataFrame:
