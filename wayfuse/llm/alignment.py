@@ -26,11 +26,11 @@ from wayfuse.llm.common import batches_by_bytes, saved
 from wayfuse.llm.packing import _Ids
 
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k", "piece_bpe_32k"
-BLOCK = 4 << 20  # bytes of text in a block; a longer text is a block of its own
+BLOCK = 2 << 20  # bytes of text in a block; a longer text is a block of its own
 LANE = 4096
 B_BITS = 15  # of a B id in a pair's number
 WIDE = 4096  # links of a group from which its distinct ids are combined, not its tokens
-_CACHED = 300_000
+_CACHED = 100_000  # words whose ids a vocabulary keeps
 _SPACE = "▁"
 
 
@@ -49,6 +49,8 @@ class _TokensA:
         self.bytes = np.array([ranks.get(i, b"") for i in range(max(ranks) + 2)], object)
 
     def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.ids.ends) > _CACHED:
+            self.ids.forget()
         ids, ends = self.ids.of([" " + t for t in texts])
         return ids.astype(np.int64), np.asarray(ends, np.int64)
 
