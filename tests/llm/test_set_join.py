@@ -99,4 +99,4 @@ def test_posted_parts_of_linked_sets_meet():
             first = np.intersect1d(a[:set_join.posted(len(a), 85)], b[:set_join.posted(len(b), 85)])
             assert len(first) >= min(set_join.spare(len(a)), set_join.spare(len(b)))
             for s in (a, b):  # what a set asks for is no more than any partner's share
-                assert max(1, set_join.least_overlap(len(s), 85) // 10) <= len(first)
+                assert set_join.spare(set_join.least_overlap(len(s), 85)) <= len(first)

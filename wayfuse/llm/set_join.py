@@ -3,9 +3,10 @@
 * Equal sets are one class. In a fixed order of all shingles, two linked classes share some of their first ones
   (a fifth to a quarter of a set): these alone are posted. A class with fewer shared ones than any partner needs goes.
 * All classes that post a shingle meet under the shingle's pivot, the least of them. So a near copy meets the others
-  of its kind under few pivots, not under each shingle.
-* Each class is first compared with one centre under each pivot, which ties most near copies together by as many
-  comparisons as there are rows. Pivots whose classes are one component by then are done.
+  of its kind under few pivots, not under each shingle. Linked classes share a tenth of their sizes there: each may
+  leave the pivots that hold less than half of that share, and still meets its partners under another.
+* Each class is first compared with one centre, that of its largest pivot, which ties most near copies together by
+  as many comparisons as there are classes. Pivots whose classes are one component by then are done.
 * Under the others, classes of different components are searched: the inverted lists of a query's shingles are
   divided (DivideSkip); the short ones are merged by a heap, the long ones probed by binary search for
   what the merge found often enough, and classes that reach the overlap their sizes require are linked. A
@@ -29,6 +30,7 @@ from wayfuse.llm.common import saved, text_bytes
 from wayfuse.operators.components import components
 
 SHINGLE, PERCENT = 5, 80
+SPARE_SHARE = 10  # per cent of a set's size, see ``spare``
 BLOCK_SETS = 1024  # classes of a block; pairs of blocks are a task's work
 _SEEN = 200_000
 _WORDS = 500_000
@@ -74,7 +76,7 @@ def least_overlap(n, percent: int):
 
 def spare(n):
     """Shared shingles by which the posted part of a set is longer than one shared shingle would need."""
-    return np.maximum(1, n // 10) if isinstance(n, np.ndarray) else max(1, n // 10)
+    return max(1, n * SPARE_SHARE // 100)
 
 
 def posted(n: int, percent: int) -> int:
@@ -262,20 +264,23 @@ def _summary(docs: DataFrame, words_each: int, percent: int) -> DataFrame:
 
 
 def _meetings(summary: DataFrame, percent: int) -> DataFrame:
-    """pivot, number: classes that may have partners, under each pivot; those alone under a pivot are left out."""
+    """pivot, number, times, centre: classes that may have partners, under each pivot they cannot leave."""
     posts = (summary.where("first IS NOT NULL").select(F.explode("first").alias("token"), "number")
              .repartition("token").dropDuplicates(["token", "number"]))
     own = W.partitionBy("token")
     shared = (posts.withColumn("pivot", F.min("number").over(own)).withColumn("_top", F.max("number").over(own))
               .where("pivot < _top").groupBy("number", "pivot").agg(F.count(F.lit(1)).alias("times")))
     shared = saved(shared, "sets-shared")
-    sizes = summary.where("n > 0").groupBy("number").agg(F.max("n").alias("n"))
-    least = F.ceil(F.col("n") * percent / 100)
-    enough = (shared.groupBy("number").agg(F.sum("times").alias("times")).join(sizes, "number")
-              .where(F.col("times") >= F.greatest(F.lit(1), F.floor(least / 10))).select("number"))
-    meet = saved(shared.select("number", "pivot").join(enough, "number", "left_semi"), "sets-meeting")
-    groups = meet.groupBy("pivot").agg(F.min("number").alias("centre"), F.max("number").alias("_top")).where("centre < _top")
-    return saved(meet.join(groups.select("pivot", "centre"), "pivot"), "sets-meetings")
+    # what any partner shares with a class of this size: the spare part of the smallest partner
+    sizes = summary.where("n > 0").groupBy("number").agg(F.max("n").alias("n")).select(
+        "number", F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * percent / 100) * SPARE_SHARE / 100)).alias("least"))
+    rising = W.partitionBy("number").orderBy("times", "pivot").rowsBetween(W.unboundedPreceding, W.currentRow)
+    kept = (shared.join(sizes, "number").withColumn("_all", F.sum("times").over(W.partitionBy("number")))
+            .where(F.col("_all") >= F.col("least")).withColumn("_upto", F.sum("times").over(rising))
+            .where(2 * F.col("_upto") >= F.col("least")).select("number", "pivot", "times"))
+    kept = saved(kept, "sets-meeting")
+    groups = kept.groupBy("pivot").agg(F.min("number").alias("centre"), F.max("number").alias("_top")).where("centre < _top")
+    return saved(kept.join(groups.select("pivot", "centre"), "pivot"), "sets-meetings")
 
 
 def _held(docs: DataFrame, summary: DataFrame, meetings: DataFrame, words_each: int) -> DataFrame:
@@ -321,7 +326,8 @@ def links(docs: DataFrame, summary: DataFrame, words_each: int = SHINGLE, percen
     meetings = _meetings(summary, percent)
     held = _held(docs, summary, meetings, words_each)
     centres = held.select(F.col("number").alias("centre"), F.col("cls").alias("_centre"), F.col("held").alias("centre_held"))
-    compared = (meetings.where("number <> centre").select("number", "centre").distinct().join(held, "number")
+    best = meetings.where("number <> centre").groupBy("number").agg(F.max_by("centre", F.struct("times", "centre")).alias("centre"))
+    compared = (best.join(held, "number")
                 .join(centres, "centre").select("cls", "held", F.col("_centre").alias("centre"), "centre_held"))
     stars = saved(compared.mapInArrow(_starred(percent), _EDGES), "sets-stars")
     joined = saved(components(stars, "a", "b"), "sets-joined")
