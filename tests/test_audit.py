@@ -1,11 +1,10 @@
-import datetime as dt
-
 import pytest
 from pyspark.sql import functions as F
 
 from wayfuse.operators import audit as AU
 from wayfuse.operators import checks as C
 from wayfuse.operators import publish as PB
+from wayfuse.operators import snapshots as SN
 from wayfuse.operators.curate import harmonize, typed_rows, write_partitioned, write_staged
 from wayfuse.sources.datasets import data_files, read_curated
 from wayfuse.spec import CANONICAL_FIELDS, STAGED_SCHEMA
@@ -146,21 +145,6 @@ def test_publish_swaps_and_keeps_live_on_missing_candidate(spark, tmp_path):
     assert spark.read.parquet(live).count() == 7
 
 
-def test_upsert_moves_amended_rows_and_is_repeatable(spark, tmp_path):
-    root = str(tmp_path / "fact")
-    write_partitioned(typed_rows(feed(spark, "uk_stats19", 3, lambda i: f"14/0{i + 1}/2023 08:30")), root)
-    change = typed_rows(feed(spark, "uk_stats19", 4, lambda i: "20/03/2023 09:00", batch="u2", severity="fatal")).where(
-        F.col("source_record_id").isin("0", "3"))
-    for _ in range(2):
-        PB.upsert_dataset(spark, root, change, F.lit("2026-02-02").cast("timestamp"))
-        got = sorted((r.source_record_id, r.month, r.batch_id, r.severity) for r in spark.read.parquet(root).collect())
-        assert got == [("0", 3, "u2", "fatal"), ("1", 2, "u1", "minor"), ("2", 3, "u1", "minor"), ("3", 3, "u2", "fatal")]
-    stamps = {r.ingested_at_utc for r in spark.read.parquet(root).where("batch_id = 'u2'").collect()}
-    assert stamps == {dt.datetime(2026, 2, 2)}
-    with pytest.raises(ValueError):
-        PB.upsert_dataset(spark, root, change.unionByName(change))
-
-
 @pytest.mark.parametrize("absent", ["crash_id", "source_record_id", "crash_timestamp_utc", "crash_date_key", "batch_id", "severity"])
 def test_an_absent_column_fails_its_checks_only(spark, candidate, absent):
     rows = candidate.rows(spark).drop(absent)
@@ -170,36 +154,6 @@ def test_an_absent_column_fails_its_checks_only(spark, candidate, absent):
     assert {r.status for r in got if r.check_name == "curated_schema_check"} == {"fail"}
 
 
-def test_merge_that_fails_before_the_swap_leaves_the_old_table(spark, tmp_path, monkeypatch):
-    root = str(tmp_path / "fact")
-    write_partitioned(typed_rows(feed(spark, "uk_stats19", 3, lambda i: f"14/0{i + 1}/2023 08:30")), root)
-    change = typed_rows(feed(spark, "uk_stats19", 1, lambda i: "20/03/2023 09:00", batch="u2"))
-    finish, calls = PB.finish_merge, []
-
-    def fails(spark, root):
-        calls.append(root)
-        if len(calls) == 2:
-            raise RuntimeError("lost")
-        finish(spark, root)
-    monkeypatch.setattr(PB, "finish_merge", fails)
-    with pytest.raises(RuntimeError, match="lost"):
-        PB.upsert_dataset(spark, root, change)
-    assert sorted((r.source_record_id, r.month) for r in spark.read.parquet(root).collect()) == [("0", 1), ("1", 2), ("2", 3)]
-    finish(spark, root)  # the merge was written whole: it can be completed
-    assert sorted((r.source_record_id, r.month) for r in spark.read.parquet(root).collect()) == [("0", 3), ("1", 2), ("2", 3)]
-    finish(spark, root)
-    assert spark.read.parquet(root).count() == 3
-
-
-def test_merge_reads_touched_folders_only(spark, tmp_path):
-    root = str(tmp_path / "fact")
-    write_partitioned(typed_rows(feed(spark, "uk_stats19", 6, lambda i: f"14/0{i + 1}/2023 08:30")), root)
-    some = PB.touched_rows(spark.read.parquet(root), [("uk_stats19", 2023, 2), ("uk_stats19", 2023, 5)])
-    plan = some._jdf.queryExecution().executedPlan().toString()
-    filters = plan[plan.index("PartitionFilters"):][:400]
-    assert filters.startswith("PartitionFilters: [isnotnull(source_id") and "= uk_stats19" in filters and sorted(r.month for r in some.collect()) == [2, 5]
-
-
 def test_load(spark, candidate, tmp_path):
     fact, dates = str(tmp_path / "fact"), str(tmp_path / "dates")
     assert PB.load(spark, candidate.path, fact, dates, dry_run=True)["rows_written"] == 0
@@ -207,6 +161,6 @@ def test_load(spark, candidate, tmp_path):
     assert first == {"rows_read": 119, "rows_written": 119, "dim_date_inserted": 12}
     again = PB.load(spark, candidate.path, fact, dates)
     assert again == {"rows_read": 299, "rows_written": 299, "dim_date_inserted": 2}
-    assert spark.read.parquet(fact).count() == 299 and spark.read.parquet(dates).count() == 14
+    assert SN.read(spark, fact).count() == 299 and spark.read.parquet(dates).count() == 14
     with pytest.raises(KeyError):
-        PB.fact_rows(spark.read.parquet(fact).drop("severity"))
+        PB.fact_rows(SN.read(spark, fact).drop("severity"))

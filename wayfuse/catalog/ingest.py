@@ -11,8 +11,10 @@ from wayfuse.operators import formats as FM
 from wayfuse.operators import profile as P
 from wayfuse.operators import publish as PB
 from wayfuse.operators import report as R
+from wayfuse.operators import snapshots as SN
 from wayfuse.operators.checks import append_log
 from wayfuse.operators.curate import harmonize, write_partitioned, write_staged
+from wayfuse.operators.merging import NATURAL_KEY
 from wayfuse.plans import landing as L
 from wayfuse.plans.analytics import month_slice
 from wayfuse.plans.bindings import curated, raw_events, raw_lineitem, raw_orders, staged, table
@@ -291,30 +293,50 @@ def snk04(spark, sf):
         F.count("*").alias("n"))
 
 
+def _revised(rows):
+    """The same records in a later batch, their severities revised."""
+    return rows.withColumns({"severity": F.lit("unknown"), "batch_id": F.concat("source_id", F.lit("_b2"))})
+
+
 def _amended(rows):
-    """A later batch: the trailing window again, with its severities revised."""
-    return amended_window(rows, "crash_date_key").withColumns(
-        {"severity": F.lit("unknown"), "batch_id": F.lit("chicago_us_b2")})
+    """A later batch: each source's trailing window again."""
+    return _revised(amended_window(rows, "crash_date_key", by=["source_id"]))
 
 
 def _before(rows, days):
-    newest = rows.agg(F.max("crash_date_key").alias("_m"))
-    return rows.join(F.broadcast(newest)).where(F.col("crash_date_key") <= F.date_sub("_m", days)).drop("_m")
+    """Rows without each source's newest days."""
+    newest = rows.groupBy("source_id").agg(F.max("crash_date_key").alias("_m"))  # one row per source
+    return (rows.join(F.broadcast(newest), "source_id").where(F.col("crash_date_key") <= F.date_sub("_m", days))
+            .select(*rows.columns))
 
 
 _UPSERTED = """
 SELECT crash_id, CASE WHEN crash_date_key >= m - 90 THEN 'unknown' ELSE severity END AS severity,
-  CASE WHEN crash_date_key >= m - 90 THEN 'chicago_us_b2' ELSE batch_id END AS batch_id,
+  CASE WHEN crash_date_key >= m - 90 THEN source_id || '_b2' ELSE batch_id END AS batch_id,
   CASE WHEN crash_date_key >= m - 90 THEN TIMESTAMP '2026-01-12 07:00:00' ELSE ingested_at_utc END AS ingested_at_utc
-FROM curated, (SELECT max(crash_date_key) AS m FROM curated WHERE source_id = 'chicago_us') WHERE source_id = 'chicago_us'"""
+FROM curated JOIN (SELECT source_id, max(crash_date_key) AS m FROM curated GROUP BY 1) USING (source_id)"""
+
+
+@query("snk04_publish_snapshot", """
+SELECT 'before' AS state, source_id, count(*) AS n FROM curated WHERE source_id = 'nyc_us' GROUP BY ALL
+UNION ALL SELECT 'now', source_id, count(*) FROM curated GROUP BY ALL""")
+def snk04b(spark, sf):
+    """A reader that resolved the table before the candidate was published, and one after."""
+    root = scratch_path(spark, "table")
+    old = SN.replace(spark, root, curated(spark, sf, "nyc_us"))
+    before = SN.read(spark, old)
+    SN.publish(spark, write_partitioned(curated(spark, sf), scratch_path(spark, "candidate")), root)
+    both = before.select(F.lit("before").alias("state"), F.col("source_id").cast("string")).unionByName(
+        SN.read(spark, root).select(F.lit("now").alias("state"), F.col("source_id").cast("string")))
+    return both.groupBy("state", "source_id").agg(F.count("*").alias("n"))
 
 
 @query("snk05_upsert_fact", _UPSERTED)
 def snk05(spark, sf):
-    rows = curated(spark, sf, "chicago_us")
-    root = write_partitioned(_before(rows, 45), scratch_path(spark, "fact"))
-    PB.upsert_dataset(spark, root, _amended(rows), at(SECOND_RUN))
-    return spark.read.parquet(root).select("crash_id", "severity", "batch_id", "ingested_at_utc")
+    rows, root = curated(spark, sf), scratch_path(spark, "fact")
+    SN.replace(spark, root, _before(rows, 45))
+    SN.merge(spark, root, _amended(rows), at(SECOND_RUN))
+    return SN.read(spark, root).select("crash_id", "severity", "batch_id", "ingested_at_utc")
 
 
 @query("snk06_dim_date_fill", """
@@ -337,7 +359,7 @@ def snk07(spark, sf):
 def snk08(spark, sf):
     root, dates = scratch_path(spark, "fact"), scratch_path(spark, "dim_date")
     PB.load(spark, L.published(spark, sf), root, dates, "nyc_us")
-    return spark.read.parquet(root).withColumn("source_id", F.col("source_id").cast("string")).select(*FACT_COLUMNS)
+    return SN.read(spark, root).withColumn("source_id", F.col("source_id").cast("string")).select(*FACT_COLUMNS)
 
 
 @query("snk09_dq_log_append", "SELECT * FROM dq_log WHERE check_name <> 'source_freshness'")
@@ -412,14 +434,12 @@ def snk13b(spark, sf):
 SELECT crash_id, CASE WHEN crash_date_key >= m - 90 THEN 'unknown' ELSE severity END AS severity
 FROM curated JOIN (SELECT source_id, max(crash_date_key) AS m FROM curated GROUP BY 1) USING (source_id)""")
 def snk05b(spark, sf):
-    """One merge over all three sources, into a table that lacks their newest 45 days."""
-    rows = curated(spark, sf)
-    newest = rows.groupBy("source_id").agg(F.max("crash_date_key").alias("_m"))  # one row per source
-    dated = rows.join(F.broadcast(newest), "source_id")
-    root = write_partitioned(dated.where(F.col("crash_date_key") <= F.date_sub("_m", 45)).drop("_m"), scratch_path(spark, "fact"))
-    again = dated.where(F.col("crash_date_key") >= F.date_sub("_m", 90)).drop("_m").withColumn("severity", F.lit("unknown"))
-    PB.upsert_dataset(spark, root, again, at(SECOND_RUN))
-    return spark.read.parquet(root).select("crash_id", "severity")
+    """A merge for each of the three sources, into a table that lacks their newest 45 days."""
+    rows, root = curated(spark, sf), scratch_path(spark, "fact")
+    SN.replace(spark, root, _before(rows, 45))
+    for source in L.BATCHES:
+        SN.merge(spark, root, _amended(curated(spark, sf, source)), at(SECOND_RUN))
+    return SN.read(spark, root).select("crash_id", "severity")
 
 
 @query("snk08_load_again", f"SELECT {', '.join(FACT_COLUMNS)} FROM curated")
@@ -428,36 +448,34 @@ def snk08b(spark, sf):
     root, dates = scratch_path(spark, "fact"), scratch_path(spark, "dim_date")
     for source in ("nyc_us", None):
         PB.load(spark, L.published(spark, sf), root, dates, source)
-    return spark.read.parquet(root).withColumn("source_id", F.col("source_id").cast("string")).select(*FACT_COLUMNS)
+    return SN.read(spark, root).withColumn("source_id", F.col("source_id").cast("string")).select(*FACT_COLUMNS)
 
 
 # -- joins of the merge, incremental batches -----------------------------------------
 
 @query("joi12_upsert_match", """
-SELECT count(*) AS matched FROM curated, (SELECT max(crash_date_key) AS m FROM curated WHERE source_id = 'chicago_us')
-WHERE source_id = 'chicago_us' AND crash_date_key BETWEEN m - 90 AND m - 45""")
+SELECT source_id, count(*) AS matched FROM curated JOIN (SELECT source_id, max(crash_date_key) AS m FROM curated GROUP BY 1) USING (source_id)
+WHERE crash_date_key BETWEEN m - 90 AND m - 45 GROUP BY 1""")
 def joi12(spark, sf):
-    rows = curated(spark, sf, "chicago_us")
-    keys = PB.NATURAL_KEY
-    return (_before(rows, 45).select(*keys).join(_amended(rows).select(*keys), keys, "left_semi")
-            .agg(F.count("*").alias("matched")))
+    rows = curated(spark, sf)
+    return (_before(rows, 45).select(*NATURAL_KEY).join(_amended(rows).select(*NATURAL_KEY), NATURAL_KEY, "left_semi")
+            .groupBy("source_id").agg(F.count("*").alias("matched")))
 
 
 @query("inc01_trailing_amendments", _UPSERTED)
 def inc01(spark, sf):
-    rows = curated(spark, sf, "chicago_us")
-    feed = rows.withColumns({"severity": F.lit("unknown"), "batch_id": F.lit("chicago_us_b2")})
-    return apply_amendments(_before(rows, 45), feed, "crash_date_key", at(SECOND_RUN)).select(
+    rows = curated(spark, sf)
+    return apply_amendments(_before(rows, 45), _revised(rows), "crash_date_key", at(SECOND_RUN), by=["source_id"]).select(
         "crash_id", "severity", "batch_id", "ingested_at_utc")
 
 
 @query("inc02_idempotent_rerun", _UPSERTED)
 def inc02(spark, sf):
-    rows = curated(spark, sf, "chicago_us")
-    root = write_partitioned(_before(rows, 45), scratch_path(spark, "fact"))
+    rows, root = curated(spark, sf), scratch_path(spark, "fact")
+    SN.replace(spark, root, _before(rows, 45))
     for _ in range(2):
-        PB.upsert_dataset(spark, root, _amended(rows), at(SECOND_RUN))
-    return spark.read.parquet(root).select("crash_id", "severity", "batch_id", "ingested_at_utc")
+        SN.merge(spark, root, _amended(rows), at(SECOND_RUN))
+    return SN.read(spark, root).select("crash_id", "severity", "batch_id", "ingested_at_utc")
 
 
 @query("inc03_freshness", "SELECT source_id, status, details FROM freshness")

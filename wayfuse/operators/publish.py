@@ -1,14 +1,13 @@
-"""Publishing a candidate, merging amended records, and the warehouse dimensions."""
+"""Publishing a candidate, the warehouse tables and their dimensions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayfuse.operators import snapshots as SN
 from wayfuse.sources.datasets import read_curated
-from wayfuse.spec import DIM_SOURCE, FACT_COLUMNS, PARTITION_KEYS
-
-NATURAL_KEY = ["source_id", "source_record_id"]
+from wayfuse.spec import DIM_SOURCE, FACT_COLUMNS
 
 
 def _path(spark: SparkSession, path: str):
@@ -51,105 +50,6 @@ def _file_count(spark: SparkSession, root: str) -> int:
     return n
 
 
-def require_unique(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Fail when a batch holds a key twice: which copy should win is not defined."""
-    again = df.groupBy(*keys).agg(F.count("*").alias("copies")).where("copies > 1")
-    if not again.isEmpty():
-        raise ValueError(f"the batch repeats a key of {keys}")
-    return df
-
-
-def upsert(existing: DataFrame, incoming: DataFrame, now: Column | None = None,
-           keys: list[str] | None = None) -> DataFrame:
-    """Existing rows, those with an incoming key replaced; nothing is deleted.
-
-    The anti join has no hint: a small batch of amendments is broadcast by its
-    measured size, a full reload is merged by key.
-    """
-    keys = keys or NATURAL_KEY
-    stamped = incoming.withColumn("ingested_at_utc", F.current_timestamp() if now is None else now)
-    kept = existing.join(incoming.select(*keys), keys, "left_anti").select(*existing.columns)
-    return kept.unionByName(stamped.select(*existing.columns))
-
-
-def _folder(values) -> Column:
-    """The rows of one folder, as literals the scan can prune by."""
-    out = F.lit(True)
-    for key, value in zip(PARTITION_KEYS, values):
-        out = out & (F.col(key) == F.lit(value))
-    return out
-
-
-def touched_rows(existing: DataFrame, folders: list[tuple]) -> DataFrame:
-    """The rows of the named folders; no other folder is read."""
-    wanted = F.lit(False)
-    for values in folders:
-        wanted = wanted | _folder(values)
-    return existing.where(wanted)
-
-
-def upsert_dataset(spark: SparkSession, root: str, incoming: DataFrame,
-                   now: Column | None = None) -> None:
-    """Merge into a partitioned dataset, reading and rewriting only the folders it touches.
-
-    Touched are the folders of the incoming rows and the folders where their earlier
-    versions lie (found by a scan of the keys alone): an amended date moves a record to another
-    month. The new folders are written beside the dataset and a list of all touched ones
-    with them; only then are they put in place, folder by folder. What fails before leaves the old
-    table; what fails between is completed by the next call, or by ``finish_merge``.
-    Running it again gives the same rows.
-    """
-    finish_merge(spark, root)
-    require_unique(incoming, NATURAL_KEY)
-    existing = spark.read.parquet(root)
-    for key in PARTITION_KEYS:
-        existing = existing.withColumn(key, F.col(key).cast(incoming.schema[key].dataType))
-    held = existing.join(incoming.select(*NATURAL_KEY), NATURAL_KEY, "left_semi")
-    # One row per folder: its number is that of the folders of the dataset.
-    folders = sorted(tuple(r) for r in held.select(*PARTITION_KEYS).union(
-        incoming.select(*PARTITION_KEYS)).distinct().collect())
-    merged = upsert(touched_rows(existing, folders), incoming, now)
-    fs, new = _path(spark, root.rstrip("/") + "_merge")
-    fs.delete(new, True)
-    (merged.hint("rebalance", *PARTITION_KEYS).write.partitionBy(*PARTITION_KEYS).parquet(new.toString()))
-    names = ["/".join(f"{k}={v}" for k, v in zip(PARTITION_KEYS, values)) for values in folders]
-    kept = [(n, fs.exists(_path(spark, f"{new.toString()}/{n}")[1])) for n in names]
-    spark.createDataFrame(kept, "name string, filled boolean").coalesce(1).write.parquet(_listing(root))
-    finish_merge(spark, root)
-
-
-def _listing(root: str) -> str:
-    return root.rstrip("/") + "_merge_folders"
-
-
-def finish_merge(spark: SparkSession, root: str) -> None:
-    """Put the folders of a written merge in place; does nothing unless a merge was written whole.
-
-    For each folder the old one is removed if a new one waits or none is wanted any more, then the
-    new one is moved; both steps may be repeated.
-    """
-    fs, new = _path(spark, root.rstrip("/") + "_merge")
-    _, listing = _path(spark, _listing(root))
-    _, complete = _path(spark, _listing(root) + "/_SUCCESS")
-    if not fs.exists(complete):
-        fs.delete(listing, True)
-        fs.delete(new, True)
-        return
-    for name, filled in sorted(spark.read.parquet(_listing(root)).collect()):
-        _, source = _path(spark, f"{new.toString()}/{name}")
-        _, target = _path(spark, f"{root.rstrip('/')}/{name}")
-        if not filled:
-            fs.delete(target, True)
-        elif fs.exists(source):  # else an earlier call has moved it
-            fs.delete(target, True)
-            fs.mkdirs(target.getParent())
-            if not fs.rename(source, target):
-                raise RuntimeError(f"could not move {name} of the merge into {root}")
-    fs.delete(listing, True)
-    fs.delete(new, True)
-    spark.catalog.refreshByPath(root)
-
-
 def dim_source(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
         DIM_SOURCE, "source_id string, provider string, dataset_url string, city string, "
@@ -180,7 +80,7 @@ def fact_rows(curated: DataFrame) -> DataFrame:
 
 def load(spark: SparkSession, curated_root: str, fact_root: str, dim_date_root: str,
          source_id: str | None = None, dry_run: bool = False) -> dict:
-    """Curated rows of one source, or all, into the warehouse tables."""
+    """Curated rows of one source, or all, into the warehouse tables; the facts are a table of snapshots."""
     rows = read_curated(spark, curated_root, source_id)
     fact = fact_rows(rows)
     read = rows.count()
@@ -193,13 +93,7 @@ def load(spark: SparkSession, curated_root: str, fact_root: str, dim_date_root:
         fresh.repartition(1).write.mode("append").parquet(dim_date_root)
     keyed = fact.withColumns({"year": F.year("crash_date_key"), "month": F.month("crash_date_key"),
                               "source_id": F.col("source_id").cast("string")})
-    fs, p = _path(spark, fact_root)
-    if fs.exists(p):
-        upsert_dataset(spark, fact_root, keyed.withColumn("ingested_at_utc", F.current_timestamp()))
-    else:
-        require_unique(keyed, NATURAL_KEY)
-        (keyed.withColumn("ingested_at_utc", F.current_timestamp())
-         .hint("rebalance", *PARTITION_KEYS).write.partitionBy(*PARTITION_KEYS).parquet(fact_root))
+    SN.merge(spark, fact_root, keyed.withColumn("ingested_at_utc", F.current_timestamp()))
     return {"rows_read": read, "rows_written": read, "dim_date_inserted": inserted}
 
 

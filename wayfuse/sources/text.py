@@ -83,17 +83,19 @@ def drop_page_overlap(pages: DataFrame, key: str, *newest_first: str) -> DataFra
 
 
 def trailing_window(df: DataFrame, date_column: str, days: int, since=None, until=None,
-                    max_rows: int | None = None, order: list[str] | None = None) -> DataFrame:
+                    max_rows: int | None = None, order: list[str] | None = None,
+                    by: list[str] | None = None) -> DataFrame:
     """Rows from ``days`` before the newest date up to it, both ends included.
 
+    ``by`` (columns with few values) gives each group the window of its own newest date.
     ``since`` and ``until`` override the window for a backfill. ``max_rows`` is
     the optional cap of a partial pull; it needs an order to be repeatable.
     """
-    newest = df.agg(F.max(date_column).alias("_newest"))
+    newest = df.groupBy(*(by or [])).agg(F.max(date_column).alias("_newest"))
     last = F.col("_newest") if until is None else F.lit(until).cast("date")
     first = F.date_sub(last, days) if since is None else F.lit(since).cast("date")
-    out = (df.join(F.broadcast(newest))
-           .where(F.col(date_column).between(first, last)).drop("_newest"))
+    out = (df.join(F.broadcast(newest), by) if by else df.join(F.broadcast(newest)))
+    out = out.where(F.col(date_column).between(first, last)).select(*df.columns)
     if max_rows is not None:
         out = out.orderBy(*(order or [date_column])).limit(max_rows)
     return out
