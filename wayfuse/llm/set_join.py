@@ -31,10 +31,11 @@ from wayfuse.operators.components import components
 
 SHINGLE, PERCENT = 5, 80
 SPARE_SHARE = 10  # per cent of a set's size, see ``spare``
-BLOCK_SETS = 1024  # classes of a block; pairs of blocks are a task's work
+BLOCK_SETS = 512  # classes of a block; pairs of blocks are a task's work
+FILTER_BITS = 1 << 25  # of the filter that spares most texts the way to the join
 _SEEN = 200_000
 _WORDS = 500_000
-_MU = 0.0085  # cost of a probe against a merge step, as in the published tuning of DivideSkip
+_MU = 0.0005  # cost of a probe against a merge step: all long lists are probed at once
 
 
 # ---- sets ------------------------------------------------------------------------------
@@ -110,12 +111,35 @@ def _summaries(words_each: int, percent: int):
     return run
 
 
-def _sets(words_each: int):
+def _bits(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two places of each key in the filter."""
+    mixed = _mixed(keys.view(np.uint64))
+    return (mixed % np.uint64(FILTER_BITS)).astype(np.int64), ((mixed >> np.uint64(32)) % np.uint64(FILTER_BITS)).astype(np.int64)
+
+
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        places = np.unique(np.concatenate(_bits(batch.column("text_key").to_numpy(zero_copy_only=False).astype(np.int64))))
+        yield pa.RecordBatch.from_arrays([pa.array(places >> 5), pa.array(np.int64(1) << (places & 31))], ["word", "mask"])
+
+
+def _filter(keys: DataFrame) -> bytes:
+    """A Bloom filter of ``text_key``: of fixed size, however many keys there are."""
+    words = keys.mapInArrow(_marked, "word bigint, mask bigint").groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    held = np.zeros(FILTER_BITS // 32, "<u4")
+    held[words.column("word").to_numpy()] = words.column("mask").to_numpy().astype(np.uint32)
+    return held.tobytes()
+
+
+def _sets(words_each: int, wanted: bytes):
+    """Sets of the texts the filter lets pass: all that are wanted, and a few more."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, seen = Shingles(words_each), set()
+        shingles, seen, held_bits = Shingles(words_each), set(), np.frombuffer(wanted, "<u4")
         for batch in batches:
+            at, also = _bits(batch.column("text_key").to_numpy(zero_copy_only=False).astype(np.int64))
+            passes = ((held_bits[at >> 5] >> (at & 31).astype(np.uint32)) & (held_bits[also >> 5] >> (also & 31).astype(np.uint32)) & 1) == 1
             classes, held = [], []
-            for text in batch.column("_text").to_pylist():
+            for text in batch.column("_text").filter(pa.array(passes)).to_pylist():
                 own = shingles.of(text)
                 digest = xxhash.xxh3_128_digest(own.tobytes())
                 if digest not in seen:
@@ -263,7 +287,13 @@ def _summary(docs: DataFrame, words_each: int, percent: int) -> DataFrame:
                                  "doc_id bigint, text_key bigint, n bigint, cls binary, number bigint, first array<bigint>"), "sets-posted")
 
 
-def _meetings(summary: DataFrame, percent: int) -> DataFrame:
+def _classes(summary: DataFrame) -> DataFrame:
+    """cls, number, n, least (its smallest doc_id), text_key (of one of its texts): a row for each set that is not empty."""
+    return saved(summary.where("n > 0").groupBy("cls", "number").agg(
+        F.max("n").alias("n"), F.min("doc_id").alias("least"), F.min("text_key").alias("text_key")), "set-classes")
+
+
+def _meetings(summary: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """pivot, number, times, centre: classes that may have partners, under each pivot they cannot leave."""
     posts = (summary.where("first IS NOT NULL").select(F.explode("first").alias("token"), "number")
              .repartition("token").dropDuplicates(["token", "number"]))
@@ -272,7 +302,7 @@ def _meetings(summary: DataFrame, percent: int) -> DataFrame:
               .where("pivot < _top").groupBy("number", "pivot").agg(F.count(F.lit(1)).alias("times")))
     shared = saved(shared, "sets-shared")
     # what any partner shares with a class of this size: the spare part of the smallest partner
-    sizes = summary.where("n > 0").groupBy("number").agg(F.max("n").alias("n")).select(
+    sizes = classes.groupBy("number").agg(F.max("n").alias("n")).select(
         "number", F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * percent / 100) * SPARE_SHARE / 100)).alias("least"))
     rising = W.partitionBy("number").orderBy("times", "pivot").rowsBetween(W.unboundedPreceding, W.currentRow)
     kept = (shared.join(sizes, "number").withColumn("_all", F.sum("times").over(W.partitionBy("number")))
@@ -283,14 +313,12 @@ def _meetings(summary: DataFrame, percent: int) -> DataFrame:
     return saved(kept.join(groups.select("pivot", "centre"), "pivot"), "sets-meetings")
 
 
-def _held(docs: DataFrame, summary: DataFrame, meetings: DataFrame, words_each: int) -> DataFrame:
+def _held(docs: DataFrame, classes: DataFrame, meetings: DataFrame, words_each: int) -> DataFrame:
     """number, cls, held: the whole sets of the classes that meet others, one row a class."""
-    wanted = saved(summary.join(meetings.select("number").distinct(), "number", "left_semi")
-                   .groupBy("cls").agg(F.min("text_key").alias("text_key")).select("text_key").distinct(), "sets-texts")
-    texts = docs.select(text_bytes().alias("_text")).withColumn("text_key", F.xxhash64("_text")).join(wanted, "text_key", "left_semi")
-    held = texts.select("_text").mapInArrow(_sets(words_each), "cls binary, held binary").groupBy("cls").agg(F.first("held").alias("held"))
-    named = summary.select("cls", "number").distinct()
-    return saved(held.join(named, "cls").join(meetings.select("number").distinct(), "number", "left_semi"), "sets-held")
+    wanted = saved(classes.join(meetings.select("number").distinct(), "number", "left_semi").select("cls", "number", "text_key"), "sets-wanted")
+    texts = docs.select(text_bytes().alias("_text")).withColumn("text_key", F.xxhash64("_text"))
+    held = texts.mapInArrow(_sets(words_each, _filter(wanted.select("text_key"))), "cls binary, held binary")
+    return saved(held.join(wanted.select("cls", "number"), "cls").groupBy("cls", "number").agg(F.first("held").alias("held")), "sets-held")
 
 
 def _tasks(members: DataFrame, block_sets: int) -> DataFrame:
@@ -320,11 +348,11 @@ def _tasks(members: DataFrame, block_sets: int) -> DataFrame:
     return placed.join(work, ["pivot", "side"]).select("task", "side", "cls", "label")
 
 
-def links(docs: DataFrame, summary: DataFrame, words_each: int = SHINGLE, percent: int = PERCENT,
+def links(docs: DataFrame, summary: DataFrame, classes: DataFrame, words_each: int = SHINGLE, percent: int = PERCENT,
           block_sets: int = BLOCK_SETS) -> DataFrame:
     """``a``, ``b``: links between classes that join all classes a chain of links joins."""
-    meetings = _meetings(summary, percent)
-    held = _held(docs, summary, meetings, words_each)
+    meetings = _meetings(summary, classes, percent)
+    held = _held(docs, classes, meetings, words_each)
     centres = held.select(F.col("number").alias("centre"), F.col("cls").alias("_centre"), F.col("held").alias("centre_held"))
     best = meetings.where("number <> centre").groupBy("number").agg(F.max_by("centre", F.struct("times", "centre")).alias("centre"))
     compared = (best.join(held, "number")
@@ -352,12 +380,11 @@ def near_sets(docs: DataFrame, words_each: int = SHINGLE, percent: int = PERCENT
     of their own. Shingles are compared by 64-bit hashes, classes by 128 bits. An empty table gives no rows.
     """
     summary = _summary(docs, words_each, percent)
-    joined = components(links(docs, summary, words_each, percent, block_sets), "a", "b")
-    classes = (summary.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"))
-               .join(joined, F.col("cls") == F.col("node"), "left")
-               .select("cls", "least", F.coalesce("component", "cls").alias("component")))
-    classes = saved(classes, "set-classes")
-    least = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = saved(classes.join(least, "component").select("cls", "component_id"), "set-components")
+    classes = _classes(summary)
+    joined = components(links(docs, summary, classes, words_each, percent, block_sets), "a", "b")
+    member = saved(classes.join(joined, F.col("cls") == F.col("node"), "left")
+                   .select("cls", "least", F.coalesce("component", "cls").alias("component")), "set-members")
+    least = member.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = saved(member.join(least, "component").select("cls", "component_id"), "set-components")
     return summary.select("doc_id", F.col("n").alias("n_shingles"), "cls").join(named, "cls", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
