@@ -1,15 +1,17 @@
 """Toxicity by votes of the nearest labelled examples, under exact TF-IDF cosine.
 
 * Examples: a bounded sample of the labelled training rows (``EXAMPLES``, by the least hash
-  of their id and text), one row for each id and text. Terms: every word of the examples, with its true count.
-  A word that no example has matches none; it adds to the length of its text, as a word of one document would.
+  of their id and text), one row for each id and text. Terms: every word of the examples, with its true count;
+  the space of the vectors is that of these words.
 * Inverse document frequencies count all documents.
 * The inverted index is cut into blocks of examples. Words in many examples are kept as columns,
-  with the largest weight of each in every block; the others as lists of examples. A document first gets an
-  upper bound for every block; blocks are opened from the highest bound down, until none that
-  is left can hold one of the nearest. The nearest are exact; ties go by a hash that does not know the label.
+  with the largest weight of each in every block; the others as lists of examples, whose sums over a block are exact. A document first
+  gets an upper bound for every block; blocks are opened from the highest bound down, until none that
+  is left can hold one of the nearest. Documents are scored by the batch: a block is one matrix product for all that
+  open it. The nearest are exact; ties go by a hash that does not know the label.
 * A neighbour's vote weighs by its distance; the votes' share is turned into a
-  probability by a logistic curve fitted to the examples, each scored without itself.
+  probability by a logistic curve fitted to the examples. An example with the very text that is scored never votes, neither
+  when the curve is fitted nor when it is applied: no document is scored by its own label.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ BLOCK = 64
 COLUMNS = 256
 TOXIC_FROM = 0.7
 EVIDENCE = 5
+AT_ONCE = 64  # documents scored together
+REMEMBERED = 4096  # scores kept for equal texts
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -49,40 +53,32 @@ def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string())], ["term"])
 
 
-def _counted(terms: dict[str, int]):
+class _Cutter:
+    """Numbers and counts of a text's terms; of each word only its number is kept for the next texts."""
+
+    def __init__(self, terms: dict[str, int]):
+        self.terms = terms
+
+    def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        own = [(self.terms[w], n) for w, n in Counter(_WORD.findall((text or "").lower())).items() if w in self.terms]
+        own.sort()
+        pairs = np.array(own, np.int64).reshape(-1, 2)
+        return pairs[:, 0], pairs[:, 1]
+
+
+def _held_by(terms: dict[str, int]):
+    """How many documents of a task hold each term; -1 counts the documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, seen, total = terms.keys(), Counter(), 0
         for batch in batches:
-            numbers, counts, others = [], [], []
+            total += batch.num_rows
             for text in batch.column("text").to_pylist():
-                own, rest = [], 0.0
-                for w, n in Counter(_WORD.findall((text or "").lower())).items():
-                    if w in terms:
-                        own.append((terms[w], n))
-                    else:
-                        rest += (1 + math.log(n)) ** 2
-                own.sort()
-                numbers.append([p[0] for p in own])
-                counts.append([p[1] for p in own])
-                others.append(rest)
-            at = batch.schema.get_field_index("text")
-            rest = [c for i, c in enumerate(batch.columns) if i != at]
-            names = [n for n in batch.schema.names if n != "text"]
-            yield pa.RecordBatch.from_arrays(
-                [*rest, pa.array(numbers, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32())), pa.array(others, pa.float64())],
-                [*names, "terms", "counts", "others"])
+                seen.update(known & set(_WORD.findall((text or "").lower())))
+        numbers, counts = [-1, *(terms[w] for w in seen)], [total, *seen.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(counts, pa.int64())], ["term", "n"])
     return run
 
 
-def term_counts(docs: DataFrame, terms: dict[str, int], *columns: str) -> DataFrame:
-    """``columns`` plus ``terms`` (numbers, ascending) and ``counts`` of every whole text; null: none.
-
-    ``others``: the squares of 1 + log(count) of all words that are no terms, added up.
-    """
-    slim = docs.select(*columns, "text")
-    kinds = [f"`{c}` {slim.schema[c].dataType.simpleString()}" for c in columns]
-    return slim.mapInArrow(_counted(terms), ", ".join([*kinds, "terms array<int>", "counts array<int>", "others double"]))
-
-
 def _all_terms(examples: DataFrame) -> dict[str, int]:
     """Numbers of all words of the examples, those of most examples first."""
     found = (examples.select("text").mapInArrow(_example_terms, "term string")
@@ -97,8 +93,11 @@ class Index:
     """Examples' unit vectors as an inverted index of blocks with their largest weights."""
 
     def __init__(self, vectors: list[tuple[list[int], list[int]]], labels: list[int], ids: list, idf: np.ndarray,
-                 unseen: float = 0.0):
-        self.idf, self.unseen, self.labels, self.ids = idf, unseen, np.array(labels, np.int64), ids
+                 texts: list | None = None):
+        self.idf, self.labels, self.ids = idf, np.array(labels, np.int64), ids
+        self.same: dict = {}  # examples by the digest of their text
+        for e, digest in enumerate(texts or []):
+            self.same.setdefault(digest, []).append(e)
         self.prior = float(self.labels.sum()) / (len(labels) + 1)
         n = len(labels)
         self.blocks = max(1, -(-n // BLOCK))
@@ -107,14 +106,9 @@ class Index:
         self.number = np.arange(size)
         self.number[:n] = sorted(range(n), key=lambda e: list(vectors[e][0][:64]))
         self.place = np.argsort(self.number)
-        lengths = [len(vectors[e][0]) for e in self.number[:n]]
-        empty = [np.empty(0)]
-        at = np.concatenate([np.array(vectors[e][0], np.int64) for e in self.number[:n]] + empty).astype(np.int64)
-        weight = np.concatenate([self.weights(np.array(vectors[e][0], np.int64), np.array(vectors[e][1], np.int64))
-                                 for e in self.number[:n]] + empty)
-        example = np.repeat(np.arange(n, dtype=np.int32), lengths)
+        at, example, weight = self._weights([vectors[e] for e in self.number[:n]])
         order = np.argsort(at, kind="stable")
-        at, example, weight = at[order], example[order], weight[order]
+        at, example, weight = at[order], example[order].astype(np.int32), weight[order]
         lists = np.bincount(at, minlength=len(idf))
         often = np.argsort(-lists, kind="stable")[:COLUMNS]
         often = often[lists[often] > max(BLOCK, n // 32)]
@@ -123,51 +117,72 @@ class Index:
         common = self.column[at] >= 0
         self.common = np.zeros((size, len(often)))
         self.common[example[common], self.column[at[common]]] = weight[common]
-        self.most = self.common.reshape(self.blocks, BLOCK, -1).max(axis=1)
+        self.common = self.common.reshape(self.blocks, BLOCK, -1)
+        self.most = self.common.max(axis=1)
         self.example, self.weight = example[~common], weight[~common]
         self.cuts = np.searchsorted(at[~common], np.arange(len(idf) + 1))
         self.slope, self.shift = 1.0, 0.0
 
-    def weights(self, terms: np.ndarray, counts: np.ndarray, others: float = 0.0) -> np.ndarray:
-        w = (1 + np.log(counts)) * self.idf[terms]
-        return w / max(math.sqrt(float(w @ w) + others * self.unseen ** 2), 1e-12)
-
-    def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int, but: int = -1, others: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers and cosines of the ``k`` nearest examples above 0, ties by number; ``but`` is left out."""
-        if not len(terms):
-            return np.empty(0, np.int64), np.empty(0)
-        q = self.weights(terms, counts, others)
-        column = self.column[terms]
+    def _weights(self, vectors) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Terms, number of the vector, and weight in the unit vector, of all terms of all vectors."""
+        none = [np.empty(0, np.int64)]
+        at = np.concatenate([np.asarray(t, np.int64) for t, _ in vectors] + none)
+        counts = np.concatenate([np.asarray(c, np.int64) for _, c in vectors] + none)
+        owner = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])
+        w = (1 + np.log(counts)) * self.idf[at]
+        length = np.sqrt(np.bincount(owner, w * w, len(vectors)))
+        return at, owner, w / np.maximum(length[owner], 1e-12)
+
+    def weights(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        return self._weights([(terms, counts)])[2]
+
+    def nearest(self, vectors: list, k: int, but: list[list[int]] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Numbers and cosines of the ``k`` nearest examples above 0 of each vector, ties by number.
+
+        ``but``: the examples each vector leaves out.
+        """
+        out = []
+        for start in range(0, len(vectors), AT_ONCE):
+            out += self._nearest(vectors[start:start + AT_ONCE], k, but[start:start + AT_ONCE] if but else [])
+        return out
+
+    def _nearest(self, vectors: list, k: int, but: list[list[int]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        n, size = len(vectors), self.blocks * BLOCK
+        at, owner, q = self._weights(vectors)
+        column = self.column[at]
         own = column >= 0
-        dense = np.zeros(len(self.most[0]))
-        dense[column[own]] = q[own]
+        dense = np.zeros((n, self.most.shape[1]))
+        dense[owner[own], column[own]] = q[own]
         # words of few examples: their lists in full
-        begin, n = self.cuts[terms[~own]], self.cuts[terms[~own] + 1] - self.cuts[terms[~own]]
-        at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        few = np.bincount(self.example[at], weights=self.weight[at] * np.repeat(q[~own], n), minlength=self.blocks * BLOCK)
-        if but >= 0:
-            few[self.place[but]] = -2.0
-        few = few.reshape(self.blocks, BLOCK)
-        bound = few.max(axis=1) + self.most @ dense
-        order = np.argsort(-bound, kind="stable")
-        sums = np.full((self.blocks, BLOCK), -1.0)
-
-        def opened(blocks):
-            for b in blocks.tolist():
-                sums[b] = few[b] + self.common[b * BLOCK:(b + 1) * BLOCK] @ dense
-        first = k // BLOCK + 4
-        opened(order[:first])
-        reached = max(0.0, np.partition(sums.ravel(), -k)[-k]) if sums.size >= k else 0.0
-        rest = order[first:]
-        opened(rest[bound[rest] >= reached - 1e-9])
-        sums = sums.ravel()
-        some = np.flatnonzero(sums > 0)
-        if len(some) > k:
-            floor = np.partition(sums[some], -k)[-k] - 1e-9
-            some = some[sums[some] >= floor]
-        # cosines that differ by rounding alone are ties
-        order = np.lexsort((self.number[some], -np.round(sums[some], 9)))[:k]
-        return self.number[some[order]], np.minimum(sums[some[order]], 1.0)
+        begin, long = self.cuts[at[~own]], self.cuts[at[~own] + 1] - self.cuts[at[~own]]
+        listed = np.repeat(begin - (np.cumsum(long) - long), long) + np.arange(int(long.sum()))
+        few = np.bincount(np.repeat(owner[~own] * size, long) + self.example[listed],
+                          self.weight[listed] * np.repeat(q[~own], long), n * size).reshape(n, size)
+        for d, left_out in enumerate(but):
+            few[d, self.place[left_out]] = -9.0
+        few = few.reshape(n, self.blocks, BLOCK)
+        bound = few.max(axis=2) + dense @ self.most.T
+        sums = np.full(few.shape, -1.0)
+
+        def opened(wanted):
+            for b in np.flatnonzero(wanted.any(axis=0)).tolist():
+                d = np.flatnonzero(wanted[:, b])
+                sums[d, b] = few[d, b] + dense[d] @ self.common[b].T
+
+        def floor():
+            flat = sums.reshape(n, size)
+            return np.maximum(np.partition(flat, -k, axis=1)[:, -k], 0.0) if size >= k else np.zeros(n)
+        first = np.zeros(bound.shape, bool)
+        np.put_along_axis(first, np.argsort(-bound, axis=1, kind="stable")[:, :k // BLOCK + 4], True, axis=1)
+        opened(first)
+        opened((bound >= floor()[:, None] - 1e-9) & ~first)
+        reached, out = floor() - 1e-9, []
+        for d, row in enumerate(sums.reshape(n, size)):
+            some = np.flatnonzero((row > 0) & (row >= reached[d]))
+            # cosines that differ by rounding alone are ties
+            order = np.lexsort((self.number[some], -np.round(row[some], 9)))[:k]
+            out.append((self.number[some[order]], np.minimum(row[some[order]], 1.0)))
+        return out
 
     def vote(self, found: np.ndarray, cosine: np.ndarray) -> float:
         """The share of toxic votes, each by 1 / (1.05 - cosine); the prior votes once at cosine 0."""
@@ -195,40 +210,51 @@ def _logit(p: float) -> float:
     return math.log(p / (1 - p))
 
 
-def _scored(index: Index):
+def _digest(text: str | None) -> bytes:
+    return hashlib.blake2b((text or "").encode(), digest_size=16).digest()
+
+
+class _Scorer:
+    """Scores and evidence of texts; equal texts are scored once while they are remembered."""
+
+    def __init__(self, index: Index, terms: dict[str, int]):
+        self.index, self.cut, self.known = index, _Cutter(terms), {}
+
+    def of(self, texts: list) -> list[tuple[float, list]]:
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        digests = [_digest(t) for t in texts]
+        new = {d: t for d, t in zip(digests, texts) if d not in self.known}
+        index = self.index
+        nearest = index.nearest([self.cut.of(t) for t in new.values()], NEIGHBOURS, [index.same.get(d, []) for d in new])
+        for d, (found, cosine) in zip(new, nearest):
+            self.known[d] = index.score(index.vote(found, cosine)), [
+                {"doc_id": index.ids[e], "cosine": c, "toxic": int(index.labels[e])}
+                for e, c in zip(found[:EVIDENCE].tolist(), cosine[:EVIDENCE].tolist())]
+        return [self.known[d] for d in digests]
+
+
+_EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
+
+
+def _scored(index: Index, terms: dict[str, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[tuple, tuple] = {}
+        scorer = _Scorer(index, terms)
         for batch in batches:
-            scores, evidence = [], []
-            for terms, counts, others in zip(*(batch.column(c).to_pylist() for c in ("terms", "counts", "others"))):
-                key = hashlib.blake2b(np.array([*terms, *counts], np.int32).tobytes() + np.float64(others).tobytes(), digest_size=16).digest()
-                if key not in known:
-                    if len(known) > 20_000:
-                        known.clear()
-                    found, cosine = index.nearest(np.array(terms, np.int64), np.array(counts, np.int64), NEIGHBOURS, others=others)
-                    known[key] = index.score(index.vote(found, cosine)), [
-                        {"doc_id": index.ids[e], "cosine": c, "toxic": int(index.labels[e])}
-                        for e, c in zip(found[:EVIDENCE].tolist(), cosine[:EVIDENCE].tolist())]
-                score, why = known[key]
-                scores.append(score)
-                evidence.append(why)
-            kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
-            at = {batch.schema.get_field_index(c) for c in ("terms", "counts", "others")}
-            rest = [i for i in range(batch.num_columns) if i not in at]
+            got = scorer.of(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in rest), pa.array(scores, pa.float64()), pa.array(evidence, kind)],
-                [*(batch.schema.names[i] for i in rest), "score", "evidence"])
+                [batch.column("doc_id"), pa.array([x for x, _ in got], pa.float64()), pa.array([w for _, w in got], _EVIDENCE)],
+                ["doc_id", "score", "evidence"])
     return run
 
 
-def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen, total = Counter(), 0
-    for batch in batches:
-        total += batch.num_rows
-        seen.update(batch.column("terms").flatten().to_pylist())
-    numbers = [-1, *seen]
-    yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array([total, *(seen[t] for t in numbers[1:])], pa.int64())],
-                                     ["term", "n"])
+def _kept(index: Index, terms: dict[str, int], limit: float):
+    """The rows, as they are, that score below ``limit``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _Scorer(index, terms)
+        for batch in batches:
+            yield batch.filter(pa.array([x < limit for x, _ in scorer.of(batch.column("text").to_pylist())], pa.bool_()))
+    return run
 
 
 def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,47 +289,42 @@ def examples_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
         _once, "doc_id bigint, toxic int, digest bigint, text string").dropDuplicates(["doc_id", "digest"])
 
 
-def _scores(docs: DataFrame, labels: DataFrame, *columns: str) -> DataFrame:
-    """``columns``, score and evidence of every row of ``docs``."""
+def learn(docs: DataFrame, labels: DataFrame) -> tuple[Index, dict[str, int]]:
+    """The index of the examples with its curve, and the numbers of their words."""
     examples = saved(examples_of(docs, labels), "toxic-examples")
     terms = _all_terms(examples)
-    found = (term_counts(docs, terms).select("terms").mapInArrow(_document_counts, "term int, n bigint")
+    found = (docs.select("text").mapInArrow(_held_by(terms), "term int, n bigint")
              .groupBy("term").agg(F.sum("n").alias("n")).toArrow())  # a row for each word of the examples
     counts = dict(zip(found.column("term").to_pylist(), found.column("n").to_pylist()))
     total = counts.get(-1, 0)
     idf = np.array([1 + math.log((1 + total) / (1 + counts.get(t, 0))) for t in range(len(terms))])
-    # EXAMPLES rows of a few hundred numbers each; their order decides ties, and does not know the label
-    named = examples.withColumn("tie", F.xxhash64("doc_id", "digest"))
-    rows = sorted(term_counts(named, terms, "doc_id", "toxic", "tie").toArrow().to_pylist(), key=lambda r: (r["tie"], r["doc_id"]))
-    index = Index([(r["terms"], r["counts"]) for r in rows], [r["toxic"] for r in rows], [r["doc_id"] for r in rows], idf,
-                  unseen=1 + math.log((1 + total) / 2))
+    # EXAMPLES rows; their order decides ties, and does not know the label
+    rows = sorted(examples.select("doc_id", "toxic", "text", F.xxhash64("doc_id", "digest").alias("tie")).toArrow().to_pylist(),
+                  key=lambda r: (r["tie"], r["doc_id"]))
+    cut, texts = _Cutter(terms), [_digest(r["text"]) for r in rows]
+    vectors = [cut.of(r["text"]) for r in rows]
+    index = Index(vectors, [r["toxic"] for r in rows], [r["doc_id"] for r in rows], idf, texts)
     if rows:
-        index.calibrate([index.vote(*index.nearest(np.array(r["terms"], np.int64), np.array(r["counts"], np.int64), NEIGHBOURS, e))
-                         for e, r in enumerate(rows)])
-    del rows
-    features = term_counts(docs, terms, *columns)  # texts are cut into words twice, their words are never kept
-    kinds = [f"`{c}` {features.schema[c].dataType.simpleString()}" for c in columns]
-    return features.mapInArrow(_scored(index), ", ".join(
-        [*kinds, "score double", "evidence array<struct<doc_id: bigint, cosine: double, toxic: int>>"]))
+        index.calibrate([index.vote(*x) for x in index.nearest(vectors, NEIGHBOURS, [index.same[t] for t in texts])])
+    return index, terms
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence of every document.
 
-    Null texts and texts without a letter have no neighbours: their score is the curve's value at
+    Null texts and texts without a known word have no neighbours: their score is the curve's value at
     the prior, without evidence. Without labels all scores are near 0.
-    Repeated rows are scored each. Nothing but the text enters a score.
+    Repeated rows are scored each, equal texts alike. Nothing but the text enters a score.
     """
-    return _scores(docs, labels, "doc_id").select(
+    index, terms = learn(docs, labels)
+    slim = docs.select("doc_id", "text")
+    return slim.mapInArrow(_scored(index, terms), f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, score double, "
+                           "evidence array<struct<doc_id: bigint, cosine: double, toxic: int>>").select(
         "doc_id", held_out().alias("held_out"), "score",
         F.when(F.col("score") >= TOXIC_FROM, 1).otherwise(0).alias("predicted"), "evidence")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs``, all columns, without the rows predicted toxic."""
-    columns = docs.columns
-    clash = {c: f"_own_{c}" for c in columns if c in ("score", "evidence", "terms", "counts", "others")}
-    named = docs.withColumnsRenamed(clash).withColumn("_whole", F.col("text"))
-    own = [clash.get(c, c) for c in columns if c != "text"]
-    kept = _scores(named, labels, *own, "_whole").where(F.col("score") < TOXIC_FROM).drop("score", "evidence")
-    return kept.withColumnRenamed("_whole", "text").withColumnsRenamed({v: k for k, v in clash.items()}).select(*columns)
+    index, terms = learn(docs, labels)
+    return docs.mapInArrow(_kept(index, terms, TOXIC_FROM), docs.schema)
