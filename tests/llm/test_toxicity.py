@@ -149,12 +149,11 @@ def test_no_document_is_scored_by_its_own_label(spark):
     schema = "doc_id long, quality int, toxic int"
     learnt = [toxicity.learn(docs(spark, rows), spark.createDataFrame(x, schema)) for x in (labels, turned)]
     votes = []
-    for index, terms in learnt:
-        texts = [rows[one][1], rows[one + 1][1]]
-        cut = toxicity._Cutter(terms)
-        but = [index.same.get(toxicity._digest(t), []) for t in texts]
-        votes.append([[e for e in found.tolist()] for found, _ in index.nearest([cut.of(t) for t in texts], 31, but)])
-        assert index.ids.index(one) not in votes[-1][0]
+    for model in learnt:
+        near = model.nearest([model.cutter.of(rows[one][1])], [toxicity._digest(rows[one][1])])
+        for index, own in zip(model.indexes, near):
+            assert index.ids.index(one) not in own[0][0].tolist()
+        votes.append(near[0][0][0].tolist())
     assert votes[0] == votes[1]
     got = {r.doc_id: r.score for r in toxicity.toxicity_scores(docs(spark, rows), spark.createDataFrame(labels, schema)).collect()}
     assert got[one] == got[500]

@@ -3,6 +3,9 @@
 * Examples: a bounded sample of the labelled training rows (``EXAMPLES``, by the least hash
   of their id and text), one row for each id and text. Terms: every word of the examples, with its true count;
   the space of the vectors is that of these words.
+* A few insults in a long text move its cosines little. So there is a second space of vectors, of the ``TELLING`` words and
+  beginnings of words (four and five letters) that go with the label most by chi-square among the examples; a document without such a
+  term has no neighbours there. Each space has its index, its nearest examples and its votes.
 * Inverse document frequencies count all documents.
 * The inverted index is cut into blocks of examples. Words in many examples are kept as columns,
   with the largest weight of each in every block; the others as lists of examples, whose sums over a block are exact. A document first
@@ -10,7 +13,7 @@
   is left can hold one of the nearest. Documents are scored by the batch: a block is one matrix product for all that
   open it. The nearest are exact; ties go by a hash that does not know the label.
 * A neighbour's vote weighs by its distance; the votes' share is turned into a
-  probability by a logistic curve fitted to the examples. An example with the very text that is scored never votes, neither
+  probability by a logistic curve of both spaces' votes, fitted to the examples. An example with the very text that is scored never votes, neither
   when the curve is fitted nor when it is applied: no document is scored by its own label.
 """
 
@@ -33,6 +36,7 @@ EXAMPLES = 8192
 NEIGHBOURS = 31
 BLOCK = 64
 COLUMNS = 256
+TELLING = 4096  # terms of the second space at most
 TOXIC_FROM = 0.7
 EVIDENCE = 5
 AT_ONCE = 64  # documents scored together
@@ -53,29 +57,76 @@ def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string())], ["term"])
 
 
+def _hints(word: str) -> list[str]:
+    """The word and its beginnings; a beginning is no word."""
+    return [word, *(word[:n] + "-" for n in (4, 5) if len(word) > n)]
+
+
 class _Cutter:
-    """Numbers and counts of a text's terms; of each word only its number is kept for the next texts."""
+    """Numbers and counts of a text's terms, in the space of all words and in that of the telling ones."""
+
+    def __init__(self, terms: dict[str, int], telling: dict[str, int]):
+        self.terms, self.telling, self.known = terms, telling, {}
 
-    def __init__(self, terms: dict[str, int]):
-        self.terms = terms
+    def hints(self, word: str) -> tuple[int, ...]:
+        found = self.known.get(word)
+        if found is None:
+            if len(self.known) > 100_000:
+                self.known.clear()
+            found = self.known[word] = tuple(self.telling[h] for h in _hints(word) if h in self.telling)
+        return found
 
-    def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        own = [(self.terms[w], n) for w, n in Counter(_WORD.findall((text or "").lower())).items() if w in self.terms]
-        own.sort()
-        pairs = np.array(own, np.int64).reshape(-1, 2)
-        return pairs[:, 0], pairs[:, 1]
+    def of(self, text: str | None) -> tuple:
+        words = Counter(_WORD.findall((text or "").lower()))
+        told: Counter = Counter()
+        for w, n in words.items():
+            for h in self.hints(w):
+                told[h] += n
+        return _pairs([(self.terms[w], n) for w, n in words.items() if w in self.terms]), _pairs(list(told.items()))
 
 
-def _held_by(terms: dict[str, int]):
-    """How many documents of a task hold each term; -1 counts the documents."""
+def _pairs(own: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    own.sort()
+    pairs = np.array(own, np.int64).reshape(-1, 2)
+    return pairs[:, 0], pairs[:, 1]
+
+
+def _example_hints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        terms, toxic = [], []
+        for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+            own = {h for w in set(_WORD.findall((text or "").lower())) for h in _hints(w)}
+            terms += own
+            toxic += [label] * len(own)
+        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(toxic, pa.int32())], ["term", "toxic"])
+
+
+def _telling_terms(examples: DataFrame) -> dict[str, int]:
+    """Numbers of the terms that go with the label most: ``TELLING`` at most."""
+    total = examples.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("p")).first()
+    n, p = total["n"], total["p"] or 0
+    with_it, toxic = F.col("with_it").cast("double"), F.col("toxic").cast("double")
+    cross = toxic * (n - p - with_it + toxic) - (with_it - toxic) * (p - toxic)
+    chi = n * cross * cross / F.greatest(F.lit(1.0), with_it * (n - with_it) * F.lit(float(p) * (n - p)))
+    found = (examples.select("text", "toxic").mapInArrow(_example_hints, "term string, toxic int")
+             .groupBy("term").agg(F.count(F.lit(1)).alias("with_it"), F.sum("toxic").alias("toxic"))
+             .where((F.col("with_it") > 1) & (cross > 0)).orderBy(chi.desc(), "term").limit(TELLING).select("term").toArrow())
+    return {w: i for i, w in enumerate(found.column("term").to_pylist())}
+
+
+def _held_by(terms: dict[str, int], telling: dict[str, int]):
+    """How many documents of a task hold each term, the telling ones numbered after the words; -1 counts the documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, seen, total = terms.keys(), Counter(), 0
+        known, cut, seen, told, total = terms.keys(), _Cutter(terms, telling), Counter(), Counter(), 0
         for batch in batches:
             total += batch.num_rows
             for text in batch.column("text").to_pylist():
-                seen.update(known & set(_WORD.findall((text or "").lower())))
-        numbers, counts = [-1, *(terms[w] for w in seen)], [total, *seen.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(counts, pa.int64())], ["term", "n"])
+                words = set(_WORD.findall((text or "").lower()))
+                seen.update(known & words)
+                told.update({h for w in words for h in cut.hints(w)})
+        numbers = [-1, *(terms[w] for w in seen), *(len(terms) + h for h in told)]
+        yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array([total, *seen.values(), *told.values()], pa.int64())],
+                                         ["term", "n"])
     return run
 
 
@@ -121,7 +172,6 @@ class Index:
         self.most = self.common.max(axis=1)
         self.example, self.weight = example[~common], weight[~common]
         self.cuts = np.searchsorted(at[~common], np.arange(len(idf) + 1))
-        self.slope, self.shift = 1.0, 0.0
 
     def _weights(self, vectors) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Terms, number of the vector, and weight in the unit vector, of all terms of all vectors."""
@@ -189,20 +239,33 @@ class Index:
         weight, own = 1 / (1.05 - cosine), 1 / 1.05
         return float((weight @ self.labels[found] + own * self.prior) / (weight.sum() + own))
 
-    def score(self, vote: float) -> float:
-        return 1 / (1 + math.exp(-max(-40.0, min(40.0, self.slope * _logit(vote) + self.shift))))
 
-    def calibrate(self, votes: list[float]) -> None:
-        """The logistic curve from votes to labels, by Newton steps with a weak pull to the identity."""
-        x, y = np.array([_logit(v) for v in votes]), self.labels
-        beta, pull = np.array([1.0, 0.0]), 1.0
-        design = np.column_stack([x, np.ones(len(x))])
+class Model:
+    """The indexes of both spaces, and the curve from their votes to a probability."""
+
+    def __init__(self, words: Index, told: Index, cutter: _Cutter):
+        self.indexes, self.cutter = (words, told), cutter
+        self.curve = np.array([0.5, 0.5, 0.0])
+
+    def nearest(self, vectors: list[tuple], texts: list) -> list[list[tuple[np.ndarray, np.ndarray]]]:
+        """Per space, the nearest examples of each document that are not its own text."""
+        return [index.nearest([v[k] for v in vectors], NEIGHBOURS, [index.same.get(t, []) for t in texts])
+                for k, index in enumerate(self.indexes)]
+
+    def votes(self, nearest: list) -> np.ndarray:
+        return np.array([[_logit(index.vote(*found)) for found in own] for index, own in zip(self.indexes, nearest)]).T
+
+    def scores(self, votes: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(votes @ self.curve[:2] + self.curve[2], -40.0, 40.0)))
+
+    def calibrate(self, votes: np.ndarray) -> None:
+        """The logistic curve from votes to labels, by Newton steps with a weak pull to the mean of both votes."""
+        y, start = self.indexes[0].labels, self.curve
+        design, beta = np.column_stack([votes, np.ones(len(votes))]), start
         for _ in range(30):
             p = 1 / (1 + np.exp(-np.clip(design @ beta, -40, 40)))
-            step = np.linalg.solve(design.T @ (design * (p * (1 - p))[:, None]) + pull * np.eye(2),
-                                   design.T @ (y - p) - pull * (beta - [1.0, 0.0]))
-            beta = beta + step
-        self.slope, self.shift = max(0.0, float(beta[0])), float(beta[1])
+            beta = beta + np.linalg.solve(design.T @ (design * (p * (1 - p))[:, None]) + np.eye(3), design.T @ (y - p) - (beta - start))
+        self.curve = np.array([max(0.0, beta[0]), max(0.0, beta[1]), beta[2]])
 
 
 def _logit(p: float) -> float:
@@ -217,29 +280,29 @@ def _digest(text: str | None) -> bytes:
 class _Scorer:
     """Scores and evidence of texts; equal texts are scored once while they are remembered."""
 
-    def __init__(self, index: Index, terms: dict[str, int]):
-        self.index, self.cut, self.known = index, _Cutter(terms), {}
+    def __init__(self, model: Model):
+        self.model, self.known = model, {}
 
     def of(self, texts: list) -> list[tuple[float, list]]:
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        digests = [_digest(t) for t in texts]
+        digests, model = [_digest(t) for t in texts], self.model
         new = {d: t for d, t in zip(digests, texts) if d not in self.known}
-        index = self.index
-        nearest = index.nearest([self.cut.of(t) for t in new.values()], NEIGHBOURS, [index.same.get(d, []) for d in new])
-        for d, (found, cosine) in zip(new, nearest):
-            self.known[d] = index.score(index.vote(found, cosine)), [
-                {"doc_id": index.ids[e], "cosine": c, "toxic": int(index.labels[e])}
-                for e, c in zip(found[:EVIDENCE].tolist(), cosine[:EVIDENCE].tolist())]
+        nearest = model.nearest([model.cutter.of(t) for t in new.values()], list(new))
+        scores = model.scores(model.votes(nearest)).tolist() if new else []
+        index = model.indexes[0]
+        for d, score, (found, cosine) in zip(new, scores, nearest[0]):
+            self.known[d] = score, [{"doc_id": index.ids[e], "cosine": c, "toxic": int(index.labels[e])}
+                                    for e, c in zip(found[:EVIDENCE].tolist(), cosine[:EVIDENCE].tolist())]
         return [self.known[d] for d in digests]
 
 
 _EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
 
 
-def _scored(index: Index, terms: dict[str, int]):
+def _scored(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _Scorer(index, terms)
+        scorer = _Scorer(model)
         for batch in batches:
             got = scorer.of(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
@@ -248,10 +311,10 @@ def _scored(index: Index, terms: dict[str, int]):
     return run
 
 
-def _kept(index: Index, terms: dict[str, int], limit: float):
+def _kept(model: Model, limit: float):
     """The rows, as they are, that score below ``limit``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _Scorer(index, terms)
+        scorer = _Scorer(model)
         for batch in batches:
             yield batch.filter(pa.array([x < limit for x, _ in scorer.of(batch.column("text").to_pylist())], pa.bool_()))
     return run
@@ -289,24 +352,26 @@ def examples_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
         _once, "doc_id bigint, toxic int, digest bigint, text string").dropDuplicates(["doc_id", "digest"])
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> tuple[Index, dict[str, int]]:
-    """The index of the examples with its curve, and the numbers of their words."""
+def learn(docs: DataFrame, labels: DataFrame) -> Model:
+    """The examples' vectors in both spaces, indexed, and the curve."""
     examples = saved(examples_of(docs, labels), "toxic-examples")
-    terms = _all_terms(examples)
-    found = (docs.select("text").mapInArrow(_held_by(terms), "term int, n bigint")
+    terms, telling = _all_terms(examples), _telling_terms(examples)
+    found = (docs.select("text").mapInArrow(_held_by(terms, telling), "term int, n bigint")
              .groupBy("term").agg(F.sum("n").alias("n")).toArrow())  # a row for each word of the examples
     counts = dict(zip(found.column("term").to_pylist(), found.column("n").to_pylist()))
     total = counts.get(-1, 0)
-    idf = np.array([1 + math.log((1 + total) / (1 + counts.get(t, 0))) for t in range(len(terms))])
+    idf = np.array([1 + math.log((1 + total) / (1 + counts.get(t, 0))) for t in range(len(terms) + len(telling))])
     # EXAMPLES rows; their order decides ties, and does not know the label
     rows = sorted(examples.select("doc_id", "toxic", "text", F.xxhash64("doc_id", "digest").alias("tie")).toArrow().to_pylist(),
                   key=lambda r: (r["tie"], r["doc_id"]))
-    cut, texts = _Cutter(terms), [_digest(r["text"]) for r in rows]
-    vectors = [cut.of(r["text"]) for r in rows]
-    index = Index(vectors, [r["toxic"] for r in rows], [r["doc_id"] for r in rows], idf, texts)
+    cutter, texts = _Cutter(terms, telling), [_digest(r["text"]) for r in rows]
+    vectors = [cutter.of(r["text"]) for r in rows]
+    cutter.known = {}
+    model = Model(*(Index([v[k] for v in vectors], [r["toxic"] for r in rows], [r["doc_id"] for r in rows], own, texts)
+                    for k, own in enumerate((idf[:len(terms)], idf[len(terms):]))), cutter)
     if rows:
-        index.calibrate([index.vote(*x) for x in index.nearest(vectors, NEIGHBOURS, [index.same[t] for t in texts])])
-    return index, terms
+        model.calibrate(model.votes(model.nearest(vectors, texts)))
+    return model
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -316,9 +381,9 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     the prior, without evidence. Without labels all scores are near 0.
     Repeated rows are scored each, equal texts alike. Nothing but the text enters a score.
     """
-    index, terms = learn(docs, labels)
+    model = learn(docs, labels)
     slim = docs.select("doc_id", "text")
-    return slim.mapInArrow(_scored(index, terms), f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, score double, "
+    return slim.mapInArrow(_scored(model), f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, score double, "
                            "evidence array<struct<doc_id: bigint, cosine: double, toxic: int>>").select(
         "doc_id", held_out().alias("held_out"), "score",
         F.when(F.col("score") >= TOXIC_FROM, 1).otherwise(0).alias("predicted"), "evidence")
@@ -326,5 +391,4 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs``, all columns, without the rows predicted toxic."""
-    index, terms = learn(docs, labels)
-    return docs.mapInArrow(_kept(index, terms, TOXIC_FROM), docs.schema)
+    return docs.mapInArrow(_kept(learn(docs, labels), TOXIC_FROM), docs.schema)
