@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wayfuse.llm import set_join, simhash
 from wayfuse.llm.common import documents, saved, settings, table
 from wayfuse.llm.lempel_ziv import remove_spans
 from wayfuse.llm.mixing import mix_documents
 from wayfuse.llm.packing import pack_documents
-from wayfuse.llm.simhash import one_of_each
 from wayfuse.llm.toxicity import drop_toxic
 
 
@@ -22,9 +22,13 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked SimHash fingerprints the document with the smallest id stays."""
+    """Of each group of near-duplicates (five-word shingles) the document with the smallest id stays.
+
+    SimHash links come first. They find few pairs at a similarity near 0.8, so what is left is joined by the
+    similarity itself, at 0.8 and more.
+    """
     settings(spark)
-    return one_of_each(docs)
+    return set_join.one_of_each(saved(simhash.one_of_each(docs, words_each=5), "pipeline-simhash"), words_each=5, percent=80)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,3 +29,41 @@ def test_run_packs_every_mixed_document(spark):
 def test_empty_documents(spark, name):
     empty = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     assert dict(corpus_pipeline.STAGES)[name](spark, empty, SF).count() == 0
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES[:-1]])
+def test_clashing_columns_pass(spark, name):
+    from tests.llm.frames import clashing
+
+    docs = clashing(spark.read.parquet(f"{SF}/documents.parquet").limit(40)).selectExpr("*", "1 AS _gone", "2 AS starts", "4 AS cls")
+    plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    stage = dict(corpus_pipeline.STAGES)[name]
+    got, want = stage(spark, docs, SF), stage(spark, plain, SF)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.select(*plain.columns).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert {tuple(r) for r in got.select("n", "copies", "_gone", "cls").collect()} == {tuple(docs.select("n", "copies", "_gone", "cls").first())}
+
+
+def test_near_duplicates_at_a_similarity_of_0_8_go(spark):
+    """Every pair at 0.8 and more, by five-word shingles counted by hand, loses one; nothing else goes."""
+    import random
+
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(900)]
+    texts = []
+    for _ in range(30):
+        base = [rng.choice(words) for _ in range(rng.choice([40, 120, 300]))]
+        copy = list(base)
+        for _ in range(rng.randint(0, len(base) // 40)):
+            copy[rng.randrange(len(copy))] = rng.choice(words)
+        texts += [" ".join(base), " ".join(copy)]
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    alike = [(i, j) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert 10 < len(alike) < 30
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()}
+    gone = {i for i, _ in alike}
+    assert not got & gone
+    near = {i for i in set(range(len(texts))) - got - gone}  # linked by fingerprints alone: not far from 0.8
+    assert all(any(len(sets[i] & sets[j]) >= 0.7 * len(sets[i] | sets[j]) for j in range(len(texts)) if j != i) for i in near)

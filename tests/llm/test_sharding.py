@@ -2,7 +2,7 @@ import random
 import zlib
 
 from wayfuse.llm import sharding
-from wayfuse.llm.common import settings
+from wayfuse.llm.common import saved, settings
 from tests.llm.frames import clashing, docs
 
 
@@ -45,7 +45,7 @@ def test_a_hot_key_among_few_others(spark):
         check(rows, 5, sharding.assign_shards(frame, 5, range_rows=100).collect())
         ranges, _ = sharding._subdivided(frame.selectExpr(
             "coalesce(doc_id, -9223372036854775808) AS _key", "size AS _size", "monotonically_increasing_id() AS row_no",
-            "0L AS range").localCheckpoint(), 100)
+            "0L AS range").transform(lambda df: saved(df, "test-ranges")), 100)
         assert max(r.n for r in ranges.collect()) <= 100
 
 

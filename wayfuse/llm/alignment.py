@@ -27,10 +27,11 @@ from wayfuse.llm.packing import _Ids
 
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k", "piece_bpe_32k"
 BLOCK = 2 << 20  # bytes of text in a block; a longer text is a block of its own
-LANE = 4096
+PART = 1 << 19  # characters whose tokens are held at once
+LANE = 512
 B_BITS = 15  # of a B id in a pair's number
 WIDE = 4096  # links of a group from which its distinct ids are combined, not its tokens
-_CACHED = 100_000  # words whose ids a vocabulary keeps
+_CACHED = 50_000  # words whose ids a vocabulary keeps
 _SPACE = "▁"
 
 
@@ -191,6 +192,20 @@ class Aligner:
 
     def of(self, texts: list[str | None]) -> dict:
         """Per document n_a, n_b, n_groups, n_links, groups (its digest); links as numbers with weights."""
+        parts, start, size = [], 0, 0
+        for i, text in enumerate([*texts, "x" * PART]):
+            if size and size + len(text or "") > PART:
+                part = self._part(texts[start:i])
+                part["keys"] += start << (16 + B_BITS)
+                parts.append(part)
+                start, size = i, 0
+            size += len(text or "")
+        if start < len(texts) or not parts:
+            parts.append(self._part(texts[start:]))
+            parts[-1]["keys"] += start << (16 + B_BITS)
+        return {k: sum((p[k] for p in parts), []) if k == "groups" else np.concatenate([p[k] for p in parts]) for k in parts[0]}
+
+    def _part(self, texts: list[str | None]) -> dict:
         n = len(texts)
         held = [i for i, t in enumerate(texts) if t]
         some = [texts[i] for i in held]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wayfuse.session import prepare, saved
 
-__all__ = ["prepare", "saved", "documents", "table", "text_bytes", "n_words", "batches_by_bytes", "settings", "free_name"]
+__all__ = ["prepare", "saved", "documents", "table", "text_bytes", "n_words", "batches_by_bytes", "settings", "free_name", "apart"]
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -58,6 +58,13 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def apart(docs: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``step`` of ``docs`` while all columns but those of documents have names no step uses; it gives the same columns."""
+    own = ("doc_id", "text", "lang", "source", "n_chars")
+    names = [c if c in own else f"_extra_column_{i}" for i, c in enumerate(docs.columns)]
+    return step(docs.toDF(*names)).select(*names).toDF(*docs.columns)
+
+
 def batches_by_bytes(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.Table]:
     """Tables of consecutive batches whose ``column`` holds about ``most`` bytes or less.
 

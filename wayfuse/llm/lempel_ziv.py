@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfuse.llm.common import batches_by_bytes, text_bytes
+from wayfuse.llm.common import apart, batches_by_bytes, text_bytes
 
 WINDOW = 35
 GRAM = 8
@@ -286,6 +286,10 @@ def remove_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     No row goes: a text that is all duplicate becomes empty.
     """
+    return apart(docs, lambda rows: _without(rows, window))
+
+
+def _without(docs: DataFrame, window: int) -> DataFrame:
     columns = docs.columns
     joined = _joined(docs, *columns).drop("_text")
     done = joined.mapInArrow(_cleaned(window, columns), docs.schema)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from wayfuse.llm.common import n_words, saved
+from wayfuse.llm.common import apart, n_words, saved
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -183,6 +183,10 @@ def mix_report(docs: DataFrame) -> DataFrame:
 
 def mix_documents(docs: DataFrame) -> DataFrame:
     """``docs`` with every row repeated as often as the mix takes it, its columns unchanged."""
+    return apart(docs, _repeated)
+
+
+def _repeated(docs: DataFrame) -> DataFrame:
     wanted = copies(docs).where("copies > 0").select(
         F.col("doc_id").alias("_doc"), F.col("source").alias("_source"), "digest", "copies").distinct()
     keyed = docs.withColumn("_digest", F.xxhash64(F.lit(1), "text"))

@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from wayfuse.llm.common import saved, text_bytes
+from wayfuse.llm.common import apart, saved, text_bytes
+from wayfuse.llm.simhash import one_of_each_group
 from wayfuse.operators.components import components
 
 SHINGLE, PERCENT = 5, 80
@@ -379,12 +380,39 @@ def near_sets(docs: DataFrame, words_each: int = SHINGLE, percent: int = PERCENT
     A component's id is its smallest doc_id, null only if all its ids are. Repeated rows are rows
     of their own. Shingles are compared by 64-bit hashes, classes by 128 bits. An empty table gives no rows.
     """
+    summary, named = _named(docs, words_each, percent, block_sets)
+    own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return summary.join(named, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def _named(docs: DataFrame, words_each: int, percent: int, block_sets: int) -> tuple[DataFrame, DataFrame]:
+    """The rows' summaries, and cls, component, component_id of every class."""
     summary = _summary(docs, words_each, percent)
     classes = _classes(summary)
     joined = components(links(docs, summary, classes, words_each, percent, block_sets), "a", "b")
     member = saved(classes.join(joined, F.col("cls") == F.col("node"), "left")
                    .select("cls", "least", F.coalesce("component", "cls").alias("component")), "set-members")
     least = member.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = saved(member.join(least, "component").select("cls", "component_id"), "set-components")
-    return summary.select("doc_id", F.col("n").alias("n_shingles"), "cls").join(named, "cls", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return summary.select("doc_id", "n", "cls"), saved(member.join(least, "component").select("cls", "component", "component_id"), "set-components")
+
+
+def one_of_each(docs: DataFrame, words_each: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``docs``, all columns, with one row of each component of alike sets: that with the smallest doc_id.
+
+    Rows without a word have no partners, and stay, but of those that share an id (or have none) one stays.
+    """
+    def step(rows: DataFrame) -> DataFrame:
+        summary, named = _named(rows, words_each, percent, BLOCK_SETS)
+        empty = F.col("n") == 0
+        grouped = summary.join(named, "cls", "left").select(
+            "doc_id", F.col("cls").alias("fp"), F.coalesce("component", "cls").alias("component"),
+            F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        return one_of_each_group(rows, grouped, lambda some, *columns: _keyed(some, words_each, percent, *columns))
+    return apart(docs, step)
+
+
+def _keyed(rows: DataFrame, words_each: int, percent: int, *columns: str) -> DataFrame:
+    slim = rows.select(*columns, text_bytes().alias("_text"))
+    kinds = "".join(f"`{c}` {slim.schema[c].dataType.simpleString()}, " for c in columns)
+    return slim.mapInArrow(_summaries(words_each, percent), kinds + "n bigint, cls binary, number bigint, first array<bigint>").select(
+        *columns, F.col("cls").alias("fp"))

@@ -9,7 +9,7 @@ hold is indexed again by the variants of its remaining bits, level by level.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfuse.llm.common import saved, text_bytes
+from wayfuse.llm.common import apart, saved, text_bytes
 from wayfuse.operators.components import components
 
 LINK_BITS = 4
@@ -48,20 +48,22 @@ def fingerprint(text: bytes, words_each: int = SHINGLE) -> int:
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
-def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        got = [fingerprint(t) for t in batch.column("_text").to_pylist()]
-        at = batch.schema.get_field_index("_text")
-        columns = [c for i, c in enumerate(batch.columns) if i != at] + [pa.array(got, pa.int64())]
-        names = [n for n in batch.schema.names if n != "_text"] + ["fp"]
-        yield pa.RecordBatch.from_arrays(columns, names)
+def _fingerprints(words_each: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = [fingerprint(t, words_each) for t in batch.column("_text").to_pylist()]
+            at = batch.schema.get_field_index("_text")
+            columns = [c for i, c in enumerate(batch.columns) if i != at] + [pa.array(got, pa.int64())]
+            names = [n for n in batch.schema.names if n != "_text"] + ["fp"]
+            yield pa.RecordBatch.from_arrays(columns, names)
+    return run
 
 
-def with_fingerprints(docs: DataFrame, *columns: str) -> DataFrame:
+def with_fingerprints(docs: DataFrame, *columns: str, words_each: int = SHINGLE) -> DataFrame:
     """The named columns and ``fp``, the signed 64-bit fingerprint of ``text``."""
     slim = docs.select(*columns, text_bytes().alias("_text"))
     kinds = ", ".join([f"`{c}` {slim.schema[c].dataType.simpleString()}" for c in columns] + ["fp bigint"])
-    return slim.mapInArrow(_fingerprints, kinds)
+    return slim.mapInArrow(_fingerprints(words_each), kinds)
 
 
 # ---- links -----------------------------------------------------------------------------
@@ -247,9 +249,9 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     return _grouped(docs, id_column).select(id_column, "fp", "component_id")
 
 
-def _grouped(docs: DataFrame, id_column: str) -> DataFrame:
+def _grouped(docs: DataFrame, id_column: str, words_each: int = SHINGLE) -> DataFrame:
     """``near_groups`` and ``component``, the group's own key: groups can share their smallest id."""
-    slim = saved(with_fingerprints(docs.select(F.col(id_column).alias("_id"), "text"), "_id"), "fingerprints")
+    slim = saved(with_fingerprints(docs.select(F.col(id_column).alias("_id"), "text"), "_id", words_each=words_each), "fingerprints")
     classes = saved(slim.groupBy("fp").agg(F.min("_id").alias("least")), "fingerprint-classes")
     joined = components(links(classes), "a", "b")
     member = classes.join(joined, classes.fp == joined.node, "left").select(
@@ -265,24 +267,35 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, words_each: int = SHINGLE) -> DataFrame:
     """``docs`` without the near-duplicates: of each group the row with the smallest doc_id stays.
 
     All columns are kept as they are. A group is known by its fingerprints, not by its smallest id: of rows
     that share a doc_id, or have none, each group keeps its own. Where several rows of a group carry its
     smallest id, the one with the least digest of the text stays. A row without an id stays only if no row of
-    its group has one. What goes is named, not what stays: the shorter list, which
-    a join broadcasts while its written size allows.
+    its group has one.
+    """
+    def step(rows: DataFrame) -> DataFrame:
+        return one_of_each_group(rows, _grouped(rows.select("doc_id", "text"), "doc_id", words_each),
+                                 lambda some, *columns: with_fingerprints(some, *columns, words_each=words_each))
+    return apart(docs, step)
+
+
+def one_of_each_group(docs: DataFrame, grouped: DataFrame, keyed: Callable[..., DataFrame]) -> DataFrame:
+    """Of each group in ``grouped`` (doc_id, fp, component, component_id of every row) one row of ``docs``.
+
+    ``keyed`` gives rows with the named columns and ``fp``, which tells the rows that share an id apart. What goes is
+    named, not what stays: the shorter list, which a join broadcasts while its written size allows.
     """
-    groups = saved(_grouped(docs.select("doc_id", "text"), "doc_id"), "near-groups")
+    groups = saved(grouped, "near-groups")
     per_id = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("component_id").alias("component_id"))
     shared = saved(per_id.where("n > 1").select(F.col("doc_id").alias("_shared")), "shared-ids")
     gone = saved(per_id.where("n = 1 AND NOT doc_id <=> component_id").select(F.col("doc_id").alias("_gone")), "gone-ids")
     is_shared = F.col("doc_id").eqNullSafe(F.col("_shared"))
     plain = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti").join(shared, is_shared, "left_anti")
-    # the rows that share their id: their fingerprints again, to know each row's group
+    # the rows that share their id: their keys again, to know each row's group
     some = docs.join(shared, is_shared, "left_semi").withColumn("_digest", F.xxhash64("text"))
-    prints = with_fingerprints(some.select(F.col("doc_id").alias("_doc"), "_digest", "text"), "_doc", "_digest")
+    prints = keyed(some.select(F.col("doc_id").alias("_doc"), "_digest", "text"), "_doc", "_digest")
     of_group = groups.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), "component", "component_id").distinct()
     best = (prints.join(of_group, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp")))
             .where("_doc <=> component_id").groupBy("component")
