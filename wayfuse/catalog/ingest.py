@@ -404,9 +404,9 @@ SELECT CAST(year(strptime(CRASH_DATE, '%m/%d/%Y %I:%M:%S %p')) AS INTEGER) AS ye
 def snk12(spark, sf):
     root, out = scratch_path(spark, "profiled"), scratch_path(spark, "profile")
     raw_orders(spark, sf).write.parquet(root)
-    P.write_report(spark.read.parquet(root), out, ("yearly_coverage",))
-    rows = spark.read.schema("section string, content string").json(out).where("section = 'yearly_coverage'")
-    return rows.select(F.from_json("content", "year int, n_rows long").alias("r")).select("r.*")
+    P.write_report(spark.read.parquet(root), out)
+    rows = P.read_report(spark, out).where("section = 'yearly_coverage'")
+    return rows.select(F.col("entry").cast("int").alias("year"), F.col("number").cast("long").alias("n_rows"))
 
 
 @query("snk13_harmonize", """

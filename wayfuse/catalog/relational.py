@@ -12,7 +12,7 @@ from wayfuse.operators import frames as FR
 from wayfuse.operators import profile as P
 from wayfuse.operators.checks import duplicate_counts
 from wayfuse.operators.curate import exclusion_counts
-from wayfuse.operators.hotspots import sampled
+from wayfuse.operators.hotspots import sampled, sampled_rows
 from wayfuse.operators.publish import dim_date_rows, dim_source
 from wayfuse.plans import analytics as A
 from wayfuse.plans.bindings import raw_events, raw_lineitem, raw_orders, staged, table
@@ -506,6 +506,19 @@ def smp01(spark, sf):
     return sampled(fact(spark, sf), "crash_id", 0).select("crash_id", "severity")
 
 
+@query("smp01_row_sample", """
+SELECT source_id, crash_id, severity FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY md5(crash_id || '/1'), crash_id) AS r FROM curated)
+WHERE r <= 6000""")
+def smp01b(spark, sf):
+    return sampled_rows(fact(spark, sf), "crash_id", 1, 6000, ["source_id"]).select("source_id", "crash_id", "severity")
+
+
+@query("smp01_row_sample_of_all", """
+SELECT crash_id, severity FROM curated ORDER BY md5(crash_id || '/2'), crash_id LIMIT 9000""")
+def smp01c(spark, sf):
+    return sampled_rows(fact(spark, sf), "crash_id", 2, 9000).select("crash_id", "severity")
+
+
 @query("set01_union_all", """
 SELECT 'customer' AS kind, c_custkey AS id, c_name AS name, c_acctbal AS balance FROM customer
 UNION ALL SELECT 'supplier', s_suppkey, s_name, s_acctbal FROM supplier""")

@@ -295,6 +295,17 @@ def frm03(spark, sf):
     return H.frame_points(spark, points, frames).select("frame", "city_area", "crash_id", "latitude", "longitude")
 
 
+_MOST_POINTS = 60_000  # rows of a frame and city, where a cap is wanted
+
+
+@query("frm03_capped_points", f"""
+WITH {_FRAME_POINTS} SELECT frame, city_area, crash_id, latitude, longitude FROM (
+  SELECT *, row_number() OVER (PARTITION BY frame, city_area ORDER BY md5(crash_id || '/0'), crash_id) AS r FROM points) WHERE r <= {_MOST_POINTS}""")
+def frm03b(spark, sf):
+    points, frames = _cluster_points(spark, sf)
+    return H.frame_points(spark, points, frames, most=_MOST_POINTS).select("frame", "city_area", "crash_id", "latitude", "longitude")
+
+
 @query("hot01_density_threshold", f"""
 WITH {_FRAME_POINTS} SELECT frame, city_area, count(*) AS injury_crashes,
   CAST(greatest(5, ceil(10.0::DOUBLE * (count(*) / max(area_km2)::DOUBLE * (pi() * 0.0225)))) AS INTEGER) AS min_samples
@@ -502,8 +513,90 @@ def prf12(spark, sf):
     return P.near_empty_columns(raw_orders(spark, sf), 50.0)
 
 
-@query("prf13_build_report")
+def _cells_sql(section, entry, measure, number="NULL", text="NULL", time="NULL", source=""):
+    return (f"SELECT '{section}' AS section, {entry} AS entry, '{measure}' AS measure, CAST({number} AS DOUBLE) AS number, "
+            f"CAST({text} AS VARCHAR) AS text, CAST({time} AS TIMESTAMP) AS time {source}")
+
+
+def _report_sql(now, cutoff, threshold):
+    """Every cell of the profile report, section by section."""
+    q = chr(39)
+    one = "FROM raw_a"
+    cells = [_cells_sql("schema", "'table'", "n_rows", "count(*)", source=one),
+             _cells_sql("schema", "'table'", "n_columns", str(len(_A_COLUMNS)))]
+    for c in sorted(set(P.EXPECTED) | set(_A_COLUMNS)):
+        has = c in _A_COLUMNS
+        status = "missing" if not has else "ok" if c in P.EXPECTED else "extra"
+        cells += [_cells_sql("schema", f"'{c}'", "data_type", text="'string'" if has else "NULL"),
+                  _cells_sql("schema", f"'{c}'", "status", text=f"'{status}'")]
+    for c in _A_COLUMNS:
+        empty = f"count(*) FILTER (WHERE {c} IS NULL)"
+        kind = "yes_only_flag" if c in P.YES_ONLY else "ordinary"
+        cells += [_cells_sql("missingness", f"'{c}'", "kind", text=f"'{kind}'"),
+                  _cells_sql("missingness", f"'{c}'", "null_count", empty, source=one),
+                  _cells_sql("missingness", f"'{c}'", "pct_null", pct(empty, "count(*)", 2), source=one),
+                  _cells_sql("near_empty", f"'{c}'", "near_empty", "1", source=f"{one} HAVING {empty} * 100 >= {threshold} * count(*)")]
+    for c, t in (("CRASH_DATE", _T), ("DATE_POLICE_NOTIFIED", _P)):
+        cells += [_cells_sql("dates", f"'{c}'", "min_value", time=f"min({t})", source=one),
+                  _cells_sql("dates", f"'{c}'", "max_value", time=f"max({t})", source=one),
+                  _cells_sql("dates", f"'{c}'", "with_ampm", f"count({c})", source=one),
+                  _cells_sql("dates", f"'{c}'", "without_ampm", "0"), _cells_sql("dates", f"'{c}'", "failed_to_parse", "0"),
+                  _cells_sql("dates", f"'{c}'", "future_rows", f"count(*) FILTER (WHERE {t} > TIMESTAMP '{now}')", source=one)]
+    cells += [_cells_sql("date_logic", "'all'", "rows_notified_before_crash", f"count(*) FILTER (WHERE {_P} < {_T})", source=one),
+              _cells_sql("date_logic", "'all'", "max_gap_days", f"max(epoch_us({_P}) - epoch_us({_T})) / 86400000000.0::DOUBLE", source=one)]
+    at = "FROM (SELECT TRY_CAST(LATITUDE AS DOUBLE) AS lat, TRY_CAST(LONGITUDE AS DOUBLE) AS lon FROM raw_a)"
+    bad = "NOT (lat BETWEEN 41.60 AND 42.05 AND lon BETWEEN -87.95 AND -87.50)"
+    for measure, number in {
+            "rows_missing": "count(*) FILTER (WHERE lat IS NULL OR lon IS NULL)", "rows_zero": "count(*) FILTER (WHERE lat = 0 OR lon = 0)",
+            "rows_outside_box": f"count(*) FILTER (WHERE lat <> 0 AND lon <> 0 AND {bad})",
+            **{f"{how}_{x}": f"{how}({x}) FILTER (WHERE lat <> 0 AND lon <> 0)" for x in ("lat", "lon") for how in ("min", "max")},
+            "pct_missing": pct("count(*) FILTER (WHERE lat IS NULL OR lon IS NULL)", "count(*)", 2)}.items():
+        cells.append(_cells_sql("coordinates", "'all'", measure, number, source=at))
+    v = "CAST(POSTED_SPEED_LIMIT AS DOUBLE)"
+    cells += [_cells_sql("speed_limit", "'all'", "min_speed", f"min({v})", source=one),
+              _cells_sql("speed_limit", "'all'", "max_speed", f"max({v})", source=one),
+              _cells_sql("speed_limit", "'all'", "rows_outside_band", f"count(*) FILTER (WHERE {v} NOT BETWEEN 5 AND 70)", source=one)]
+    cells += [_cells_sql("injuries", "'all'", c, f"sum(CAST({c} AS DOUBLE))", source=one) for c in ("INJURIES_TOTAL", "INJURIES_FATAL")]
+    cells += [_cells_sql("injuries", "'all'", "fatal_rows", "count(*) FILTER (WHERE INJURIES_FATAL = '1')", source=one),
+              _cells_sql("injuries", "'all'", "rows_without_injury_data",
+                         "count(*) FILTER (WHERE INJURIES_TOTAL IS NULL AND MOST_SEVERE_INJURY IS NULL)", source=one)]
+    cells += [_cells_sql("yearly_coverage", f"CAST(year({_T}) AS VARCHAR)", "n_rows", "count(*)", source=f"{one} GROUP BY year({_T})"),
+              _cells_sql("speed_histogram", f"CAST({v} AS VARCHAR)", "n_rows", "count(*)", source=f"{one} WHERE {v} IS NOT NULL GROUP BY {v}")]
+    beats = (f"FROM (SELECT CAST(BEAT_OF_OCCURRENCE AS INTEGER) // 100 AS d, min({_T}) AS first FROM raw_a WHERE BEAT_OF_OCCURRENCE IS NOT NULL GROUP BY 1)")
+    early = f"first < TIMESTAMP '{cutoff}'"
+    cells += [_cells_sql("district_coverage", "CAST(d AS VARCHAR)", "first_date", time="first", source=beats),
+              _cells_sql("district_coverage", "CAST(d AS VARCHAR)", "before_cutoff", f"CASE WHEN {early} THEN 1 ELSE 0 END", source=beats),
+              _cells_sql("district_summary", "'all'", "n_districts", "count(*)", source=beats),
+              _cells_sql("district_summary", "'all'", "n_before_cutoff", f"count(*) FILTER (WHERE {early})", source=beats),
+              _cells_sql("district_summary", "'all'", "earliest", time="min(first)", source=beats),
+              _cells_sql("district_summary", "'all'", "rows_missing_beat", "count(*) FILTER (WHERE BEAT_OF_OCCURRENCE IS NULL)", source=one)]
+    for c in (c for c in P.CATEGORIES if c in _A_COLUMNS):
+        cells.append(_cells_sql("top_categories", q + c + q, "n_rows", "n", "v", source=(
+            f"FROM (SELECT {c} AS v, count(*) AS n FROM raw_a GROUP BY 1 ORDER BY n DESC, v NULLS LAST LIMIT 15)")))
+    cells += [_cells_sql("duplicates", "'full_row'", "extra_rows",
+                         "(SELECT count(*) FROM raw_a) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_a))"),
+              _cells_sql("duplicates", "'CRASH_RECORD_ID'", "extra_rows", "count(*) - count(DISTINCT CRASH_RECORD_ID)", source=one)]
+    return " UNION ALL ".join(f"({c})" for c in cells)
+
+
+_REPORT = _report_sql("2024-01-01", "2018-01-02", 50)
+
+
+def _report_args():
+    return {"now": F.lit("2024-01-01").cast("timestamp"), "cutoff": "2018-01-02", "threshold": 50.0}
+
+
+@query("prf13_build_report", _REPORT)
 def prf13(spark, sf):
     root = scratch_path(spark, "profiled")
     raw_orders(spark, sf).write.parquet(root)
-    return P.build_report(spark.read.parquet(root))
+    return P.build_report(spark.read.parquet(root), **_report_args())
+
+
+@query("snk12_profile_report", _REPORT)
+def snk12(spark, sf):
+    """The whole report written as JSON and read back."""
+    root, out = scratch_path(spark, "profiled"), scratch_path(spark, "profile")
+    raw_orders(spark, sf).write.parquet(root)
+    P.write_report(spark.read.parquet(root), out, **_report_args())
+    return P.read_report(spark, out)

@@ -319,15 +319,49 @@ def with_min_samples(points: DataFrame, group: list[str]) -> DataFrame:
     return points.join(F.broadcast(level), group)
 
 
-def frame_points(spark: SparkSession, points: DataFrame, frames: DataFrame) -> DataFrame:
-    """Points of each frame and city inside its window; all of them, no cap."""
-    return in_frames(spark, points, frames)
+def frame_points(spark: SparkSession, points: DataFrame, frames: DataFrame, most: int | None = None,
+                 seed: int = 0) -> DataFrame:
+    """Points of each frame and city inside its window: all of them, or a sample of ``most`` each."""
+    inside = in_frames(spark, points, frames)
+    return inside if most is None else sampled_rows(inside, "crash_id", seed, most, ["frame", "city_area"])
+
+
+def _sample_digest(key: str, seed: int) -> Column:
+    return F.md5(F.concat_ws("/", F.col(key), F.lit(str(seed))).cast("binary"))
+
+
+def sampled_rows(points: DataFrame, key: str, seed: int, most: int, group: list[str] | None = None) -> DataFrame:
+    """``most`` rows of each group (all of a smaller one), the same ones whatever the partitioning.
+
+    Those with the least md5 of key and seed, ties by the key; rows alike in the key are told apart by nothing, any of
+    them may be the last. What is shuffled to find them are counts: how many rows of a group have a digest with the same first
+    four digits, which says in which of the 65,536 ranges the last row lies. Ranges before it are taken whole; only
+    the rows of that one range are put in order.
+    """
+    group = group or []
+    bucket = F.conv(F.substring("_digest", 1, 4), 16, 10).cast("int")
+    marked = points.withColumn("_digest", _sample_digest(key, seed)).withColumn("_bucket", bucket)
+    counts = marked.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    upto = W.partitionBy(*group).orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
+    last = (counts.withColumn("_upto", F.sum("_n").over(upto)).where(F.col("_upto") >= most)
+            .groupBy(*[F.col(g).alias(f"_of_{g}") for g in group])
+            .agg(F.min_by(F.struct(F.col("_bucket").alias("bucket"), (F.lit(most) - F.col("_upto") + F.col("_n")).alias("left")), "_upto")
+                 .alias("_last")))
+    same = F.lit(True)
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_of_{g}"))
+    placed = marked.join(last, same, "left") if group else marked.join(F.broadcast(last), how="left")
+    at = F.col("_last.bucket")
+    whole = placed.where(at.isNull() | (F.col("_bucket") < at)).select(*points.columns)
+    order = W.partitionBy(*group).orderBy("_digest", key)
+    some = (placed.where(F.col("_bucket") == at).withColumn("_rank", F.row_number().over(order))
+            .where(F.col("_rank") <= F.col("_last.left")).select(*points.columns))
+    return whole.unionByName(some)
 
 
 def sampled(points: DataFrame, key: str, seed: int, fraction: float = STABILITY_FRACTION) -> DataFrame:
     """The same fraction of rows whatever the partitioning: the md5 of key and seed decides."""
-    digest = F.md5(F.concat_ws("/", F.col(key), F.lit(str(seed))).cast("binary"))
-    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+    bucket = F.conv(F.substring(_sample_digest(key, seed), 1, 8), 16, 10).cast("long")
     return points.where(bucket < int(fraction * (1 << 32)))
 
 
