@@ -147,7 +147,11 @@ def test_no_document_is_scored_by_its_own_label(spark):
     rows.append((500, rows[one][1]))
     turned = [(k, q, 1 - t if k == one else t) for k, q, t in labels]
     schema = "doc_id long, quality int, toxic int"
-    learnt = [toxicity.learn(docs(spark, rows), spark.createDataFrame(x, schema)) for x in (labels, turned)]
+    learnt, held = [], docs(spark, rows)
+    for told in (labels, turned):
+        examples = toxicity.saved(toxicity.examples_of(held, spark.createDataFrame(told, schema)), "test-examples")
+        cutter = toxicity.vocabulary(examples)
+        learnt.append(toxicity.learn(examples, cutter, held.select("text").mapInArrow(toxicity._held_by(cutter), "term int, n bigint")))
     votes = []
     for model in learnt:
         near = model.nearest([model.cutter.of(rows[one][1])], [toxicity._digest(rows[one][1])])

@@ -66,29 +66,26 @@ class _Cutter:
     """Numbers and counts of a text's terms, in the space of all words and in that of the telling ones."""
 
     def __init__(self, terms: dict[str, int], telling: dict[str, int]):
-        self.terms, self.telling, self.known = terms, telling, {}
-
-    def hints(self, word: str) -> tuple[int, ...]:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) > 100_000:
-                self.known.clear()
-            found = self.known[word] = tuple(self.telling[h] for h in _hints(word) if h in self.telling)
-        return found
+        self.terms = terms
+        self.words = {h: i for h, i in telling.items() if not h.endswith("-")}
+        self.four = {h[:-1]: i for h, i in telling.items() if h.endswith("-") and len(h) == 5}
+        self.five = {h[:-1]: i for h, i in telling.items() if h.endswith("-") and len(h) == 6}
+
+    def told(self, words) -> list[tuple[int, str]]:
+        """Numbers of telling terms, each with the word that has it; a word can have several."""
+        four, five = self.four, self.five
+        found = [(four[w[:4]], w) for w in words if w[:4] in four and len(w) > 4]
+        found += [(five[w[:5]], w) for w in words if w[:5] in five and len(w) > 5]
+        return found + [(self.words[w], w) for w in self.words.keys() & words]
 
     def of(self, text: str | None) -> tuple:
         words = Counter(_WORD.findall((text or "").lower()))
-        told: Counter = Counter()
-        for w, n in words.items():
-            for h in self.hints(w):
-                told[h] += n
-        return _pairs([(self.terms[w], n) for w, n in words.items() if w in self.terms]), _pairs(list(told.items()))
-
-
-def _pairs(own: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    own.sort()
-    pairs = np.array(own, np.int64).reshape(-1, 2)
-    return pairs[:, 0], pairs[:, 1]
+        known = self.terms.keys() & words.keys()
+        told: dict[int, int] = {}
+        for h, w in self.told(words.keys()):
+            told[h] = told.get(h, 0) + words[w]
+        return ((np.array([self.terms[w] for w in known], np.int64), np.array([words[w] for w in known], np.int64)),
+                (np.array(list(told), np.int64), np.array(list(told.values()), np.int64)))
 
 
 def _example_hints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,22 +111,55 @@ def _telling_terms(examples: DataFrame) -> dict[str, int]:
     return {w: i for i, w in enumerate(found.column("term").to_pylist())}
 
 
-def _held_by(terms: dict[str, int], telling: dict[str, int]):
+def _held_by(cutter: _Cutter):
     """How many documents of a task hold each term, the telling ones numbered after the words; -1 counts the documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, cut, seen, told, total = terms.keys(), _Cutter(terms, telling), Counter(), Counter(), 0
+        terms = cutter.terms
+        known, seen, told, total = terms.keys(), Counter(), Counter(), 0
         for batch in batches:
             total += batch.num_rows
             for text in batch.column("text").to_pylist():
                 words = set(_WORD.findall((text or "").lower()))
                 seen.update(known & words)
-                told.update({h for w in words for h in cut.hints(w)})
+                told.update({h for h, _ in cutter.told(words)})
         numbers = [-1, *(terms[w] for w in seen), *(len(terms) + h for h in told)]
         yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array([total, *seen.values(), *told.values()], pa.int64())],
                                          ["term", "n"])
     return run
 
 
+_FEATURES = "doc_id bigint, digest binary, words binary, counts binary, told binary, told_counts binary"
+
+
+def _features(cutter: _Cutter):
+    """Texts as numbers and counts of their terms, and their digests."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            cut = [cutter.of(t) for t in texts]
+            columns = [[x.astype("<i4").tobytes() for x in (v[k][j] for v in cut)] for k in (0, 1) for j in (0, 1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *(pa.array(c, pa.binary()) for c in ([_digest(t) for t in texts], *columns))],
+                ["doc_id", "digest", "words", "counts", "told", "told_counts"])
+    return run
+
+
+def _held_by_features(first_told: int):
+    """As ``_held_by``, of features."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, total = np.zeros(0, np.int64), 0
+        for batch in batches:
+            total += batch.num_rows
+            for name, shift in (("words", 0), ("told", first_told)):
+                n = np.bincount(np.frombuffer(b"".join(batch.column(name).to_pylist()), "<i4") + shift)
+                if len(n) > len(seen):
+                    seen = np.concatenate([seen, np.zeros(len(n) - len(seen), np.int64)])
+                seen[:len(n)] += n
+        some = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, some].astype(np.int32)), pa.array(np.r_[total, seen[some]])], ["term", "n"])
+    return run
+
+
 def _all_terms(examples: DataFrame) -> dict[str, int]:
     """Numbers of all words of the examples, those of most examples first."""
     found = (examples.select("text").mapInArrow(_example_terms, "term string")
@@ -155,11 +185,11 @@ class Index:
         size = self.blocks * BLOCK
         # places: examples with like words side by side, so that a block's largest weights are near its own
         self.number = np.arange(size)
-        self.number[:n] = sorted(range(n), key=lambda e: list(vectors[e][0][:64]))
+        self.number[:n] = sorted(range(n), key=lambda e: sorted(vectors[e][0])[:64])
         self.place = np.argsort(self.number)
         at, example, weight = self._weights([vectors[e] for e in self.number[:n]])
         order = np.argsort(at, kind="stable")
-        at, example, weight = at[order], example[order].astype(np.int32), weight[order]
+        at, example, weight = at[order], example[order], weight[order]
         lists = np.bincount(at, minlength=len(idf))
         often = np.argsort(-lists, kind="stable")[:COLUMNS]
         often = often[lists[often] > max(BLOCK, n // 32)]
@@ -203,11 +233,16 @@ class Index:
         own = column >= 0
         dense = np.zeros((n, self.most.shape[1]))
         dense[owner[own], column[own]] = q[own]
-        # words of few examples: their lists in full
-        begin, long = self.cuts[at[~own]], self.cuts[at[~own] + 1] - self.cuts[at[~own]]
-        listed = np.repeat(begin - (np.cumsum(long) - long), long) + np.arange(int(long.sum()))
-        few = np.bincount(np.repeat(owner[~own] * size, long) + self.example[listed],
-                          self.weight[listed] * np.repeat(q[~own], long), n * size).reshape(n, size)
+        # words of few examples: their lists in full, one document after the other, which stays in the processor's cache
+        few, listed = np.empty((n, size)), ~own
+        begin, long, q = self.cuts[at[listed]], self.cuts[at[listed] + 1] - self.cuts[at[listed]], q[listed]
+        ends = np.searchsorted(owner[listed], np.arange(n + 1))
+        for d in range(n):
+            a, b = ends[d], ends[d + 1]
+            m = long[a:b]
+            places = np.repeat(begin[a:b] - (np.cumsum(m) - m), m)
+            places += np.arange(len(places))
+            few[d] = np.bincount(self.example[places], self.weight[places] * np.repeat(q[a:b], m), size)
         for d, left_out in enumerate(but):
             few[d, self.place[left_out]] = -9.0
         few = few.reshape(n, self.blocks, BLOCK)
@@ -219,16 +254,18 @@ class Index:
                 d = np.flatnonzero(wanted[:, b])
                 sums[d, b] = few[d, b] + dense[d] @ self.common[b].T
 
-        def floor():
-            flat = sums.reshape(n, size)
-            return np.maximum(np.partition(flat, -k, axis=1)[:, -k], 0.0) if size >= k else np.zeros(n)
+        most = np.argpartition(-bound, min(k // BLOCK + 3, self.blocks - 1), axis=1)[:, :k // BLOCK + 4]
         first = np.zeros(bound.shape, bool)
-        np.put_along_axis(first, np.argsort(-bound, axis=1, kind="stable")[:, :k // BLOCK + 4], True, axis=1)
+        np.put_along_axis(first, most, True, axis=1)
         opened(first)
-        opened((bound >= floor()[:, None] - 1e-9) & ~first)
-        reached, out = floor() - 1e-9, []
+        some = np.take_along_axis(sums, most[:, :, None], axis=1).reshape(n, -1)
+        # the k-th of these is not above the k-th of all
+        reached = np.maximum(np.partition(some, -k, axis=1)[:, -k], 0.0) if some.shape[1] >= k else np.zeros(n)
+        reached -= 1e-9
+        opened((bound >= reached[:, None]) & ~first)
+        out = []
         for d, row in enumerate(sums.reshape(n, size)):
-            some = np.flatnonzero((row > 0) & (row >= reached[d]))
+            some = np.flatnonzero(row >= max(reached[d], 1e-12))
             # cosines that differ by rounding alone are ties
             order = np.lexsort((self.number[some], -np.round(row[some], 9)))[:k]
             out.append((self.number[some[order]], np.minimum(row[some[order]], 1.0)))
@@ -283,12 +320,13 @@ class _Scorer:
     def __init__(self, model: Model):
         self.model, self.known = model, {}
 
-    def of(self, texts: list) -> list[tuple[float, list]]:
+    def of(self, digests: list[bytes], vector) -> list[tuple[float, list]]:
+        """``vector(i)``: the terms of the i-th text in both spaces."""
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        digests, model = [_digest(t) for t in texts], self.model
-        new = {d: t for d, t in zip(digests, texts) if d not in self.known}
-        nearest = model.nearest([model.cutter.of(t) for t in new.values()], list(new))
+        model = self.model
+        new = {d: i for i, d in enumerate(digests) if d not in self.known}
+        nearest = model.nearest([vector(i) for i in new.values()], list(new))
         scores = model.scores(model.votes(nearest)).tolist() if new else []
         index = model.indexes[0]
         for d, score, (found, cosine) in zip(new, scores, nearest[0]):
@@ -301,10 +339,16 @@ _EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())
 
 
 def _scored(model: Model):
+    """Scores of features."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(model)
         for batch in batches:
-            got = scorer.of(batch.column("text").to_pylist())
+            held = [batch.column(c).to_pylist() for c in ("words", "counts", "told", "told_counts")]
+
+            def vector(i):
+                words, counts, told, told_counts = (np.frombuffer(h[i], "<i4").astype(np.int64) for h in held)
+                return (words, counts), (told, told_counts)
+            got = scorer.of(batch.column("digest").to_pylist(), vector)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([x for x, _ in got], pa.float64()), pa.array([w for _, w in got], _EVIDENCE)],
                 ["doc_id", "score", "evidence"])
@@ -316,7 +360,9 @@ def _kept(model: Model, limit: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(model)
         for batch in batches:
-            yield batch.filter(pa.array([x < limit for x, _ in scorer.of(batch.column("text").to_pylist())], pa.bool_()))
+            texts = batch.column("text").to_pylist()
+            got = scorer.of([_digest(t) for t in texts], lambda i: model.cutter.of(texts[i]))
+            yield batch.filter(pa.array([x < limit for x, _ in got], pa.bool_()))
     return run
 
 
@@ -352,23 +398,23 @@ def examples_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
         _once, "doc_id bigint, toxic int, digest bigint, text string").dropDuplicates(["doc_id", "digest"])
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> Model:
-    """The examples' vectors in both spaces, indexed, and the curve."""
-    examples = saved(examples_of(docs, labels), "toxic-examples")
-    terms, telling = _all_terms(examples), _telling_terms(examples)
-    found = (docs.select("text").mapInArrow(_held_by(terms, telling), "term int, n bigint")
-             .groupBy("term").agg(F.sum("n").alias("n")).toArrow())  # a row for each word of the examples
+def vocabulary(examples: DataFrame) -> _Cutter:
+    """The terms of both spaces."""
+    return _Cutter(_all_terms(examples), _telling_terms(examples))
+
+
+def learn(examples: DataFrame, cutter: _Cutter, held_by: DataFrame) -> Model:
+    """The examples' vectors in both spaces, indexed, and the curve; ``held_by`` has the documents (n) of a task for each term."""
+    found = held_by.groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # a row for each term
     counts = dict(zip(found.column("term").to_pylist(), found.column("n").to_pylist()))
-    total = counts.get(-1, 0)
-    idf = np.array([1 + math.log((1 + total) / (1 + counts.get(t, 0))) for t in range(len(terms) + len(telling))])
+    n_words = len(cutter.terms)
+    idf = np.array([1 + math.log((1 + counts.get(-1, 0)) / (1 + counts.get(t, 0))) for t in range(n_words + TELLING)])
     # EXAMPLES rows; their order decides ties, and does not know the label
     rows = sorted(examples.select("doc_id", "toxic", "text", F.xxhash64("doc_id", "digest").alias("tie")).toArrow().to_pylist(),
                   key=lambda r: (r["tie"], r["doc_id"]))
-    cutter, texts = _Cutter(terms, telling), [_digest(r["text"]) for r in rows]
-    vectors = [cutter.of(r["text"]) for r in rows]
-    cutter.known = {}
+    texts, vectors = [_digest(r["text"]) for r in rows], [cutter.of(r["text"]) for r in rows]
     model = Model(*(Index([v[k] for v in vectors], [r["toxic"] for r in rows], [r["doc_id"] for r in rows], own, texts)
-                    for k, own in enumerate((idf[:len(terms)], idf[len(terms):]))), cutter)
+                    for k, own in enumerate((idf[:n_words], idf[n_words:]))), cutter)
     if rows:
         model.calibrate(model.votes(model.nearest(vectors, texts)))
     return model
@@ -381,9 +427,13 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     the prior, without evidence. Without labels all scores are near 0.
     Repeated rows are scored each, equal texts alike. Nothing but the text enters a score.
     """
-    model = learn(docs, labels)
-    slim = docs.select("doc_id", "text")
-    return slim.mapInArrow(_scored(model), f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, score double, "
+    examples = saved(examples_of(docs, labels), "toxic-examples")
+    cutter = vocabulary(examples)
+    # texts are cut once: what the scores need of them is kept
+    kept = saved(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_features(cutter), _FEATURES), "toxic-features")
+    model = learn(examples, cutter, kept.select("words", "told").mapInArrow(_held_by_features(len(cutter.terms)), "term int, n bigint"))
+    model.cutter = None  # not needed by the tasks
+    return kept.mapInArrow(_scored(model), "doc_id bigint, score double, "
                            "evidence array<struct<doc_id: bigint, cosine: double, toxic: int>>").select(
         "doc_id", held_out().alias("held_out"), "score",
         F.when(F.col("score") >= TOXIC_FROM, 1).otherwise(0).alias("predicted"), "evidence")
@@ -391,4 +441,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs``, all columns, without the rows predicted toxic."""
-    return docs.mapInArrow(_kept(learn(docs, labels), TOXIC_FROM), docs.schema)
+    examples = saved(examples_of(docs, labels), "toxic-examples")
+    cutter = vocabulary(examples)
+    model = learn(examples, cutter, docs.select("text").mapInArrow(_held_by(cutter), "term int, n bigint"))
+    return docs.mapInArrow(_kept(model, TOXIC_FROM), docs.schema)
