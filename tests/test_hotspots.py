@@ -87,3 +87,48 @@ def test_one_long_road_is_one_cluster(spark, cells):
     df = spark.createDataFrame(rows + [(10**6, 30.0, -73.9)], "id long, latitude double, longitude double")
     out = {r.id: r.cluster_id for r in H.cluster_hotspots(df, "id", min_samples=5).collect()}
     assert out.pop(10**6) == -1 and set(out.values()) == {0}
+
+
+def spread(seed, where, n):
+    """Points within a few hundred metres of a place on the sphere, however they are written."""
+    rng = np.random.default_rng(seed)
+    step = 700 / 111_195  # degrees
+    if abs(where[0]) > 89:  # around a pole, some exactly on it
+        away = np.abs(rng.normal(0, step, n))
+        away[:4] = 0
+        lat = np.sign(where[0]) * (90 - away)
+        lon = rng.uniform(-180, 180, n)
+    else:
+        lat = where[0] + rng.normal(0, step, n)
+        lon = where[1] + rng.normal(0, step, n) / np.cos(np.radians(where[0]))
+    lon = (lon + 180) % 360 - 180
+    lon[: n // 3] += 360 * rng.integers(-1, 2, n // 3)  # a full turn more or less is the same place
+    return np.stack([lat, lon], 1)
+
+
+@pytest.mark.parametrize("where, eps", [((-17.0, 180.0), 150), ((90.0, 0.0), 150), ((-90.0, 0.0), 150), ((84.0, 179.9999), 700)])
+def test_across_the_meridian_and_the_poles(spark, where, eps):
+    xy = spread(11, where, 260)
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(xy)], "id long, latitude double, longitude double")
+    got = {r.id: r.cluster_id for r in H.cluster_hotspots(df, "id", min_samples=6, eps_meters=eps).collect()}
+    want = brute_dbscan(xy[:, 0], xy[:, 1], eps, 6)
+    assert [got[i] for i in range(len(xy))] == want.tolist()
+    assert want.max() >= 0
+
+
+def test_large_circles_over_the_whole_globe(spark):
+    """Circles of 900 km: boxes half a turn wide, poles inside circles, cells of many degrees."""
+    rng = np.random.default_rng(12)
+    v = rng.normal(0, 1, (350, 3))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    xy = np.degrees(np.stack([np.arcsin(v[:, 2]), np.arctan2(v[:, 1], v[:, 0])], 1))
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(xy)], "id long, latitude double, longitude double")
+    got = {r.id: r.cluster_id for r in H.cluster_hotspots(df, "id", min_samples=4, eps_meters=900_000).collect()}
+    assert [got[i] for i in range(len(xy))] == brute_dbscan(xy[:, 0], xy[:, 1], 900_000, 4).tolist()
+
+
+def test_neighbours_across_the_meridian(spark):
+    rows = [("a", 1, 10.0, 179.9995), ("a", 2, 10.0, -179.9996), ("a", 3, 10.0, 179.99), ("b", 4, 10.0, 180.0), ("b", 5, 90.0, 5.0), ("b", 6, 90.0, -120.0)]
+    df = spark.createDataFrame(rows, "city string, id long, latitude double, longitude double")
+    got = {r.id: r.has_neighbours for r in H.neighbour_counts(df, ["city"], 2).collect()}
+    assert got == {1: True, 2: True, 3: False, 4: False, 5: True, 6: True}

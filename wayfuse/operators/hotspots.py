@@ -12,8 +12,10 @@ points of a neighbourhood with each other:
   tiles, and only tiles the circle cuts in single sites.
 
 So the number of rows is set by the number of sites and by the geometry, not by
-the square of the number of points in a crowded place. Coordinates must stay
-clear of the poles and of the 180 degree meridian.
+the square of the number of points in a crowded place.
+
+All of this holds on the whole sphere: longitudes are taken modulo a full turn, a circle that holds a pole reaches all
+columns of the rows it meets, and the gap between two boxes is the shorter way round.
 """
 
 from __future__ import annotations
@@ -40,8 +42,21 @@ BOX = {"lat0": ("min", "lat"), "lat1": ("max", "lat"), "lon0": ("min", "lon"), "
 
 # -- geometry, all in radians ------------------------------------------------
 
+def _half_chord(eps: float) -> float:
+    return math.sin(min(eps / EARTH_RADIUS_M, math.pi) / 2)
+
+
 def _side(eps: float) -> float:
-    return eps / EARTH_RADIUS_M / math.sqrt(2) * (1 - 1e-9)
+    """Height of a row: the diagonal of its cells, as a chord, is below that of ``eps``."""
+    return _half_chord(eps) * math.sqrt(2) * (1 - 1e-9)
+
+
+def _on_sphere(df: DataFrame, lat: str, lon: str) -> DataFrame:
+    """``lat`` and ``lon`` in radians; one place has one pair: longitudes from -pi to below pi, 0 at the poles."""
+    phi, turned = F.radians(lat), F.radians(F.pmod(F.col(lon) + 180.0, F.lit(360.0)) - 180.0)
+    # inside the usual range nothing is added and taken away again: the value stays as it was read
+    plain = F.when((F.col(lon) >= -180) & (F.col(lon) < 180), F.radians(lon)).otherwise(turned)
+    return df.withColumns({"lat": phi, "lon": F.when(F.abs(F.col(lat)) >= 90, F.lit(0.0)).otherwise(plain)})
 
 
 def _width(row: Column, side: float) -> Column:
@@ -61,17 +76,23 @@ def haversine(lat_a: Column, lon_a: Column, lat_b: Column, lon_b: Column) -> Col
 
 
 def _limit(eps: float) -> Column:
-    return F.lit(math.sin(eps / EARTH_RADIUS_M / 2) ** 2)
+    return F.lit(_half_chord(eps) ** 2)
 
 
 def _box(prefix: str) -> tuple[Column, ...]:
     return tuple(F.col(prefix + k) for k in BOX)
 
 
+def _gap_lon(a: tuple, b: tuple) -> Column:
+    """Smallest difference in longitude as numbers, the long way round or not."""
+    return F.greatest(F.lit(0.0), b[2] - a[3], a[2] - b[3])
+
+
 def _nearest(a: tuple, b: tuple) -> Column:
     """Not above the smallest haversine between two boxes."""
     gap_lat = F.greatest(F.lit(0.0), b[0] - a[1], a[0] - b[1])
-    gap_lon = F.greatest(F.lit(0.0), b[2] - a[3], a[2] - b[3])
+    round_ = F.lit(2 * math.pi) - (F.greatest(a[3], b[3]) - F.least(a[2], b[2]))
+    gap_lon = F.least(_gap_lon(a, b), F.greatest(F.lit(0.0), round_))
     pole = F.greatest(*[F.abs(x) for x in (a[0], a[1], b[0], b[1])])
     return (_half_sine(gap_lat) + F.cos(pole) * F.cos(pole) * _half_sine(gap_lon)) * (1 - 1e-9)
 
@@ -79,7 +100,9 @@ def _nearest(a: tuple, b: tuple) -> Column:
 def _farthest(a: tuple, b: tuple) -> Column:
     """Not below the largest haversine between two boxes."""
     span_lat = F.greatest(b[1] - a[0], a[1] - b[0])
-    span_lon = F.greatest(b[3] - a[2], a[3] - b[2])
+    span, gap = F.greatest(b[3] - a[2], a[3] - b[2]), _gap_lon(a, b)
+    # the difference runs from gap to span; half a turn is the farthest
+    span_lon = F.when(span <= math.pi, span).when(gap >= math.pi, F.lit(2 * math.pi) - gap).otherwise(F.lit(math.pi))
     equator = F.least(*[F.abs(x) for x in (a[0], a[1], b[0], b[1])])
     return (_half_sine(span_lat) + F.cos(equator) * F.cos(equator) * _half_sine(span_lon)) * (1 + 1e-9)
 
@@ -112,15 +135,29 @@ def _boxes(sites: DataFrame, by: list[str], prefix: str = "") -> DataFrame:
 
 def _probes(df: DataFrame, box: tuple, eps: float) -> DataFrame:
     """Each row once per cell that may hold something within ``eps`` of its box."""
-    side = _side(eps)
+    side, pi = _side(eps), math.pi
     df = df.withColumn("prow", F.explode(F.sequence(F.col("row") - 2, F.col("row") + 2)))
     prow = F.col("prow")
+    df = df.where((prow * side < pi / 2 + side) & ((prow + 1) * side > -pi / 2 - side))
     pole = F.greatest(F.abs(box[0]), F.abs(box[1]), F.abs(prow * side), F.abs((prow + 1) * side))
-    reach = F.lit(eps / EARTH_RADIUS_M * (1 + 1e-6)) / F.cos(pole)
+    share = F.lit(_half_chord(eps)) / F.cos(F.least(pole, F.lit(pi / 2)))
+    reach = F.when((pole >= pi / 2) | (share >= 1), F.lit(pi)).otherwise(2 * F.asin(F.least(share, F.lit(1.0)))) * (1 + 1e-6)
     width = _width(prow, side)
-    first = F.floor((box[2] - reach) / width).cast("long")
-    last = F.floor((box[3] + reach) / width).cast("long")
-    return df.withColumn("pcol", F.explode(F.sequence(first, last)))
+    df = df.withColumns({"_from": box[2] - reach, "_to": box[3] + reach, "_wide": width})
+
+    def columns(first: Column, last: Column) -> Column:
+        a, b = F.floor(first / F.col("_wide")).cast("long"), F.floor(last / F.col("_wide")).cast("long")
+        return F.sequence(a, b)
+    first, last, turn = F.col("_from"), F.col("_to"), F.lit(2 * pi)
+    low, high = F.lit(-pi), F.lit(pi)
+    # columns met the other way round come once more only where the circle crosses the meridian
+    west = F.when(first < low, columns(F.greatest(first + turn, low), high))
+    east = F.when(last >= high, columns(low, F.least(last - turn, high)))
+    none = F.array().cast("array<bigint>")
+    here = columns(F.greatest(first, low), F.least(last, high))
+    met = (F.when((first >= low) & (last < high), here).when(last - first >= turn, columns(low, high))
+           .otherwise(F.array_distinct(F.concat(here, F.coalesce(west, none), F.coalesce(east, none)))))
+    return df.withColumn("pcol", F.explode(met)).drop("_from", "_to", "_wide")
 
 
 # -- how much lies within eps of a site --------------------------------------
@@ -254,7 +291,7 @@ def cluster_hotspots(points: DataFrame, order: str, group: list[str] | None = No
     group = group or []
     g = F.struct(*group) if group else F.struct(F.lit(1).alias("all"))
     need = min_samples if isinstance(min_samples, Column) else F.lit(min_samples)
-    keyed = points.withColumns({"g": g, "lat": F.radians(lat), "lon": F.radians(lon), "_need": need})
+    keyed = _on_sphere(points.withColumns({"g": g, "_need": need}), lat, lon)
     sites = (keyed.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
              .groupBy(*SITE).agg(F.count("*").alias("weight"), F.min(order).alias("first_id"),
                                  F.max("_need").alias("min_samples")))
@@ -289,8 +326,7 @@ def cluster_hotspots(points: DataFrame, order: str, group: list[str] | None = No
 def neighbour_counts(points: DataFrame, group: list[str], at_least: int,
                      eps_meters: float = EPS_METERS) -> DataFrame:
     """``points`` plus whether at least so many points, itself included, lie within eps."""
-    keyed = points.withColumns({"g": F.struct(*group), "lat": F.radians("latitude"),
-                                "lon": F.radians("longitude")})
+    keyed = _on_sphere(points.withColumn("g", F.struct(*group)), "latitude", "longitude")
     sites = keyed.groupBy(*SITE).agg(F.count("*").alias("weight"), F.lit(at_least).alias("min_samples"))
     sites = _with_tiles(_with_cells(sites, eps_meters), eps_meters)
     core = _core_sites(sites, eps_meters).select(*SITE, F.col("core").alias("has_neighbours"))
