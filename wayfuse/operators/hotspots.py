@@ -243,11 +243,14 @@ def _links(core: DataFrame, eps: float) -> DataFrame:
     for level in [*LEVELS, None]:
         near = _nearest(_box("a_"), _box("b_")) <= _limit(eps)
         sure = _farthest(_box("a_"), _box("b_")) <= _limit(eps)
-        judged = pairs.where(near).withColumn("_sure", sure)
+        # read three times: written once
+        judged = saved(pairs.where(near).withColumn("_sure", sure), "judged")
         done = judged.where("_sure").select("g", "node", "to").distinct()
         found = done if found is None else found.unionByName(done)
-        still = judged.where(~F.col("_sure")).select("g", "node", "to", *a_at, *b_at).join(
+        # a side is opened only as far as it can reach the other one's box
+        still = judged.where(~F.col("_sure")).select("g", "node", "to", *a_at, *b_at, *["b_" + k for k in BOX]).join(
             done, ["g", "node", "to"], "left_anti")
+        reached = _nearest(_box("a_"), _box("b_")) <= _limit(eps)
         if level is None:
             def ends(side, at):
                 renamed = {"row": f"{side}_row", "col": f"{side}_col", "lat": f"{side}_lat",
@@ -255,16 +258,20 @@ def _links(core: DataFrame, eps: float) -> DataFrame:
                 renamed.update({c: f"{side}_{c}" for k in LEVELS for c in _tile_columns(k)})
                 return core.withColumnsRenamed(renamed).select("g", *at, f"{side}_lat", f"{side}_lon")
             close = haversine(F.col("a_lat"), F.col("a_lon"), F.col("b_lat"), F.col("b_lon")) <= _limit(eps)
-            last = (still.join(ends("a", a_at), ["g", *a_at]).join(ends("b", b_at), ["g", *b_at])
+            point = (F.col("a_lat"), F.col("a_lat"), F.col("a_lon"), F.col("a_lon"))
+            opened = still.join(ends("a", a_at), ["g", *a_at]).where(_nearest(point, _box("b_")) <= _limit(eps))
+            last = (opened.drop(*["b_" + k for k in BOX]).join(ends("b", b_at), ["g", *b_at])
                     .where(close).select("g", "node", "to").distinct())
             return found.unionByName(last).distinct()
+
         def tiles(side, at):
             cols = _tile_columns(level)
             renamed = {"row": f"{side}_row", "col": f"{side}_col"}
             renamed.update({c: f"{side}_{c}" for k in LEVELS for c in _tile_columns(k)})
             return (_boxes(core.withColumnsRenamed(renamed), ["g", *at, *[f"{side}_{c}" for c in cols]],
                            f"{side}_"))
-        pairs = (still.join(tiles("a", a_at), ["g", *a_at]).join(tiles("b", b_at), ["g", *b_at]))
+        opened = still.join(tiles("a", a_at), ["g", *a_at]).where(reached).drop(*["b_" + k for k in BOX])
+        pairs = opened.join(tiles("b", b_at), ["g", *b_at])
         a_at = a_at + [f"a_{c}" for c in _tile_columns(level)]
         b_at = b_at + [f"b_{c}" for c in _tile_columns(level)]
 
