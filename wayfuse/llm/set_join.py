@@ -34,8 +34,8 @@ SHINGLE, PERCENT = 5, 80
 SPARE_SHARE = 10  # per cent of a set's size, see ``spare``
 BLOCK_SETS = 512  # classes of a block; pairs of blocks are a task's work
 FILTER_BITS = 1 << 25  # of the filter that spares most texts the way to the join
-_SEEN = 200_000
-_WORDS = 500_000
+_SEEN = 50_000
+_WORDS = 100_000
 _MU = 0.0005  # cost of a probe against a merge step: all long lists are probed at once
 
 
