@@ -19,7 +19,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
-        QUERIES[name] = lambda spark, sf_dir: fn(prepare(spark), sf_dir)
+        QUERIES[name] = lambda spark, sf_dir: fn(prepare(spark, feeds=True), sf_dir)
         if sql is not None:
             ORACLES[name] = with_ctes(sql)
         return fn

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from wayfuse.functions.scalars import to_bool, to_double, to_whole
 from wayfuse.functions.timeparse import with_utc
+from wayfuse.session import setting
 from wayfuse.spec import ADAPTERS, CANONICAL, PARTITION_KEYS
 from wayfuse.sources.datasets import data_files, read_staged
 
@@ -78,18 +79,25 @@ def write_staged(staged: DataFrame, path: str) -> str:
     return path
 
 
-def write_partitioned(df: DataFrame, path: str) -> str:
-    """Replace ``path`` with a dataset laid out by source, year and month.
+def write_folders(df: DataFrame, path: str, mode: str = "error") -> str:
+    """A dataset laid out by source, year and month.
 
     The rebalance hint brings a folder's rows together, so a small folder is
     one file, and lets the runtime split a source or month that holds most of
-    the data over many tasks.
+    the data over many tasks. A task has few folders and keeps their files open
+    side by side: its rows need no sort, which would spill; only those of
+    folders past the limit are sorted.
     """
-    (df.hint("rebalance", *PARTITION_KEYS)
-     .write.mode("overwrite").partitionBy(*PARTITION_KEYS).parquet(path))
+    with setting(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", "32"):
+        df.hint("rebalance", *PARTITION_KEYS).write.mode(mode).partitionBy(*PARTITION_KEYS).parquet(path)
     return path
 
 
+def write_partitioned(df: DataFrame, path: str) -> str:
+    """Replace ``path`` with a dataset laid out by source, year and month."""
+    return write_folders(df, path, "overwrite")
+
+
 @dataclass(frozen=True)
 class Candidate:
     """A written but not yet audited curated dataset."""

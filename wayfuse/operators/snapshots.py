@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayfuse.operators.curate import write_folders
 from wayfuse.operators.merging import NATURAL_KEY, require_unique, upsert
 from wayfuse.spec import PARTITION_KEYS
 
@@ -121,7 +122,7 @@ def _put(spark: SparkSession, root: str, rows: DataFrame) -> tuple[str, list[str
     """Rows as a new version: its id and the folders it has."""
     version = uuid.uuid4().hex
     target = f"{root}/data/version={version}"
-    rows.hint("rebalance", *PARTITION_KEYS).write.partitionBy(*PARTITION_KEYS).parquet(target)
+    write_folders(rows, target)
     return version, _folders(spark, target)
 
 
