@@ -19,7 +19,7 @@ from wayfuse.plans import landing as L
 from wayfuse.plans.analytics import month_slice
 from wayfuse.plans.bindings import curated, raw_events, raw_lineitem, raw_orders, staged, table
 from wayfuse.plans.samples import FIRST_RUN, SECOND_RUN, at, check_log, check_results, freshness_results
-from wayfuse.session import scratch_path
+from wayfuse.session import saved, scratch_path
 from wayfuse.sources import datasets as DS
 from wayfuse.sources import files as FL
 from wayfuse.sources import text as TX
@@ -473,8 +473,9 @@ def inc01(spark, sf):
 def inc02(spark, sf):
     rows, root = curated(spark, sf), scratch_path(spark, "fact")
     SN.replace(spark, root, _before(rows, 45))
+    pulled = saved(_amended(rows), "pulled")
     for _ in range(2):
-        SN.merge(spark, root, _amended(rows), at(SECOND_RUN))
+        SN.merge(spark, root, pulled, at(SECOND_RUN))
     return SN.read(spark, root).select("crash_id", "severity", "batch_id", "ingested_at_utc")
 
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from wayfuse.operators.curate import write_folders
 from wayfuse.operators.merging import NATURAL_KEY, require_unique, upsert
+from wayfuse.session import dropped, saved
 from wayfuse.spec import PARTITION_KEYS
 
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder of rows without a partition value
@@ -169,10 +170,19 @@ def merge(spark: SparkSession, root: str, incoming: DataFrame, now: Column | Non
     the beginning. A merge that is run again, after a failure or not, gives the same rows.
     """
     root, parent = root.rstrip("/"), current(spark, root)
-    require_unique(incoming, NATURAL_KEY)
     if parent is None:
+        require_unique(incoming, NATURAL_KEY)
         stamped = incoming.withColumn("ingested_at_utc", F.current_timestamp() if now is None else now)
         return replace(spark, root, stamped)
+    incoming = saved(incoming, "incoming")  # used five times: what it takes to derive the rows is done once
+    try:
+        return _merge_into(spark, root, parent, incoming, now)
+    finally:
+        dropped(incoming)
+
+
+def _merge_into(spark: SparkSession, root: str, parent: Snapshot, incoming: DataFrame, now: Column | None) -> Snapshot:
+    require_unique(incoming, NATURAL_KEY)
     existing = _like(read(spark, parent), incoming)
     held = existing.join(incoming.select(*NATURAL_KEY), NATURAL_KEY, "left_semi")
     # one row per folder: its number is that of the folders of the table
