@@ -8,6 +8,7 @@ from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from wayfuse.catalog.registry import QUERIES, query
+from wayfuse.operators import checks as C
 from wayfuse.operators import snapshots as SN
 from wayfuse.operators.curate import write_partitioned
 from wayfuse.session import prepare, setting
@@ -37,6 +38,35 @@ def test_folders_are_written_side_by_side_not_sorted(spark, tmp_path, monkeypatc
         assert len(counted) == 60 and {(r.n, r.files) for r in counted} == {(100, 1)}
 
 
+def test_a_merge_derives_its_batch_once(spark, tmp_path):
+    root, made = str(tmp_path / "table"), spark.sparkContext.accumulator(0)
+
+    def key(n):
+        made.add(1)
+        return f"r{n}"
+
+    rows = _rows(spark, 60).withColumn("source_record_id", F.concat(F.lit("r"), "id")).withColumn("ingested_at_utc", F.lit("2026-01-01").cast("timestamp"))
+    SN.replace(spark, root, rows)
+    SN.merge(spark, root, rows.where("id < 5").withColumn("source_record_id", F.udf(key)("id")))
+    assert made.value == 5 and SN.read(spark, root).count() == 60
+
+
+def test_only_unlisted_values_are_gathered(spark, tmp_path):
+    path = str(tmp_path / "staged")
+    spark.sql("SELECT 's' AS source_id, 'b' AS batch_id, explode(array('fatal', 'awful', null)) AS severity, 'US' AS country").write.parquet(path)
+    out = C.accepted_samples(spark.read.parquet(path))
+    assert "Not(In(severity" in out._jdf.queryExecution().executedPlan().toString()
+    assert [r.asDict() for r in out.collect()] == [{"source_id": "s", "batch_id": "b", "sample_severity": "awful", "sample_country": ""}]
+
+
+def test_crash_times_without_a_police_time_are_not_parsed(spark):
+    rows = spark.sql("""SELECT 'chicago_us' AS source_id, 'b' AS batch_id, c AS crash_timestamp_utc, p AS police_notified_timestamp_utc FROM VALUES
+      ('1/2/2024 3:04:05 PM', '1/2/2024 3:04:04 PM'), ('1/2/2024 3:04:05 PM', null), ('x', '1/2/2024 3:04:04 PM'), ('1/2/2024 3:04:05 PM', 'x') AS t(c, p)""")
+    out = C.batch_counters(rows, ("date_logic_check",))
+    assert "CASE WHEN isnotnull(police" in out._jdf.queryExecution().analyzed().toString()
+    assert out.select("n", "dates_both", "dates_inverted").collect() == [(4, 1, 1)]
+
+
 def test_a_setting_is_put_back_after_an_error(spark):
     before = spark.conf.get(WRITERS)
     try:

@@ -7,6 +7,9 @@ rows to the driver: a result is a small DataFrame.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -113,8 +116,10 @@ def batch_counters(staged: DataFrame, only: tuple[str, ...], adapters: dict = AD
             counters.update(build(columns))
     dates = date_logic_counters(columns) if "date_logic_check" in only else {}
     if dates:
-        staged = staged.withColumns({"_crash": _wall_clock(TIME_COLUMNS[0], adapters),
-                                     "_police": _wall_clock(TIME_COLUMNS[1], adapters)})
+        # a crash time is only looked at beside a police time, so the others are not parsed
+        both = F.col(TIME_COLUMNS[1]).isNotNull()
+        staged = staged.withColumns({"_crash": F.when(both, _wall_clock(TIME_COLUMNS[0], adapters)),
+                                     "_police": F.when(both, _wall_clock(TIME_COLUMNS[1], adapters))})
     counters.update(dates)
     return staged.groupBy(*BATCH).agg(*[c.alias(k) for k, c in counters.items()])
 
@@ -186,12 +191,11 @@ def accepted_result(columns: list[str]) -> Column:
 def accepted_samples(staged: DataFrame, limit: int = 5) -> DataFrame:
     """Up to five bad values per column and batch; the limit acts before the shuffle."""
     columns = [c for c in ACCEPTED_VALUES if c in staged.columns]
+    unlisted = {c: ~F.col(c).isin(*ACCEPTED_VALUES[c]) for c in columns}
     pairs = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"),
-                 F.when(~F.col(c).isin(*ACCEPTED_VALUES[c]), F.col(c)).alias("value"))
-        for c in columns]))
+        F.struct(F.lit(c).alias("column"), F.when(unlisted[c], F.col(c)).alias("value")) for c in columns]))
     w = W.partitionBy(*BATCH, "column").orderBy("value")
-    bad = (staged.select(*BATCH, pairs.alias("p")).select(*BATCH, "p.column", "p.value")
+    bad = (staged.where(reduce(or_, unlisted.values())).select(*BATCH, pairs.alias("p")).select(*BATCH, "p.column", "p.value")
            .where(F.col("value").isNotNull()).distinct()
            .withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= limit))
     return bad.groupBy(*BATCH).agg(*[
