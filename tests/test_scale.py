@@ -8,9 +8,10 @@ from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from wayfuse.catalog.registry import QUERIES, query
+from wayfuse.functions.scalars import to_whole
 from wayfuse.operators import checks as C
 from wayfuse.operators import snapshots as SN
-from wayfuse.operators.curate import write_partitioned
+from wayfuse.operators.curate import drop_without, write_partitioned, write_staged
 from wayfuse.session import prepare, setting
 
 WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
@@ -91,3 +92,34 @@ def test_feeds_are_read_in_narrow_splits(spark, tmp_path):
         del QUERIES["test_splits"]
         prepare(spark)
     assert spark.conf.get(SPLIT) == usual
+
+
+def test_rows_without_time_are_dropped_in_generated_code(spark):
+    rows = spark.range(4).select("id", F.when(F.col("id") % 2 == 0, F.col("id").cast("timestamp")).alias("t"))
+    out = drop_without(rows, "t")
+    assert "lambda" not in out._jdf.queryExecution().executedPlan().toString()
+    assert [(r.id, r.t is None) for r in out.orderBy("id").collect()] == [(0, False), (2, False)] and out.columns == ["id", "t"]
+
+
+def test_whole_numbers_are_read_as_such_and_the_rest_as_before(spark):
+    cells = ["5", " 5 ", "+5", "-0", "007", "2.0", "2.5", "5.", "1e3", "1d", "3000000000", "2147483648", "-2147483648", "", " ", "x", "NaN", "Infinity", None]
+    got = spark.createDataFrame([(i, c) for i, c in enumerate(cells)], "i int, c string").select("i", to_whole(F.col("c")).alias("v"))
+    d = F.trim("c").try_cast("double")
+    want = spark.createDataFrame([(i, c) for i, c in enumerate(cells)], "i int, c string").select(
+        "i", F.when(d == F.floor(d), d.try_cast("int")).alias("v"))
+    assert "coalesce(try_cast(trim(c" in got._jdf.queryExecution().analyzed().toString().lower()
+    assert got.orderBy("i").collect() == want.orderBy("i").collect()
+    assert [r.v for r in got.orderBy("i").collect()][:8] == [5, 5, 5, 0, 7, 2, None, 5]
+
+
+def test_keys_that_never_repeat_get_no_dictionary(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    rows = _rows(spark, 100, 1).withColumns({c: F.col("id").cast("string") for c in ("crash_id", "source_record_id")}).withColumn("city", F.lit("c"))
+    plain = {"crash_id": False, "source_record_id": False, "city": True}
+    for root in (write_partitioned(rows, str(tmp_path / "folders")), write_staged(rows, str(tmp_path / "staged"))):
+        file = next(os.path.join(d, f) for d, _, names in os.walk(root) for f in names if f.endswith(".parquet"))
+        group = pq.ParquetFile(file).metadata.row_group(0)
+        found = {group.column(i).path_in_schema: any("DICTIONARY" in e for e in group.column(i).encodings) for i in range(group.num_columns)}
+        assert {c: found[c] for c in plain} == plain
+        assert spark.read.parquet(root).select("crash_id").distinct().count() == 100

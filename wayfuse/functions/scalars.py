@@ -24,9 +24,12 @@ def to_int(c: Column) -> Column:
 
 
 def to_whole(c: Column) -> Column:
-    """Integer in a text cell; a fractional number is no integer and gives null."""
+    """Integer in a text cell; a fractional number is no integer and gives null.
+
+    Most cells are plain digits; only the others ('2.0', '1e3') are read as doubles.
+    """
     d = to_double(c)
-    return F.when(d == F.floor(d), d.try_cast("int"))
+    return F.coalesce(F.trim(c).try_cast("int"), F.when(d == F.floor(d), d.try_cast("int")))
 
 
 def to_bool(c: Column) -> Column:

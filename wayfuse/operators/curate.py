@@ -15,6 +15,8 @@ from wayfuse.spec import ADAPTERS, CANONICAL, PARTITION_KEYS
 from wayfuse.sources.datasets import data_files, read_staged
 
 
+# No value of these comes twice: a dictionary of them is built, hashed row by row, and thrown away.
+_PLAIN = {f"parquet.enable.dictionary#{c}": "false" for c in ("crash_id", "source_record_id")}
 TIME_COLUMNS = ["crash_timestamp_utc", "police_notified_timestamp_utc"]
 
 
@@ -42,12 +44,13 @@ def cast_canonical(staged: DataFrame, adapters: dict = ADAPTERS) -> DataFrame:
 def drop_without(df: DataFrame, column: str) -> DataFrame:
     """Rows in which ``column`` is not null.
 
-    Exploding a one-element array does what a null filter does, but the value
-    is computed once: a filter would be pushed below the projection that
-    computes it, and the whole time conversion would run twice per row.
+    Exploding a one-element array, or none, does what a null filter does, but the
+    value is computed once: a filter would be pushed below the projection that
+    computes it, and the whole time conversion would run twice per row. A CASE has
+    generated code; a lambda (``array_compact``) has none and costs two copies of the row.
     """
     order = df.columns
-    value = F.explode(F.array_compact(F.array(column))).alias(column)
+    value = F.explode(F.when(F.col(column).isNotNull(), F.array(column))).alias(column)
     return df.select(*[c for c in order if c != column], value).select(*order)
 
 
@@ -75,7 +78,7 @@ def exclusion_counts(staged: DataFrame, adapters: dict = ADAPTERS) -> DataFrame:
 
 def write_staged(staged: DataFrame, path: str) -> str:
     """Replace the staged dataset of one source and batch."""
-    staged.write.mode("overwrite").parquet(path)
+    staged.write.mode("overwrite").options(**_PLAIN).parquet(path)
     return path
 
 
@@ -89,7 +92,7 @@ def write_folders(df: DataFrame, path: str, mode: str = "error") -> str:
     folders past the limit are sorted.
     """
     with setting(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", "32"):
-        df.hint("rebalance", *PARTITION_KEYS).write.mode(mode).partitionBy(*PARTITION_KEYS).parquet(path)
+        df.hint("rebalance", *PARTITION_KEYS).write.mode(mode).options(**_PLAIN).partitionBy(*PARTITION_KEYS).parquet(path)
     return path
 
 
