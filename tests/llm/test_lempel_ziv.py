@@ -65,3 +65,24 @@ def test_removal_keeps_the_rest(spark):
     assert got.columns == SCHEMA.replace(" long", "").replace(" string", "").split(", ")
     assert {r.doc_id: (r.text, r.n_chars) for r in got.collect()} == {
         1: ("Head one.\nTail.", 15), 2: ("end", 3), 3: ("alone\n here", 11)}
+
+
+def test_a_task_holds_little_beside_its_text():
+    """Words and hashes of 11 MB of text are not held at once."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    def batches():
+        for _ in range(10):
+            texts = [" ".join(f"w{k % 999}" for k in range(j, j + 10000)).encode() for j in range(23)]
+            ids = pa.array(range(len(texts)), pa.int64())
+            yield pa.RecordBatch.from_arrays([ids, ids, pa.array(texts, pa.binary())], ["id", "digest", "_text"])
+
+    tracemalloc.start()
+    try:
+        assert sum(b.num_rows for b in lempel_ziv._filed(8, 35, 8)(batches())) >= 8
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 120 << 20, peak >> 20
