@@ -86,3 +86,13 @@ def test_a_task_holds_little_beside_its_text():
     finally:
         tracemalloc.stop()
     assert peak < 120 << 20, peak >> 20
+
+
+def test_hashes_are_not_shuffled_beside_texts(spark):
+    """The runs of repeated windows are a written table by the time texts are joined with them."""
+    settings(spark)
+    rows = [(i, " ".join(f"x{k}" for k in range(i, 60)), "en", "s", 0) for i in range(3)]
+    done = lempel_ziv.remove_spans(spark.createDataFrame(rows, SCHEMA))
+    plan = done._jdf.queryExecution().toString()
+    assert "FlatMapGroupsInArrow" not in plan and "repeated-windows" in plan
+    assert done.count() == 3

@@ -67,3 +67,23 @@ def test_near_duplicates_at_a_similarity_of_0_8_go(spark):
     assert not got & gone
     near = {i for i in set(range(len(texts))) - got - gone}  # linked by fingerprints alone: not far from 0.8
     assert all(any(len(sets[i] & sets[j]) >= 0.7 * len(sets[i] | sets[j]) for j in range(len(texts)) if j != i) for i in near)
+
+
+def test_near_duplicates_leave_no_sets_behind(spark):
+    """Of what the join of sets wrote only small tables stay, and of what was shuffled for them nothing."""
+    from pathlib import Path
+
+    def shuffled():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {b for b in (blocks.apply(i).name() for i in range(blocks.size())) if b.startswith("shuffle")}
+
+    def written():
+        return {p.name for p in Path(spark.conf.get("spark.checkpoint.dir"), "wayfuse").glob("*")}
+    settings(spark)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    before, had = shuffled(), written()
+    done = corpus_pipeline.near_duplicates(spark, docs, SF)
+    left = {n.rsplit("-", 1)[0] for n in written() - had}
+    assert "sets-rows" in left and not left & {"sets-posted", "sets-held", "sets-meetings"}
+    assert not {b for b in shuffled() - before if b.endswith((".data", "_0")) }
+    assert 0 < done.count() < docs.count()

@@ -29,6 +29,7 @@ from pyspark.sql import Window as W
 from wayfuse.llm.common import apart, saved, text_bytes
 from wayfuse.llm.simhash import one_of_each_group
 from wayfuse.operators.components import components
+from wayfuse.session import dropped
 
 SHINGLE, PERCENT = 5, 80
 SPARE_SHARE = 10  # per cent of a set's size, see ``spare``
@@ -369,7 +370,10 @@ def links(docs: DataFrame, summary: DataFrame, classes: DataFrame, words_each: i
     work = _tasks(members, block_sets).join(held.select("cls", "held"), "cls")
     found = (work.select("task", "side", "cls", "label", "held").repartition("task").sortWithinPartitions("task")
              .mapInArrow(_searched(percent), _EDGES))
-    return saved(found, "sets-found").union(joined.select(F.col("node").alias("a"), F.col("component").alias("b")))
+    found = saved(found, "sets-found")
+    for part in (held, meetings, known, members):  # as large as the sets, and read by nothing else
+        dropped(part)
+    return found.union(joined.select(F.col("node").alias("a"), F.col("component").alias("b")))
 
 
 def near_sets(docs: DataFrame, words_each: int = SHINGLE, percent: int = PERCENT, block_sets: int = BLOCK_SETS) -> DataFrame:
@@ -393,7 +397,9 @@ def _named(docs: DataFrame, words_each: int, percent: int, block_sets: int) -> t
     member = saved(classes.join(joined, F.col("cls") == F.col("node"), "left")
                    .select("cls", "least", F.coalesce("component", "cls").alias("component")), "set-members")
     least = member.groupBy("component").agg(F.min("least").alias("component_id"))
-    return summary.select("doc_id", "n", "cls"), saved(member.join(least, "component").select("cls", "component", "component_id"), "set-components")
+    rows = saved(summary.select("doc_id", "n", "cls"), "sets-rows")
+    dropped(summary)  # with all posted shingles
+    return rows, saved(member.join(least, "component").select("cls", "component", "component_id"), "set-components")
 
 
 def one_of_each(docs: DataFrame, words_each: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
