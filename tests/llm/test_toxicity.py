@@ -1,4 +1,5 @@
 import math
+import os
 import random
 import zlib
 from collections import Counter
@@ -161,3 +162,20 @@ def test_no_document_is_scored_by_its_own_label(spark):
     assert votes[0] == votes[1]
     got = {r.doc_id: r.score for r in toxicity.toxicity_scores(docs(spark, rows), spark.createDataFrame(labels, schema)).collect()}
     assert got[one] == got[500]
+
+
+def test_the_driver_does_not_index(spark, monkeypatch):
+    """The examples are worked on by a task; the driver hands the model on."""
+    settings(spark)
+    rows, labels = corpus(random.Random(9), 120)
+    told = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+    driver, index = os.getpid(), toxicity.Index.__init__
+
+    def elsewhere(self, *args):
+        assert os.getpid() != driver
+        index(self, *args)
+    want = sorted(r.doc_id for r in toxicity.drop_toxic(docs(spark, rows), told).collect())
+    monkeypatch.setattr(toxicity.Index, "__init__", elsewhere)
+    assert sorted(r.doc_id for r in toxicity.drop_toxic(docs(spark, rows), told).collect()) == want
+    assert 0 < len(want) < len(rows)

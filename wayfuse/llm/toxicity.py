@@ -21,12 +21,14 @@ from __future__ import annotations
 
 import hashlib
 import math
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +43,7 @@ TOXIC_FROM = 0.7
 EVIDENCE = 5
 AT_ONCE = 64  # documents scored together
 REMEMBERED = 4096  # scores kept for equal texts
+PART = 4 << 20  # bytes of a learnt model in a row
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -338,10 +341,10 @@ class _Scorer:
 _EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
 
 
-def _scored(model: Model):
+def _scored(model: bytes):
     """Scores of features."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _Scorer(model)
+        scorer = _Scorer(_unpacked(model))
         for batch in batches:
             held = [batch.column(c).to_pylist() for c in ("words", "counts", "told", "told_counts")]
 
@@ -355,13 +358,13 @@ def _scored(model: Model):
     return run
 
 
-def _kept(model: Model, limit: float):
+def _kept(model: bytes, cutter: _Cutter, limit: float):
     """The rows, as they are, that score below ``limit``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _Scorer(model)
+        scorer = _Scorer(_unpacked(model))
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            got = scorer.of([_digest(t) for t in texts], lambda i: model.cutter.of(texts[i]))
+            got = scorer.of([_digest(t) for t in texts], lambda i: cutter.of(texts[i]))
             yield batch.filter(pa.array([x < limit for x, _ in got], pa.bool_()))
     return run
 
@@ -403,15 +406,12 @@ def vocabulary(examples: DataFrame) -> _Cutter:
     return _Cutter(_all_terms(examples), _telling_terms(examples))
 
 
-def learn(examples: DataFrame, cutter: _Cutter, held_by: DataFrame) -> Model:
-    """The examples' vectors in both spaces, indexed, and the curve; ``held_by`` has the documents (n) of a task for each term."""
-    found = held_by.groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # a row for each term
-    counts = dict(zip(found.column("term").to_pylist(), found.column("n").to_pylist()))
+def _fitted(rows: list[dict], counts: dict[int, int], cutter: _Cutter) -> Model:
+    """The model of the examples ``rows``; ``counts`` has the documents with each term."""
     n_words = len(cutter.terms)
     idf = np.array([1 + math.log((1 + counts.get(-1, 0)) / (1 + counts.get(t, 0))) for t in range(n_words + TELLING)])
     # EXAMPLES rows; their order decides ties, and does not know the label
-    rows = sorted(examples.select("doc_id", "toxic", "text", F.xxhash64("doc_id", "digest").alias("tie")).toArrow().to_pylist(),
-                  key=lambda r: (r["tie"], r["doc_id"]))
+    rows = sorted(rows, key=lambda r: (r["tie"], r["doc_id"]))
     texts, vectors = [_digest(r["text"]) for r in rows], [cutter.of(r["text"]) for r in rows]
     model = Model(*(Index([v[k] for v in vectors], [r["toxic"] for r in rows], [r["doc_id"] for r in rows], own, texts)
                     for k, own in enumerate((idf[:n_words], idf[n_words:]))), cutter)
@@ -420,6 +420,55 @@ def learn(examples: DataFrame, cutter: _Cutter, held_by: DataFrame) -> Model:
     return model
 
 
+def _packed(model: Model) -> bytes:
+    """What the model holds, but for the cutter, which the driver has."""
+    return pickle.dumps(([vars(index) for index in model.indexes], model.curve), pickle.HIGHEST_PROTOCOL)
+
+
+def _unpacked(held: bytes, cutter: _Cutter | None = None) -> Model:
+    indexes, curve = pickle.loads(held)
+    made = [Index.__new__(Index) for _ in indexes]
+    for index, own in zip(made, indexes):
+        vars(index).update(own)
+    model = Model(*made, cutter)
+    model.curve = curve
+    return model
+
+
+def _learnt(cutter: _Cutter):
+    """Examples and counts of terms, all rows in one task, to the parts of the pickled model."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, counts = [], {}
+        for batch in batches:
+            counted = batch.column("term").is_valid()
+            some = batch.filter(counted)
+            counts.update(zip(some.column("term").to_pylist(), some.column("n").to_pylist()))
+            rows += batch.filter(pa.compute.invert(counted)).select(["doc_id", "toxic", "text", "tie"]).to_pylist()
+        held = _packed(_fitted(rows, counts, cutter))
+        for part, at in enumerate(range(0, len(held), PART)):
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([held[at:at + PART]], pa.binary())], ["part", "held"])
+    return run
+
+
+def learnt(examples: DataFrame, cutter: _Cutter, held_by: DataFrame) -> bytes:
+    """The examples' vectors in both spaces, indexed, and the curve; ``held_by`` has the documents (n) of a task for each term.
+
+    A task makes the model of the ``EXAMPLES`` rows, and the driver hands it on as it is: working on them takes
+    many times the size of the model.
+    """
+    drawn = examples.select("doc_id", "toxic", "text", F.xxhash64("doc_id", "digest").alias("tie"))
+    counts = held_by.groupBy("term").agg(F.sum("n").alias("n"))  # a row for each term
+    parts = (drawn.unionByName(counts, allowMissingColumns=True).coalesce(1)
+             .mapInArrow(_learnt(cutter), "part int, held binary").toArrow())
+    by_part = dict(zip(parts.column("part").to_pylist(), parts.column("held").to_pylist()))
+    return b"".join(by_part[i] for i in sorted(by_part)) or _packed(_fitted([], {}, cutter))
+
+
+def learn(examples: DataFrame, cutter: _Cutter, held_by: DataFrame) -> Model:
+    """The model of ``learnt``."""
+    return _unpacked(learnt(examples, cutter, held_by), cutter)
+
+
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence of every document.
 
@@ -431,8 +480,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     cutter = vocabulary(examples)
     # texts are cut once: what the scores need of them is kept
     kept = saved(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_features(cutter), _FEATURES), "toxic-features")
-    model = learn(examples, cutter, kept.select("words", "told").mapInArrow(_held_by_features(len(cutter.terms)), "term int, n bigint"))
-    model.cutter = None  # not needed by the tasks
+    model = learnt(examples, cutter, kept.select("words", "told").mapInArrow(_held_by_features(len(cutter.terms)), "term int, n bigint"))
     return kept.mapInArrow(_scored(model), "doc_id bigint, score double, "
                            "evidence array<struct<doc_id: bigint, cosine: double, toxic: int>>").select(
         "doc_id", held_out().alias("held_out"), "score",
@@ -443,5 +491,5 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs``, all columns, without the rows predicted toxic."""
     examples = saved(examples_of(docs, labels), "toxic-examples")
     cutter = vocabulary(examples)
-    model = learn(examples, cutter, docs.select("text").mapInArrow(_held_by(cutter), "term int, n bigint"))
-    return docs.mapInArrow(_kept(model, TOXIC_FROM), docs.schema)
+    model = learnt(examples, cutter, docs.select("text").mapInArrow(_held_by(cutter), "term int, n bigint"))
+    return docs.mapInArrow(_kept(model, cutter, TOXIC_FROM), docs.schema)
