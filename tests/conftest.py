@@ -1,6 +1,7 @@
 import pytest
 
 from wayfuse import build_session
+from wayfuse.session import prepare
 
 
 @pytest.fixture(scope="session")
@@ -12,3 +13,10 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(autouse=True)
+def own_settings(spark):
+    """A query leaves the settings of the feeds with the session it shares; the next test begins without them."""
+    yield
+    prepare(spark)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from wayfuse.operators import hotspots as H
 from wayfuse.operators import profile as P
+from wayfuse.session import setting
 
 
 @pytest.mark.parametrize("most", [0, 1, 37, 500, 10_000])
@@ -70,3 +71,13 @@ def test_report_scans_the_table_five_times_at_most(spark, tmp_path):
     assert got["district_summary", "all", "n_districts"][0] == 1 and got["injuries", "all", "rows_without_injury_data"][0] == 1
     P.write_report(spark.read.parquet(str(tmp_path / "t")), str(tmp_path / "out"), now=F.lit("2021-01-01").cast("timestamp"))
     assert P.read_report(spark, str(tmp_path / "out")).count() == report.count()
+
+
+def test_row_sample_sends_no_rows_to_meet_the_last_ones(spark):
+    """However large the estimate: one row per group meets the rows where they lie."""
+    df = spark.range(500).select(F.col("id").cast("string").alias("id"), F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"))
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        out = H.sampled_rows(df, "id", 3, 40, ["g"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+        assert sorted((r.g is None, r.g or 0, r["count"]) for r in out.groupBy("g").count().collect()) == [(False, 1, 40), (False, 2, 40), (True, 0, 40)]

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
+import wayfuse.session as S
 from wayfuse.catalog.registry import QUERIES, query
 from wayfuse.functions.scalars import to_whole
 from wayfuse.operators import checks as C
@@ -123,3 +125,50 @@ def test_keys_that_never_repeat_get_no_dictionary(spark, tmp_path):
         found = {group.column(i).path_in_schema: any("DICTIONARY" in e for e in group.column(i).encodings) for i in range(group.num_columns)}
         assert {c: found[c] for c in plain} == plain
         assert spark.read.parquet(root).select("crash_id").distinct().count() == 100
+
+
+@pytest.fixture
+def large(monkeypatch):
+    """Tables of a few kilobytes count as large."""
+    monkeypatch.setattr(S, "_ROUND_BYTES", 100)
+
+
+def _stored(spark, path, rows):
+    rows.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _files(root):
+    return [f"{d}/{f}" for d, _, names in os.walk(root) for f in names if f.startswith("part-")]
+
+
+def test_a_large_dataset_is_written_in_rounds_that_leave_no_shuffle(spark, tmp_path, monkeypatch, large):
+    rows = _stored(spark, str(tmp_path / "rows"), _rows(spark).withColumn("source_record_id", F.when(F.col("id") % 7 > 0, F.col("id") % 1000)))
+    seen, put = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (
+        seen.append(spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")), put(self, *a, **k))[1])
+    root = write_partitioned(rows, str(tmp_path / "out"), repeatable=True)
+    assert seen == ["true"] * S._MOST_ROUNDS and os.path.exists(f"{root}/_SUCCESS")
+    columns = ["id", "source_record_id", "source_id", "year", "month"]
+    assert sorted(map(str, spark.read.parquet(root).select(*columns).collect())) == sorted(map(str, rows.select(*columns).collect()))
+    write_partitioned(rows, root)  # rows that may differ each time are derived once
+    assert len(seen) == S._MOST_ROUNDS + 1 and spark.read.parquet(root).count() == 6000
+
+
+def test_a_write_that_ends_between_rounds_is_not_marked_as_complete(spark, tmp_path, monkeypatch, large):
+    rows = _stored(spark, str(tmp_path / "rows"), _rows(spark, 600).withColumn("source_record_id", F.col("id")))
+    put = DataFrameWriter.parquet
+
+    def lost(self, path, *a, **k):
+        if _files(path):
+            raise OSError("lost")
+        return put(self, path, *a, **k)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lost)
+    with pytest.raises(OSError):
+        write_partitioned(rows, str(tmp_path / "out"), repeatable=True)
+    assert _files(tmp_path / "out") and not os.path.exists(tmp_path / "out" / "_SUCCESS")
+
+
+def test_small_tables_and_frames_without_files_take_one_round(spark, tmp_path):
+    assert S.rounds_for(_stored(spark, str(tmp_path / "rows"), _rows(spark))) == 1
+    assert S.rounds_for(spark.createDataFrame([(1,)], "n int"), spark.range(5)) == 1

@@ -272,7 +272,7 @@ def snk01(spark, sf):
 @query("snk02_partitioned_write", """
 SELECT source_id, year, month, count(*) AS n, sum(num_injured_total)::BIGINT AS injured, min(crash_timestamp_utc) AS first FROM curated GROUP BY ALL""")
 def snk02(spark, sf):
-    root = write_partitioned(curated(spark, sf), scratch_path(spark, "curated"))
+    root = write_partitioned(curated(spark, sf), scratch_path(spark, "curated"), repeatable=True)
     return spark.read.parquet(root).groupBy(F.col("source_id").cast("string").alias("source_id"), "year", "month").agg(
         F.count("*").alias("n"), F.sum("num_injured_total").alias("injured"), F.min("crash_timestamp_utc").alias("first"))
 
@@ -288,7 +288,7 @@ def snk03(spark, sf):
 def snk04(spark, sf):
     live = scratch_path(spark, "live") + "/fact"
     write_partitioned(curated(spark, sf, "nyc_us"), live)
-    PB.publish(spark, write_partitioned(curated(spark, sf), scratch_path(spark, "candidate")), live)
+    PB.publish(spark, write_partitioned(curated(spark, sf), scratch_path(spark, "candidate"), repeatable=True), live)
     return spark.read.parquet(live).groupBy(F.col("source_id").cast("string").alias("source_id"), "severity").agg(
         F.count("*").alias("n"))
 
@@ -325,7 +325,7 @@ def snk04b(spark, sf):
     root = scratch_path(spark, "table")
     old = SN.replace(spark, root, curated(spark, sf, "nyc_us"))
     before = SN.read(spark, old)
-    SN.publish(spark, write_partitioned(curated(spark, sf), scratch_path(spark, "candidate")), root)
+    SN.publish(spark, write_partitioned(curated(spark, sf), scratch_path(spark, "candidate"), repeatable=True), root)
     both = before.select(F.lit("before").alias("state"), F.col("source_id").cast("string")).unionByName(
         SN.read(spark, root).select(F.lit("now").alias("state"), F.col("source_id").cast("string")))
     return both.groupBy("state", "source_id").agg(F.count("*").alias("n"))

@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 
 from wayfuse.functions.scalars import to_bool, to_double, to_whole
 from wayfuse.functions.timeparse import with_utc
-from wayfuse.session import setting
+from wayfuse.session import in_rounds, rounds_for, setting, unshuffled
 from wayfuse.spec import ADAPTERS, CANONICAL, PARTITION_KEYS
 from wayfuse.sources.datasets import data_files, read_staged
 
 
 # No value of these comes twice: a dictionary of them is built, hashed row by row, and thrown away.
 _PLAIN = {f"parquet.enable.dictionary#{c}": "false" for c in ("crash_id", "source_record_id")}
+# In place of Spark's own snappy: a third less on disk for the same time.
+_FILES = _PLAIN | {"compression": "zstd"}
 TIME_COLUMNS = ["crash_timestamp_utc", "police_notified_timestamp_utc"]
 
 
@@ -78,27 +80,36 @@ def exclusion_counts(staged: DataFrame, adapters: dict = ADAPTERS) -> DataFrame:
 
 def write_staged(staged: DataFrame, path: str) -> str:
     """Replace the staged dataset of one source and batch."""
-    staged.write.mode("overwrite").options(**_PLAIN).parquet(path)
+    staged.write.mode("overwrite").options(**_FILES).parquet(path)
     return path
 
 
-def write_folders(df: DataFrame, path: str, mode: str = "error") -> str:
-    """A dataset laid out by source, year and month.
+def write_folders(parts: list[DataFrame], path: str, mode: str = "error") -> str:
+    """A dataset laid out by source, year and month, of parts written one after the other.
 
     The rebalance hint brings a folder's rows together, so a small folder is
     one file, and lets the runtime split a source or month that holds most of
     the data over many tasks. A task has few folders and keeps their files open
     side by side: its rows need no sort, which would spill; only those of
-    folders past the limit are sorted.
+    folders past the limit are sorted. What a part shuffled is gone before the
+    next begins. Only the last one marks the dataset as complete.
     """
-    with setting(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", "32"):
-        df.hint("rebalance", *PARTITION_KEYS).write.mode(mode).options(**_PLAIN).partitionBy(*PARTITION_KEYS).parquet(path)
+    spark = parts[0].sparkSession
+    with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "32"), unshuffled(spark):
+        for i, part in enumerate(parts):
+            writer = part.hint("rebalance", *PARTITION_KEYS).write.mode("append" if i else mode).options(**_FILES)
+            if i + 1 < len(parts):
+                writer = writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+            writer.partitionBy(*PARTITION_KEYS).parquet(path)
     return path
 
 
-def write_partitioned(df: DataFrame, path: str) -> str:
-    """Replace ``path`` with a dataset laid out by source, year and month."""
-    return write_folders(df, path, "overwrite")
+def write_partitioned(df: DataFrame, path: str, repeatable: bool = False) -> str:
+    """Replace ``path`` with a dataset laid out by source, year and month.
+
+    ``repeatable`` says that ``df`` gives the same rows each time: a large one is then written in rounds.
+    """
+    return write_folders(in_rounds(df, "source_record_id", rounds_for(df)) if repeatable else [df], path, "overwrite")
 
 
 @dataclass(frozen=True)
@@ -149,5 +160,5 @@ def harmonize(spark: SparkSession, staged_paths: dict, batches: dict, target: st
         raise ValueError("one staged path and one batch per source are needed")
     if unknown := sorted(set(batches) - set(adapters)):
         raise ValueError(f"no adapter for {', '.join(unknown)}")
-    write_partitioned(typed_rows(read_staged(spark, staged_paths), adapters), target)
+    write_partitioned(typed_rows(read_staged(spark, staged_paths), adapters), target, repeatable=True)
     return Candidate("curated_" + uuid.uuid4().hex[:12], target, dict(staged_paths), dict(batches))

@@ -393,7 +393,8 @@ def sampled_rows(points: DataFrame, key: str, seed: int, most: int, group: list[
     same = F.lit(True)
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_of_{g}"))
-    placed = marked.join(last, same, "left") if group else marked.join(F.broadcast(last), how="left")
+    # one row per group: with its size left to the estimate, all rows would be sent by group to meet it
+    placed = marked.join(F.broadcast(last), same if group else None, "left")
     at = F.col("_last.bucket")
     whole = placed.where(at.isNull() | (F.col("_bucket") < at)).select(*points.columns)
     order = W.partitionBy(*group).orderBy("_digest", key)

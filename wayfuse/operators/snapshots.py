@@ -123,7 +123,7 @@ def _put(spark: SparkSession, root: str, rows: DataFrame) -> tuple[str, list[str
     """Rows as a new version: its id and the folders it has."""
     version = uuid.uuid4().hex
     target = f"{root}/data/version={version}"
-    write_folders(rows, target)
+    write_folders([rows], target)
     return version, _folders(spark, target)
 
 

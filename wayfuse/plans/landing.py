@@ -94,7 +94,7 @@ def publish_as(spark: SparkSession, sf_dir: str, path: str) -> None:
 def published(spark: SparkSession, sf_dir: str) -> str:
     """The partitioned curated dataset of the feeds, written once per application."""
     return once(spark, sf_dir, "curated", lambda: write_partitioned(
-        curated(spark, sf_dir), scratch_path(spark, "curated")))
+        curated(spark, sf_dir), scratch_path(spark, "curated"), repeatable=True))
 
 
 def fact(spark: SparkSession, sf_dir: str, *sources: str) -> DataFrame:
