@@ -12,6 +12,7 @@ import wayfuse.session as S
 from wayfuse.catalog.registry import QUERIES, query
 from wayfuse.functions.scalars import to_whole
 from wayfuse.operators import checks as C
+from wayfuse.operators import publish as PB
 from wayfuse.operators import snapshots as SN
 from wayfuse.operators.curate import drop_without, write_partitioned, write_staged
 from wayfuse.session import prepare, setting
@@ -172,3 +173,28 @@ def test_a_write_that_ends_between_rounds_is_not_marked_as_complete(spark, tmp_p
 def test_small_tables_and_frames_without_files_take_one_round(spark, tmp_path):
     assert S.rounds_for(_stored(spark, str(tmp_path / "rows"), _rows(spark))) == 1
     assert S.rounds_for(spark.createDataFrame([(1,)], "n int"), spark.range(5)) == 1
+
+
+def test_a_load_in_rounds_puts_down_its_rows_once(spark, tmp_path, monkeypatch, large):
+    """The second load replaces the first source and adds the other; its rows lie in files and are not written as a batch before."""
+    rows = spark.range(400).select(
+        *[F.lit(None).cast(t).alias(c) for c, t in (("police_notified_timestamp_utc", "timestamp"), ("latitude", "double"), ("num_killed", "int"))],
+        F.concat(F.lit("c"), "id").alias("crash_id"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("source_id"),
+        F.concat(F.lit("r"), F.floor(F.col("id") / 2)).alias("source_record_id"),
+        F.make_date(F.lit(2024), (F.col("id") % 12 + 1).cast("int"), F.lit(1)).alias("crash_date_key"))
+    for c in PB.FACT_COLUMNS:
+        if c not in rows.columns:
+            rows = rows.withColumn(c, F.lit("x"))
+    rows = rows.withColumns({"year": F.year("crash_date_key"), "month": F.month("crash_date_key")})
+    curated, fact, dates = str(tmp_path / "curated"), str(tmp_path / "fact"), str(tmp_path / "dates")
+    write_partitioned(rows, curated)
+    monkeypatch.setattr(SN, "saved", lambda *a: pytest.fail("the batch was written once more"))
+    assert PB.load(spark, curated, fact, dates, "a")["rows_written"] == 200
+    assert PB.load(spark, curated, fact, dates)["rows_written"] == 400
+    loaded = SN.read(spark, fact)
+    assert sorted(r.crash_id for r in loaded.collect()) == sorted(r.crash_id for r in rows.collect())
+    assert loaded.select("ingested_at_utc").distinct().count() == 1  # one time for all rounds
+    again = spark.read.parquet(curated)
+    with pytest.raises(ValueError):
+        SN.merge(spark, fact, again.unionByName(again.where("crash_id = 'c7'")), stored=True)
+    assert SN.current(spark, fact).number == 2

@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wayfuse.session import unshuffled
+
 NATURAL_KEY = ["source_id", "source_record_id"]
 
 
 def require_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     """Fail when a batch holds a key twice: which copy should win is not defined."""
     again = df.groupBy(*keys).agg(F.count("*").alias("copies")).where("copies > 1")
-    if not again.isEmpty():
+    with unshuffled(df.sparkSession):
+        repeated = not again.isEmpty()
+    if repeated:
         raise ValueError(f"the batch repeats a key of {keys}")
     return df
 

@@ -93,7 +93,7 @@ def load(spark: SparkSession, curated_root: str, fact_root: str, dim_date_root:
         fresh.repartition(1).write.mode("append").parquet(dim_date_root)
     keyed = fact.withColumns({"year": F.year("crash_date_key"), "month": F.month("crash_date_key"),
                               "source_id": F.col("source_id").cast("string")})
-    SN.merge(spark, fact_root, keyed.withColumn("ingested_at_utc", F.current_timestamp()))
+    SN.merge(spark, fact_root, keyed.withColumn("ingested_at_utc", F.current_timestamp()), stored=True)
     return {"rows_read": read, "rows_written": read, "dim_date_inserted": inserted}
 
 

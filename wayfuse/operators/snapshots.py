@@ -14,6 +14,7 @@ named by no pointer, and goes with the next ``vacuum``.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from dataclasses import dataclass
 
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from wayfuse.operators.curate import write_folders
 from wayfuse.operators.merging import NATURAL_KEY, require_unique, upsert
-from wayfuse.session import dropped, saved
+from wayfuse.session import dropped, in_rounds, rounds_for, saved, unshuffled
 from wayfuse.spec import PARTITION_KEYS
 
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder of rows without a partition value
@@ -119,11 +120,11 @@ def _renamed(fs, old, new) -> bool:
     return fs.rename(old, new)
 
 
-def _put(spark: SparkSession, root: str, rows: DataFrame) -> tuple[str, list[str]]:
-    """Rows as a new version: its id and the folders it has."""
+def _put(spark: SparkSession, root: str, rows: DataFrame | list[DataFrame]) -> tuple[str, list[str]]:
+    """Rows, or parts of them, as a new version: its id and the folders it has."""
     version = uuid.uuid4().hex
     target = f"{root}/data/version={version}"
-    write_folders([rows], target)
+    write_folders([rows] if isinstance(rows, DataFrame) else rows, target)
     return version, _folders(spark, target)
 
 
@@ -162,33 +163,50 @@ def publish(spark: SparkSession, candidate: str, root: str) -> Snapshot:
         raise
 
 
-def merge(spark: SparkSession, root: str, incoming: DataFrame, now: Column | None = None) -> Snapshot:
+def merge(spark: SparkSession, root: str, incoming: DataFrame, now: Column | None = None, stored: bool = False) -> Snapshot:
     """Incoming rows into the table: those with a known key replace it, nothing is deleted.
 
     Only touched folders are read and written again: those of the incoming rows and those where their earlier versions lie (found by
     a scan of the keys alone), as an amended date moves a record to another month. The state is resolved once at
     the beginning. A merge that is run again, after a failure or not, gives the same rows.
+
+    ``stored`` says that the rows are read as they lie in files: they are not put down once more. Keys are met and rows
+    written in rounds where there is much of them.
     """
     root, parent = root.rstrip("/"), current(spark, root)
-    if parent is None:
-        require_unique(incoming, NATURAL_KEY)
-        stamped = incoming.withColumn("ingested_at_utc", F.current_timestamp() if now is None else now)
-        return replace(spark, root, stamped)
+    if now is None:  # the same time in all rounds
+        now = F.timestamp_micros(F.lit(time.time_ns() // 1000))
+    if stored or parent is None:
+        return _merge_into(spark, root, parent, incoming, now, stored)
     incoming = saved(incoming, "incoming")  # used five times: what it takes to derive the rows is done once
     try:
-        return _merge_into(spark, root, parent, incoming, now)
+        return _merge_into(spark, root, parent, incoming, now, True)
     finally:
         dropped(incoming)
 
 
-def _merge_into(spark: SparkSession, root: str, parent: Snapshot, incoming: DataFrame, now: Column | None) -> Snapshot:
-    require_unique(incoming, NATURAL_KEY)
+def _merge_into(spark: SparkSession, root: str, parent: Snapshot | None, incoming: DataFrame, now: Column, stored: bool) -> Snapshot:
+    """``stored``: the rows are the same each time they are read, so that rounds may each read them."""
+    key = NATURAL_KEY[-1]
+    if parent is None:
+        rounds = rounds_for(incoming) if stored else 1
+        parts = in_rounds(incoming, key, rounds)
+        for part in parts:
+            require_unique(part, NATURAL_KEY)
+        version, folders = _put(spark, root, [p.withColumn("ingested_at_utc", now) for p in parts])
+        return commit(spark, root, parent, dict.fromkeys(folders, version))
     existing = _like(read(spark, parent), incoming)
-    held = existing.join(incoming.select(*NATURAL_KEY), NATURAL_KEY, "left_semi")
-    # one row per folder: its number is that of the folders of the table
-    touched = held.select(*PARTITION_KEYS).union(incoming.select(*PARTITION_KEYS)).distinct().collect()
-    names = {folder_name(v) for v in touched}
-    merged = upsert(_like(read(spark, parent, names), incoming), incoming, now)
+    alike = existing.schema[key].dataType == incoming.schema[key].dataType
+    rounds = rounds_for(existing, incoming) if alike else 1
+    names = set()
+    for part, held in zip(in_rounds(incoming, key, rounds), in_rounds(existing, key, rounds)):
+        require_unique(part, NATURAL_KEY)
+        held = held.join(part.select(*NATURAL_KEY), NATURAL_KEY, "left_semi")
+        # one row per folder: its number is that of the folders of the table
+        with unshuffled(spark):
+            names |= {folder_name(v) for v in held.select(*PARTITION_KEYS).union(part.select(*PARTITION_KEYS)).distinct().collect()}
+    touched = _like(read(spark, parent, names), incoming)
+    merged = [upsert(old, new, now) for old, new in zip(in_rounds(touched, key, rounds), in_rounds(incoming, key, rounds))]
     version, folders = _put(spark, root, merged)
     kept = {f: v for f, v in parent.versions if f not in names}
     return commit(spark, root, parent, kept | dict.fromkeys(folders, version))
