@@ -175,6 +175,14 @@ def test_small_tables_and_frames_without_files_take_one_round(spark, tmp_path):
     assert S.rounds_for(spark.createDataFrame([(1,)], "n int"), spark.range(5)) == 1
 
 
+def test_copies_of_a_large_table_are_counted_in_rounds(spark, tmp_path, large):
+    rows = _stored(spark, str(tmp_path / "keys"), spark.sql("""
+      SELECT IF(id % 2 = 0, 'a', null) AS g, IF(id % 50 = 0, null, id % 300) AS k, CAST(id AS STRING) AS u FROM range(1000)"""))
+    got = {r.g: (r.dup, r.none) for r in C.duplicate_counts(rows, ["g"], {"dup": ["k"], "none": ["u"]}).collect()}
+    want = {g: 500 - rows.where(F.col("g").eqNullSafe(g)).select("k").distinct().count() for g in ("a", None)}
+    assert got == {g: (n, 0) for g, n in want.items()}
+
+
 def test_a_load_in_rounds_puts_down_its_rows_once(spark, tmp_path, monkeypatch, large):
     """The second load replaces the first source and adds the other; its rows lie in files and are not written as a batch before."""
     rows = spark.range(400).select(

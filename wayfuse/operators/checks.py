@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from wayfuse.functions.scalars import count_if, to_double, total
 from wayfuse.operators.curate import TIME_COLUMNS
 from wayfuse.functions.timeparse import by_source, parse_local
+from wayfuse.session import in_rounds, rounds_for, saved
 from wayfuse.sources.text import latest_per_key
 from wayfuse.spec import (ACCEPTED_VALUES, ADAPTERS, CANONICAL_FIELDS, DATE_LOGIC_TOLERANCE,
                           DQ_LOG_SCHEMA, NON_NULLABLE, NUMERIC_RANGES, SPEED_BAND,
@@ -128,13 +129,18 @@ def duplicate_counts(df: DataFrame, group: list[str], keys: dict[str, list[str]]
     """Extra copies per key set (nulls equal), by one grouped count for each key set.
 
     Copies are counted before the shuffle, so a key with very many copies sends
-    one row per task.
+    one row per task. The keys of a large table are counted in rounds, each written before the next.
     """
     out = None
+    rounds = rounds_for(df)
     for name, cols in keys.items():
         by = list(dict.fromkeys([*group, *cols]))
-        extra = (df.groupBy(*by).agg(F.count("*").alias("_copies"))
-                 .groupBy(*group).agg(F.sum(F.col("_copies") - 1).cast("long").alias(name)))
+        counted = [part.groupBy(*by).agg(F.count("*").alias("_copies"))
+                   .groupBy(*group).agg(F.sum(F.col("_copies") - 1).cast("long").alias(name)) for part in in_rounds(df, cols[-1], rounds)]
+        extra = counted[0]
+        if rounds > 1:
+            extra = (reduce(DataFrame.unionByName, [saved(part, "copies") for part in counted])
+                     .groupBy(*group).agg(F.sum(name).alias(name)))
         # one row per group
         out = extra if out is None else out.join(F.broadcast(extra), [out[g].eqNullSafe(extra[g]) for g in group]).select(
             *[out[c] for c in out.columns], extra[name])

@@ -9,7 +9,7 @@ from wayfuse.functions.timeparse import by_source, parse_local
 from wayfuse.operators.checks import append_log, run_checks
 from wayfuse.operators.publish import dim_source
 from wayfuse.plans.landing import once, staged_rows
-from wayfuse.session import scratch_path
+from wayfuse.session import saved, scratch_path
 from wayfuse.spec import ADAPTERS, TRAILING_WINDOW_DAYS
 from wayfuse.streaming.incremental import freshness
 
@@ -59,9 +59,7 @@ def check_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _write_log(spark: SparkSession, sf_dir: str) -> str:
-    kept, root = scratch_path(spark, "results"), scratch_path(spark, "dq_run_log")
-    check_results(spark, sf_dir).write.parquet(kept)
-    results = spark.read.parquet(kept)
+    root, results = scratch_path(spark, "dq_run_log"), saved(check_results(spark, sf_dir), "results")
     append_log(results, root, at(FIRST_RUN))
     append_log(results.where("source_id <> 'nyc_us'"), root, at(SECOND_RUN))
     append_log(freshness_results(spark, sf_dir), root, at(FRESHNESS_AT))
